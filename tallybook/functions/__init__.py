@@ -7,6 +7,7 @@ from tallybook.functions.columns import (
     json_properties,
     last_entry,
     prop,
+    props,
     recency,
     recency_step,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "json_properties",
     "last_entry",
     "prop",
+    "props",
     "recency",
     "recency_step",
 ]

@@ -66,3 +66,8 @@ def json_properties(fields: Mapping[str, Column]) -> Column:
 def prop(properties: Column | str, name: str) -> Column:
     """Text of one field of a JSON property bag."""
     return F.get_json_object(properties, f"$.{name}")
+
+
+def props(properties: Column | str, *names: str) -> Column:
+    """Several fields as text columns, parsed once. For use in a select, one per select."""
+    return F.json_tuple(properties, *names).alias(*names)

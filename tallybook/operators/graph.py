@@ -6,12 +6,13 @@ Identifiers become text only after ids have been compared as what they are.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions import json_properties, prop
-from tallybook.operators.facts import duplicate_report, first_per
+from tallybook.functions import json_properties, prop, props
+from tallybook.operators.facts import first_per
 from tallybook.schemas import EDGE_KEY
 
 # A game with more rows than this is paired in blocks of about this many rows.
@@ -60,21 +61,19 @@ def player_vertices(
     """Per player: greatest name, rows, points, and the sorted list of teams.
 
     Rows are counted as they are, copies included, unless ``dedup``. They are reduced to one
-    row per (player, team) first, so a list is made from distinct teams only.
+    row per (player, name, team) first, so a list is made from distinct teams only.
     """
     rows = details.select("player_id", "game_id", "player_name", "team_id", "pts", *order_by)
     if dedup:
-        rows = first_per(rows, ["player_id", "game_id"], order_by)
-    by_team = rows.groupBy("player_id", "team_id").agg(
-        F.max("player_name").alias("player_name"),
-        F.count(F.lit(1)).alias("games"),
-        F.sum("pts").alias("points"),
+        rows = first_per(rows, ["game_id", "player_id"], order_by)
+    by_team = rows.groupBy("player_id", "player_name", "team_id").agg(
+        F.count(F.lit(1)).alias("games"), F.sum("pts").alias("points")
     )
     players = by_team.groupBy("player_id").agg(
         F.max("player_name").alias("player_name"),
         F.sum("games").alias("number_of_games"),
         F.sum("points").alias("total_points"),
-        F.array_sort(F.collect_list("team_id")).alias("teams"),
+        F.array_sort(F.collect_set("team_id")).alias("teams"),
     )
     fields = ("player_name", "number_of_games", "total_points", "teams")
     return _vertices(players, "player_id", "player", {c: F.col(c) for c in fields})
@@ -89,7 +88,7 @@ def team_vertices(teams: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
 
 def plays_in_edges(
     details: DataFrame,
-    keys: Sequence[str] = ("player_id", "game_id"),
+    keys: Sequence[str] = ("game_id", "player_id"),
     order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Player to game, one edge per ``keys``; ``keys=['player_id']`` keeps a single game."""
@@ -103,7 +102,7 @@ def plays_in_edges(
 def plays_on_edges(details: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """Player to team, with the games and points of the player's rows for that team."""
     needed = dict.fromkeys(["player_id", "game_id", "team_id", "pts", *order_by])
-    rows = first_per(details.select(*needed), ["player_id", "game_id"], order_by)
+    rows = first_per(details.select(*needed), ["game_id", "player_id"], order_by)
     played = rows.groupBy("player_id", "team_id").agg(
         F.count(F.lit(1)).alias("num_games"), F.sum("pts").alias("points")
     )
@@ -112,20 +111,20 @@ def plays_on_edges(details: DataFrame, order_by: Sequence[str] = ()) -> DataFram
 
 
 def large_games(
-    details: DataFrame, block_rows: int = BLOCK_ROWS, listed: int = LISTED_GAMES
+    rows: DataFrame, block_rows: int = BLOCK_ROWS, listed: int = LISTED_GAMES
 ) -> DataFrame | None:
     """Games with more than ``block_rows`` rows, or None. Reads the game column only.
 
     Up to ``listed`` games come to the driver as a literal table, small enough to go to every
     task; with more, the counts stay a distributed table, which Spark joins as it sees fit.
     """
-    counts = details.groupBy("game_id").count().filter(F.col("count") > block_rows)
+    counts = rows.groupBy("game_id").count().filter(F.col("count") > block_rows)
     found = counts.limit(listed + 1).collect()
     if not found:
         return None
     if len(found) > listed:
         return counts
-    return details.sparkSession.createDataFrame(found, counts.schema)
+    return rows.sparkSession.createDataFrame(found, counts.schema)
 
 
 def _in_cells(rows: DataFrame, large: DataFrame, block_rows: int) -> DataFrame:
@@ -153,44 +152,60 @@ def player_pairs(
     exclude_same_name: bool = True,
     block_rows: int = BLOCK_ROWS,
     listed: int = LISTED_GAMES,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Games and points of every two players who met, by whether they shared a team.
 
     The result has a row per two players, so pairing within a game is the operator itself;
-    what is bounded is the work of one task. A game with more than ``block_rows`` rows is
-    paired in cells of two blocks each, spread over the cluster; every pair falls into exactly
-    one cell. Pairs are summed map-side before they are shuffled, and never kept as lists.
+    what is bounded is the work of one task. Where no game has more than ``block_rows`` rows,
+    one exchange on the game serves the dedup and both sides of the join. Otherwise copies are
+    dropped map-side, and large games are paired in cells of two blocks each, spread over the
+    cluster; every pair falls into exactly one cell. Pairs are summed map-side before they are
+    shuffled, and never kept as lists.
+
+    Game sizes are counted beforehand, in ``sizes_from`` if the same games are at hand in a
+    table that is cheaper to read than ``details``. They choose the plan, not the result.
     """
     needed = ("game_id", "player_id", "player_name", "team_abbreviation", "pts")
-    rows = first_per(
-        details.select(*dict.fromkeys([*needed, *order_by])), ["player_id", "game_id"], order_by
-    ).select(*needed)
-    large = large_games(details, block_rows, listed)
+    source = details if sizes_from is None else sizes_from
+    large = large_games(source.select("game_id"), block_rows, listed)
 
-    f, g = F.col, lambda c: F.col(f"o_{c}")
+    rows = details.select(*dict.fromkeys([*needed, *order_by]))
+    if large is None:
+        rows = rows.repartition("game_id")
+    rows = first_per(rows, ["game_id", "player_id"], order_by).select(*needed)
     on = ["game_id"]
-    met = f("player_id") > g("player_id")
-    if exclude_same_name:
-        met &= f("player_name") != g("player_name")
     if large is not None:
         rows = _in_cells(rows, large, block_rows)
-        on = ["game_id", "_low", "_high"]
-        met &= (f("_block") != g("_block")) | (f("_low") == f("_high"))
-    others = rows.select(*on, *[F.col(c).alias(f"o_{c}") for c in rows.columns if c not in on])
+        on += ["_low", "_high"]
+
+    # The two sides are one DataFrame under two names, so its exchange is made once.
+    def a(c):
+        return F.col(f"a.{c}")
 
-    shared = f("team_abbreviation") == g("team_abbreviation")
+    def b(c):
+        return F.col(f"b.{c}")
+
+    met = a("player_id") > b("player_id")
+    if exclude_same_name:
+        met &= a("player_name") != b("player_name")
+    if large is not None:
+        met &= (a("_block") != b("_block")) | (a("_low") == a("_high"))
+    for c in on:
+        met &= a(c) == b(c)
+    shared = a("team_abbreviation") == b("team_abbreviation")
     return (
-        rows.join(others, on)
-        .filter(met)
+        rows.alias("a")
+        .join(rows.alias("b"), met)
         .groupBy(
-            f("player_id").alias("subject_id"),
-            g("player_id").alias("object_id"),
+            a("player_id").alias("subject_id"),
+            b("player_id").alias("object_id"),
             F.when(shared, "shares_team").otherwise("plays_against").alias("edge_type"),
         )
         .agg(
             F.count(F.lit(1)).alias("num_games"),
-            F.sum(f("pts")).alias("subject_points"),
-            F.sum(g("pts")).alias("object_points"),
+            F.sum(a("pts")).alias("subject_points"),
+            F.sum(b("pts")).alias("object_points"),
         )
     )
 
@@ -200,9 +215,12 @@ def player_pair_edges(
     order_by: Sequence[str] = (),
     exclude_same_name: bool = True,
     block_rows: int = BLOCK_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """``player_pairs`` as edges from the player with the greater id to the other."""
-    pairs = player_pairs(details, order_by, exclude_same_name, block_rows)
+    pairs = player_pairs(
+        details, order_by, exclude_same_name, block_rows, sizes_from=sizes_from
+    )
     properties = {c: F.col(c) for c in ("num_games", "subject_points", "object_points")}
     return _edges(pairs, "subject_id", "object_id", "player", F.col("edge_type"), properties)
 
@@ -234,56 +252,56 @@ def opponent_stats(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     as points over games. The vertex side has one row per key, so a busy subject fills the
     edge side only, which Spark can split.
     """
-    games = prop("properties", "number_of_games").cast("double")
-    points = prop("properties", "total_points").cast("double")
+    games = F.col("number_of_games").cast("double")
+    points = F.col("total_points").cast("double")
     subjects = vertices.select(
         F.col("identifier").alias("subject_identifier"),
         F.col("type").alias("subject_type"),
-        prop("properties", "player_name").alias("player_name"),
+        props("properties", "player_name", "number_of_games", "total_points"),
+    ).select(
+        "subject_identifier",
+        "subject_type",
+        "player_name",
         (games / F.when(points == 0, F.lit(1.0)).otherwise(points)).alias("games_per_point"),
         (points / F.nullif(games, F.lit(0.0))).alias("points_per_game"),
     )
-    return (
-        edges.filter(F.col("object_type") == "player")
-        .select(
-            "subject_identifier",
-            "subject_type",
-            "object_identifier",
-            "edge_type",
-            prop("properties", "subject_points").alias("subject_points"),
-            prop("properties", "num_games").alias("num_games"),
-        )
-        .join(subjects, ["subject_identifier", "subject_type"])
-        .drop("subject_type")
+    met = edges.filter(F.col("object_type") == "player").select(
+        "subject_identifier",
+        "subject_type",
+        "object_identifier",
+        "edge_type",
+        props("properties", "subject_points", "num_games"),
     )
+    return met.join(subjects, ["subject_identifier", "subject_type"]).drop("subject_type")
 
 
 def graph_integrity(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Keys held by several vertices or edges, and edge ends without a vertex.
 
-    Ends are reduced to one row per vertex key, with the number of edges, before the join.
+    Both tables are reduced to one row per key once; duplicates, ends and the vertices to look
+    for all come from those counts.
     """
     v_key = ["identifier", "type"]
-    twice_v = duplicate_report(vertices, v_key).select(
-        F.lit("duplicate vertex").alias("problem"),
-        F.concat_ws("|", *v_key).alias("key"),
-        F.col("copies").alias("n"),
-    )
-    twice_e = duplicate_report(edges, EDGE_KEY).select(
-        F.lit("duplicate edge").alias("problem"),
-        F.concat_ws("|", *EDGE_KEY).alias("key"),
-        F.col("copies").alias("n"),
-    )
+    v_counts = vertices.groupBy(*v_key).agg(F.count(F.lit(1)).alias("n"))
+    e_counts = edges.groupBy(*EDGE_KEY).agg(F.count(F.lit(1)).alias("n"))
     ends = F.array(
         *[
             F.struct(
-                F.col(f"{end}_identifier").alias("identifier"), F.col(f"{end}_type").alias("type")
+                F.col(f"{end}_identifier").alias("identifier"),
+                F.col(f"{end}_type").alias("type"),
+                F.col("n"),
             )
             for end in ("subject", "object")
         ]
     )
-    used = edges.select(F.inline(ends)).groupBy(*v_key).agg(F.count(F.lit(1)).alias("n"))
-    dangling = used.join(vertices.select(*v_key), v_key, "left_anti").select(
-        F.lit("missing vertex").alias("problem"), F.concat_ws("|", *v_key).alias("key"), "n"
-    )
-    return twice_v.unionByName(twice_e).unionByName(dangling)
+    used = e_counts.select(F.inline(ends)).groupBy(*v_key).agg(F.sum("n").alias("n"))
+    found = {
+        "duplicate vertex": (v_counts.filter("n > 1"), v_key),
+        "duplicate edge": (e_counts.filter("n > 1"), EDGE_KEY),
+        "missing vertex": (used.join(v_counts.select(*v_key), v_key, "left_anti"), v_key),
+    }
+    parts = [
+        rows.select(F.lit(problem).alias("problem"), F.concat_ws("|", *key).alias("key"), "n")
+        for problem, (rows, key) in found.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

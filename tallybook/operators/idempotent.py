@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -94,15 +94,12 @@ def snapshot_asof(
 
     The latest value is set beside every snapshot row first, so facts are joined once.
     """
-    latest = snapshots.groupBy(F.col(key).alias("_key")).agg(
-        F.max_by(col, snapshot).alias(f"latest_{col}")
-    )
-    both = (
-        snapshots.select(
-            F.col(key).alias("_key"), F.col(snapshot).alias("_period"), F.col(col).alias(f"own_{col}")
-        )
-        .join(latest, "_key")
-        .filter(~F.col(f"own_{col}").eqNullSafe(F.col(f"latest_{col}")))
-    )
+    latest = F.max_by(col, snapshot).over(Window.partitionBy(key))
+    both = snapshots.select(
+        F.col(key).alias("_key"),
+        F.col(snapshot).alias("_period"),
+        F.col(col).alias(f"own_{col}"),
+        latest.alias(f"latest_{col}"),
+    ).filter(~F.col(f"own_{col}").eqNullSafe(F.col(f"latest_{col}")))
     own = (F.col(key) == F.col("_key")) & (F.col(period) == F.col("_period"))
     return facts.join(both, own).drop("_key", "_period")

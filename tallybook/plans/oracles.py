@@ -427,9 +427,7 @@ ORACLES: dict[str, str] = {
     "fact_normalize": """
         select l_suppkey, l_returnflag, count(*) over (partition by l_suppkey) as versions
         from (select distinct l_suppkey, l_returnflag from lineitem)""",
-    "fact_normalize_narrow": """
-        select s_suppkey as l_suppkey, s_name, count(*) as lines, sum(l_quantity) as quantity
-        from lineitem join supplier on s_suppkey = l_suppkey group by all""",
+    "fact_normalize_narrow": "select l_orderkey, l_linenumber, l_suppkey, l_quantity from lineitem",
     "raw_logs_to_facts": """
         select event_id, user_id, event_type as action, (props->>'k')::int as place,
                value::decimal(18,2)::double as amount, strftime(ts, '%Y-%m-%d') as happened_on

@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybook.functions import classify, first_entry, last_entry, prop, recency_step
+from tallybook.functions import classify, first_entry, last_entry, prop, props, recency_step
 from tallybook.operators import cumulative, dims, facts, graph, idempotent, scd
 from tallybook.sources import tables as src
 from tallybook.sources.shared import shared_folder
@@ -300,15 +300,16 @@ def snapshot_asof(spark, sf_dir):
 
 
 def _user_events(spark, sf_dir):
-    """Events with their day and the user's first day, which is the same in all their rows."""
-    events = src.table(spark, sf_dir, "events").select(
-        "user_id",
-        "event_type",
-        F.to_date("ts").alias("day"),
-        F.col("value").cast("decimal(18,2)").alias("value"),
+    """Events reduced to one row per user, type and day, with the user's first day.
+
+    A busy user has no more rows here than there are types and days.
+    """
+    daily = (
+        src.table(spark, sf_dir, "events")
+        .groupBy("user_id", "event_type", F.to_date("ts").alias("day"))
+        .agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("value"))
     )
-    cohorts = events.groupBy("user_id").agg(F.min("day").alias("cohort"))
-    return events.join(cohorts, "user_id")
+    return daily.withColumn("cohort", F.min("day").over(Window.partitionBy("user_id")))
 
 
 @query
@@ -427,9 +428,17 @@ def flexible_schema(spark, sf_dir):
 
 
 def _fields(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """The property bag as typed columns."""
+    """The property bag as typed columns, parsed once."""
     keys = [c for c in df.columns if c != "properties"]
-    return df.select(*keys, *[prop("properties", n).cast(k).alias(n) for n, k in kinds.items()])
+    return df.select(*keys, props("properties", *kinds)).select(
+        *keys, *[F.col(name).cast(kind).alias(name) for name, kind in kinds.items()]
+    )
+
+
+def _pair_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = src.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("game_id"))
+    details = src.game_details(spark, sf_dir)
+    return graph.player_pair_edges(details, src.DETAIL_ORDER, sizes_from=sizes)
 
 
 PLAYS_IN = {
@@ -500,7 +509,7 @@ def plays_on_edges(spark, sf_dir):
 
 @query
 def player_pair_edges(spark, sf_dir):
-    return _fields(graph.player_pair_edges(src.game_details(spark, sf_dir), src.DETAIL_ORDER), PAIR)
+    return _fields(_pair_edges(spark, sf_dir), PAIR)
 
 
 @query
@@ -514,9 +523,8 @@ def max_points(spark, sf_dir):
 
 @query
 def opponent_stats(spark, sf_dir):
-    details = src.game_details(spark, sf_dir)
-    edges = graph.player_pair_edges(details, src.DETAIL_ORDER)
-    stats = graph.opponent_stats(graph.player_vertices(details), edges)
+    players = graph.player_vertices(src.game_details(spark, sf_dir))
+    stats = graph.opponent_stats(players, _pair_edges(spark, sf_dir))
     return stats.select(
         "subject_identifier",
         "player_name",
@@ -536,7 +544,7 @@ def graph_integrity(spark, sf_dir):
     games = graph.game_vertices(src.games(spark, sf_dir))
     vertices = games.unionByName(games).unionByName(graph.player_vertices(details))
     plays_in = graph.plays_in_edges(
-        details, ["player_id", "game_id", "line_no"], ["part_id", "pts"]
+        details, ["game_id", "player_id", "line_no"], ["part_id", "pts"]
     )
     edges = plays_in.unionByName(graph.plays_on_edges(details, src.DETAIL_ORDER))
     return graph.graph_integrity(vertices, edges)
@@ -564,6 +572,7 @@ def duplicate_report(spark, sf_dir):
 
 
 def _denormalized(spark, sf_dir):
+    """Nation and region are joined to the suppliers, so that lines are joined twice only."""
     c = F.col
     part = src.table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
     supplier = src.table(spark, sf_dir, "supplier").select(
@@ -573,15 +582,18 @@ def _denormalized(spark, sf_dir):
         c("n_nationkey").alias("nationkey"), "n_name", c("n_regionkey").alias("regionkey")
     )
     region = src.table(spark, sf_dir, "region").select(c("r_regionkey").alias("regionkey"), "r_name")
-    return facts.fact_denormalize(
-        _lines(spark, sf_dir),
+    supplier = facts.fact_denormalize(
+        supplier,
         [
-            (part, ["l_partkey"], ["p_name", "p_brand"]),
-            (supplier, ["l_suppkey"], ["s_name", "nationkey"]),
             (nation, ["nationkey"], ["n_name", "regionkey"]),
             (region, ["regionkey"], ["r_name"]),
         ],
     )
+    of_supplier = ["s_name", "nationkey", "n_name", "regionkey", "r_name"]
+    return facts.fact_denormalize(
+        _lines(spark, sf_dir),
+        [(part, ["l_partkey"], ["p_name", "p_brand"]), (supplier, ["l_suppkey"], of_supplier)],
+    )
 
 
 @query
@@ -602,16 +614,10 @@ def fact_normalize(spark, sf_dir):
 
 @query
 def fact_normalize_narrow(spark, sf_dir):
-    """The denormalised lines made narrow again, with the supplier's name split off."""
-    narrow, dim, _ = facts.fact_normalize(
-        _denormalized(spark, sf_dir).select(*GRAIN, "l_suppkey", "l_quantity", "s_name"),
-        "l_suppkey",
-        ["s_name"],
-    )
-    per_supplier = narrow.groupBy("l_suppkey").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity")
-    )
-    return per_supplier.join(dim, "l_suppkey")
+    """The denormalised lines without the attributes of their supplier."""
+    wide = _denormalized(spark, sf_dir).select(*GRAIN, "l_suppkey", "l_quantity", "s_name", "n_name")
+    narrow, _, _ = facts.fact_normalize(wide, "l_suppkey", ["s_name", "n_name"])
+    return narrow
 
 
 def _event_facts(spark, sf_dir):
