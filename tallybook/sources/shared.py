@@ -16,10 +16,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     A machine-local folder is made only where the setting is absent and Spark itself runs in
     one process, as in tests.
     """
-    root = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get(SETTING, None)
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tallybook-")
-        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid4().hex}"

@@ -1,0 +1,50 @@
+"""Small hand-made inputs with known results."""
+
+from pyspark.sql import functions as F
+
+from tallybook import schemas
+
+DETAILS = """game_id int, player_id int, player_name string, team_id int, team_abbreviation string,
+             start_position string, pts float"""
+
+
+def seasons(spark):
+    """Zero first points, boundary scores, a gap and a return, a debut, a retirement."""
+    rows = [
+        ("A", 2000, 70, 0.0, 1.0, 1.0),
+        ("A", 2001, 71, 21.0, 2.0, 2.0),
+        ("A", 2002, 72, 22.0, 3.0, 3.0),
+        ("B", 2000, 60, 20.0, 5.0, 5.0),
+        ("B", 2002, 61, 15.5, 5.0, 5.0),
+        ("C", 2002, 50, 10.0, 1.0, 1.0),
+        ("D", 2001, 40, 30.0, 9.0, 9.0),
+    ]
+    attrs = {
+        "A": ("6-9", "Duke", "USA", "1999", "1", "7"),
+        "B": ("6-10", None, "USA", "1998", "2", "40"),
+        "C": ("7-0", "UCLA", "USA", "2002", "1", "1"),
+        "D": ("6-5", None, "Spain", "Undrafted", "Undrafted", "Undrafted"),
+    }
+    full = [(n, *attrs[n], s, gp, p, r, a) for n, s, gp, p, r, a in rows]
+    return spark.createDataFrame(full, schemas.PLAYER_SEASONS)
+
+
+def details(spark):
+    """An exact copy, NULL points and position, a traded player, two players of one name."""
+    rows = [
+        (1, 10, "P10", 100, "AAA", "G", 5.0),
+        (1, 10, "P10", 100, "AAA", "G", 5.0),
+        (1, 11, "P11", 100, "AAA", "F", 7.0),
+        (1, 12, "P12", 200, "BBB", "C", 0.0),
+        (2, 10, "P10", 100, "AAA", "G", 9.0),
+        (2, 12, "P12", 200, "BBB", "C", None),
+        (3, 10, "P10", 200, "BBB", "G", 4.0),
+        (3, 12, "P12", 200, "BBB", "C", 0.0),
+        (3, 13, "P12", 100, "AAA", None, 3.0),
+    ]
+    return spark.createDataFrame(rows, DETAILS)
+
+
+def rows_of(df, *cols):
+    picked = df.select(*[F.col(c) for c in cols]) if cols else df
+    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -1,0 +1,103 @@
+from datetime import date
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallybook.operators import cumulative as cu
+from tallybook.operators import idempotent as idem
+from tallybook.sources.shared import SETTING, shared_folder
+from tests.fixtures import rows_of, seasons
+
+
+def test_overwriting_twice_equals_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = seasons(spark).select("player_name", "season", "pts")
+    idem.overwrite_period(rows, path, "season")
+    once = rows_of(spark.read.parquet(path).select("player_name", "season", "pts"))
+    idem.overwrite_period(rows.filter("season = 2002"), path, "season")
+    idem.overwrite_period(rows, path, "season", [2002])
+    assert rows_of(spark.read.parquet(path).select("player_name", "season", "pts")) == once
+    rows.filter("season = 2002").write.mode("append").partitionBy("season").parquet(path)
+    assert spark.read.parquet(path).count() == len(once) + 3
+
+
+def test_other_periods_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = seasons(spark).select("player_name", "season", "pts")
+    idem.overwrite_period(rows, path, "season")
+    idem.overwrite_period(rows.withColumn("pts", F.lit(-1.0).cast("float")), path, "season", [2001])
+    changed = spark.read.parquet(path).filter("pts = -1")
+    assert {r.season for r in changed.collect()} == {2001}
+
+
+def test_cumulative_table_kept_in_one_folder(spark, tmp_path):
+    """Each step reads the period before from the table it writes to; a rerun changes nothing."""
+    path = str(tmp_path / "players")
+    facts = seasons(spark)
+    idem.overwrite_period(cu.cumulative_snapshot(facts, 2000, 2000), path, "current_season")
+    for period in (2001, 2002, 2002):
+        table = spark.read.parquet(path)
+        idem.overwrite_period(cu.cumulative_step(table, facts, period), path, "current_season")
+    table = spark.read.parquet(path)
+    backfill = cu.cumulative_backfill(facts, 2000, 2002)
+    assert rows_of(table.select(backfill.columns)) == rows_of(backfill)
+
+
+def test_merge_upsert(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, v string")
+    source = spark.createDataFrame([("B", 2), (None, 3), ("d", 4)], "v string, id int")
+    merged = idem.merge_upsert(target, source, ["id"])
+    assert rows_of(merged, "id", "v") == [(1, "a"), (2, "B"), (3, None), (4, "d")]
+    assert rows_of(idem.merge_upsert(merged, source, ["id"]), "id", "v") == rows_of(merged, "id", "v")
+
+
+def test_bounded_window(spark):
+    df = spark.range(10)
+    assert rows_of(idem.bounded_window(df, "id", 3, 5)) == [(3,), (4,)]
+    for start, end in ((None, 5), (3, None), (5, 5)):
+        with pytest.raises(ValueError):
+            idem.bounded_window(df, "id", start, end)
+
+
+def test_missing_partitions(spark):
+    a = spark.createDataFrame([(1,), (1,), (3,)], "p int")
+    b = spark.createDataFrame([(2,)], "p int")
+    missing = idem.missing_partitions({"a": a, "b": b}, "p", 1, 3)
+    assert rows_of(missing, "source", "period") == [("a", 2), ("b", 1), ("b", 3)]
+    thin = idem.missing_partitions({"a": a}, "p", 1, 3, min_rows=2)
+    assert rows_of(thin, "source", "period") == [("a", 2), ("a", 3)]
+
+
+def test_depends_on_past(spark):
+    years = spark.createDataFrame([(2000,), (2001,), (2001,), (2004,)], "p int")
+    assert rows_of(idem.depends_on_past(years, "p")) == [(2000,), (2004,)]
+    days = spark.createDataFrame([(date(2024, 2, 28),), (date(2024, 2, 29),), (date(2024, 3, 2),)], "d date")
+    assert rows_of(idem.depends_on_past(days, "d")) == [(date(2024, 2, 28),), (date(2024, 3, 2),)]
+
+
+def test_snapshot_asof(spark):
+    players = cu.cumulative_backfill(seasons(spark), 2000, 2002)
+    facts = spark.createDataFrame(
+        [(1, "A", 2000), (2, "A", 2001), (3, "B", 2001), (4, "Z", 2000)],
+        "id int, player_name string, season int",
+    )
+    late = idem.snapshot_asof(facts, players, "player_name", "season", "current_season", "scoring_class")
+    assert rows_of(late, "id", "own_scoring_class", "latest_scoring_class") == [(1, "bad", "star")]
+
+
+def test_shared_folder_comes_from_the_setting(spark):
+    a, b = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert a.startswith(f"{spark.conf.get(SETTING)}/x-") and a != b
+
+
+@pytest.mark.parametrize("master", ["local[8]", "yarn"])
+def test_shared_folder_without_the_setting(master):
+    bare = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master)
+    )
+    if master == "yarn":
+        with pytest.raises(ValueError, match=SETTING):
+            shared_folder(bare, "x")
+    else:
+        assert "/x-" in shared_folder(bare, "x")
