@@ -113,10 +113,10 @@ def plays_on_edges(details: DataFrame, order_by: Sequence[str] = ()) -> DataFram
 def large_games(
     rows: DataFrame, block_rows: int = BLOCK_ROWS, listed: int = LISTED_GAMES
 ) -> DataFrame | None:
-    """Games with more than ``block_rows`` rows, or None. Reads the game column only.
+    """Games with more than ``block_rows`` rows and their number, or None.
 
-    Up to ``listed`` games come to the driver as a literal table, small enough to go to every
-    task; with more, the counts stay a distributed table, which Spark joins as it sees fit.
+    Up to ``listed`` games come to the driver as a literal table, whose size is thus bounded,
+    and go to every task; with more, the counts stay a distributed table.
     """
     counts = rows.groupBy("game_id").count().filter(F.col("count") > block_rows)
     found = counts.limit(listed + 1).collect()
@@ -124,7 +124,7 @@ def large_games(
         return None
     if len(found) > listed:
         return counts
-    return rows.sparkSession.createDataFrame(found, counts.schema)
+    return F.broadcast(rows.sparkSession.createDataFrame(found, counts.schema))
 
 
 def _in_cells(rows: DataFrame, large: DataFrame, block_rows: int) -> DataFrame:
@@ -164,7 +164,8 @@ def player_pairs(
     shuffled, and never kept as lists.
 
     Game sizes are counted beforehand, in ``sizes_from`` if the same games are at hand in a
-    table that is cheaper to read than ``details``. They choose the plan, not the result.
+    table that is cheaper to read than ``details``; blocks are cut by the number of players,
+    which copies do not raise. Sizes choose the plan, not the result.
     """
     needed = ("game_id", "player_id", "player_name", "team_abbreviation", "pts")
     source = details if sizes_from is None else sizes_from
@@ -173,6 +174,10 @@ def player_pairs(
     rows = details.select(*dict.fromkeys([*needed, *order_by]))
     if large is None:
         rows = rows.repartition("game_id")
+    else:
+        ids = details.select("game_id", "player_id")
+        players = ids.join(large, "game_id", "left_semi").distinct()
+        large = large_games(players, block_rows, listed)
     rows = first_per(rows, ["game_id", "player_id"], order_by).select(*needed)
     on = ["game_id"]
     if large is not None:
