@@ -243,22 +243,39 @@ def scd3(df: DataFrame, key: str, period: str, cols: Sequence[str]) -> DataFrame
 
 
 def scd2_asof(
-    facts: DataFrame, scd: DataFrame, key: str, period: str, cols: Sequence[str]
+    facts: DataFrame,
+    scd: DataFrame,
+    key: str,
+    period: str,
+    cols: Sequence[str],
+    width: int = 8,
 ) -> DataFrame:
     """Each fact with the record that held in its own period; facts without one are kept.
 
-    Records of one entity do not overlap, so the row count stays. The join is on the key with
-    the range as a further condition. A hot key fills the fact side only, which is the side
-    that adaptive execution can split in a left join.
+    Records must have real ends, as in the full history. They do not overlap within an entity,
+    so the row count stays. The join is on the entity and a bucket of ``width`` periods, with
+    the range as a further condition: a record lies in each bucket it touches, a fact in one.
+    So a fact meets a few records of its entity rather than all, and an entity with very many
+    facts spreads over its buckets, which adaptive execution can split further.
     """
+    first, last = (F.floor(F.col(c) / width) for c in (START, END))
     records = scd.select(
-        F.col(key).alias("_key"), F.col(START).alias("_from"), F.col(END).alias("_to"), *cols
+        F.col(key).alias("_key"),
+        F.explode(F.sequence(first, last)).alias("_in_bucket"),
+        F.col(START).alias("_from"),
+        F.col(END).alias("_to"),
+        *cols,
+    )
+    held = (
+        (F.col(key) == F.col("_key"))
+        & (F.col("_bucket") == F.col("_in_bucket"))
+        & F.col(period).between(F.col("_from"), F.col("_to"))
     )
-    held = (F.col(key) == F.col("_key")) & F.col(period).between(F.col("_from"), F.col("_to"))
     return (
-        facts.join(records, held, "left")
+        facts.withColumn("_bucket", F.floor(F.col(period) / width))
+        .join(records, held, "left")
+        .drop("_key", "_bucket", "_in_bucket")
         .withColumnsRenamed({"_from": START, "_to": END})
-        .drop("_key")
     )
 
 

@@ -1,5 +1,3 @@
-from datetime import date
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,12 +134,13 @@ def test_types_0_1_3(players):
     assert ("A", "bad", "star") in rows_of(scd.scd3(players, KEY, PERIOD, cols))
 
 
-def test_asof(spark, players):
+@pytest.mark.parametrize("width", [1, 3, 8])
+def test_asof(spark, players, width):
     facts = spark.createDataFrame(
         [(1, "A", 2000), (2, "A", 2002), (3, "B", 2001), (4, "C", 2001), (5, "Z", 2002)],
         "id int, player_name string, season int",
     )
-    held = scd.scd2_asof(facts, full(players, 2002), KEY, "season", TRACKED)
+    held = scd.scd2_asof(facts, full(players, 2002), KEY, "season", TRACKED, width)
     assert rows_of(held, "id", *TRACKED, "start_season") == [
         (1, "bad", True, 2000),
         (2, "star", True, 2001),
