@@ -34,6 +34,30 @@ def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     )
 
 
+def overwrite_period_bucketed(
+    df: DataFrame, table: str, period_col: str, key: str, buckets: int, location: str
+) -> None:
+    """``overwrite_period`` for a catalogue table that is also bucketed by ``key``.
+
+    A step that joins such a snapshot to the next period on the key reads it bucket by bucket:
+    only the new period's rows are shuffled, not the histories. Rows are spread by the same
+    hash before the write, so that a period has one file per bucket. The overwrite mode is an
+    option of the table, as inserts do not take it from the writer.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        spark.sql(
+            f"""create table {table} ({columns}) using parquet
+                options ('partitionOverwriteMode' = 'dynamic')
+                partitioned by (`{period_col}`)
+                clustered by (`{key}`) sorted by (`{key}`) into {buckets} buckets
+                location '{location}'"""
+        )
+    in_order = spark.table(table).columns
+    df.select(*in_order).repartition(buckets, key).write.insertInto(table, overwrite=True)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``source`` replace those of ``target`` with the same key, or are added.
 

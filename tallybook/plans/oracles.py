@@ -124,8 +124,6 @@ def _additivity(dim: str) -> str:
     """
 
 
-LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate"
-
 _LAST_FLAT = f"select * from snaps where current_season = {LAST_YEAR}"
 _BEFORE_FLAT = f"select * from snaps where current_season = {BEFORE}"
 
@@ -257,7 +255,7 @@ ORACLES: dict[str, str] = {
          union all
          select 'events', year(ts)::int from events group by all having count(*) > 1)""",
     "depends_on_past": """
-        select day from (
+        select day::varchar as day from (
           select day, day - lag(day) over (order by day) as step
           from (select distinct o_orderdate::date as day from orders))
         where step is null or step > 1""",
@@ -280,7 +278,7 @@ ORACLES: dict[str, str] = {
           from (select day, event_type, count(distinct user_id) as n
                 from user_events group by all) group by day),
         kinds as (select day, user_id, count(distinct event_type) as k from user_events group by all)
-        select pairs.day, any_value(s) as sum_over_members, count(*) as total_entities,
+        select pairs.day::varchar as day, any_value(s) as sum_over_members, count(*) as total_entities,
                count(*) filter (k > 1) as multi_member_entities,
                max(k) = 1 as is_additive
         from pairs join kinds using (day) group by pairs.day""",
@@ -405,8 +403,9 @@ ORACLES: dict[str, str] = {
           select 'missing vertex', game_id || '|game', sum(n) from played
           where game_id not in (select o_orderkey from orders) group by game_id)
         select problem, key, n::bigint as n from ends""",
-    "fact_dedup": f"""
-        select {LINE} from (
+    "fact_dedup": """
+        select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+               strftime(l_shipdate, '%Y-%m-%d') as l_shipdate from (
           select *, count(*) over (
             partition by l_orderkey, l_linenumber
             order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate

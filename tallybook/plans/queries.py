@@ -284,7 +284,7 @@ def missing_partitions(spark, sf_dir):
 @query
 def depends_on_past(spark, sf_dir):
     days = src.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"))
-    return idempotent.depends_on_past(days, "day", 1)
+    return idempotent.depends_on_past(days, "day", 1).select(F.col("day").cast("string").alias("day"))
 
 
 @query
@@ -324,7 +324,8 @@ def additivity_check(spark, sf_dir):
 
 @query
 def additivity_by_window(spark, sf_dir):
-    return dims.additivity_check(_user_events(spark, sf_dir), "user_id", "event_type", "day")
+    checked = dims.additivity_check(_user_events(spark, sf_dir), "user_id", "event_type", "day")
+    return checked.withColumn("day", F.col("day").cast("string"))
 
 
 @query
@@ -563,7 +564,8 @@ def _lines(spark, sf_dir):
 
 @query
 def fact_dedup(spark, sf_dir):
-    return facts.fact_dedup(_lines(spark, sf_dir), GRAIN, LINE[2:])
+    rows = facts.fact_dedup(_lines(spark, sf_dir), GRAIN, LINE[2:])
+    return rows.withColumn("l_shipdate", F.to_date("l_shipdate").cast("string"))
 
 
 @query

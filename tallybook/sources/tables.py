@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallybook.schemas import PLAYER_HISTORY
 
@@ -22,8 +23,16 @@ LAST_YEAR = 2001
 DETAIL_ORDER = ("line_no", "part_id", "pts")
 
 
+# Schemas found so far, by application and path: only the first read of a table infers one.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 # Copies of a dimension row in a salted join.

@@ -7,7 +7,7 @@ import pytest
 from tallybook.operators import cumulative as cu
 from tallybook.operators import graph, idempotent, scd
 from tallybook.plans import QUERIES
-from tests.fixtures import details, seasons
+from tests.fixtures import details, rows_of, seasons
 from tests.oracle import DATA
 
 SF = str(DATA / "sf0.001")
@@ -91,3 +91,26 @@ def test_incremental_scd_joins_once_and_prunes(spark, no_broadcast, tmp_path):
     text = plan(scd.scd2_incremental(spark.read.parquet(path), now, "player_name", tracked, 2002))
     assert text.count("SortMergeJoin") == 1
     assert len(re.findall(r"PartitionFilters: \[[^\]]*current_season#\d+ = 2001", text)) == 2
+
+
+def test_step_on_a_bucketed_table_shuffles_the_new_facts_only(spark, no_broadcast, tmp_path):
+    facts = seasons(spark)
+    backfill = cu.cumulative_backfill(facts, 2000, 2002)
+
+    def save(df):
+        idempotent.overwrite_period_bucketed(
+            df, "bucketed_players", "current_season", "player_name", 8, str(tmp_path / "b")
+        )
+
+    save(backfill)
+    table = spark.table("bucketed_players")
+    step = cu.cumulative_step(table, facts, 2002)
+    assert plan(step).count("Exchange hashpartitioning") == 1
+    save(step)
+    again = spark.table("bucketed_players")
+    assert rows_of(again.select(backfill.columns)) == rows_of(backfill)
+
+    tracked = ["scoring_class", "is_active"]
+    history = scd.scd2_full(table, "player_name", "current_season", tracked, 2001)
+    assert plan(history).count("Exchange hashpartitioning") == 0
+    spark.sql("drop table bucketed_players")
