@@ -1,0 +1,43 @@
+"""The whole work on one set of folders: tables are written, read back and built upon."""
+
+from tallybook.operators import cumulative, graph, idempotent, scd
+from tests.fixtures import details, rows_of, seasons
+from tests.test_graph import ORDER, PAIRS, pair_rows
+from tests.test_scd import AT_2001, AT_2002, OUT, TRACKED
+
+
+def test_history_year_by_year(spark, tmp_path):
+    """Players and their type 2 history grow by one period per run; a rerun changes nothing."""
+    facts, key = seasons(spark), "player_name"
+    players, history = str(tmp_path / "players"), str(tmp_path / "players_scd")
+    first = cumulative.cumulative_snapshot(facts, 2000, 2000)
+    idempotent.overwrite_period(first, players, "current_season")
+    full = scd.scd2_full(spark.read.parquet(players), key, "current_season", TRACKED, 2000)
+    idempotent.overwrite_period(full, history, "current_season")
+    for period in (2001, 2002, 2001, 2002):
+        step = cumulative.cumulative_step(spark.read.parquet(players), facts, period)
+        idempotent.overwrite_period(step, players, "current_season")
+        moved = scd.scd2_incremental(
+            spark.read.parquet(history), spark.read.parquet(players), key, TRACKED, period
+        )
+        idempotent.overwrite_period(moved, history, "current_season")
+    table = spark.read.parquet(history)
+    assert rows_of(table.filter("current_season = 2001"), *OUT) == AT_2001
+    assert rows_of(table.filter("current_season = 2002"), *OUT) == AT_2002
+    assert idempotent.depends_on_past(table, "current_season").collect()[0][0] == 2000
+
+
+def test_graph_in_partitions(spark, tmp_path):
+    d = details(spark)
+    edges = str(tmp_path / "edges")
+    for part in (
+        graph.plays_in_edges(d, order_by=ORDER),
+        graph.player_pair_edges(d, ORDER),
+        graph.player_pair_edges(d, ORDER),
+    ):
+        idempotent.write_partitioned(part, edges, ["edge_type"])
+    table = spark.read.parquet(edges)
+    assert table.count() == 8 + len(PAIRS)
+    assert pair_rows(table.filter("edge_type <> 'plays_in'")) == PAIRS
+    best = graph.max_points(graph.player_vertices(d), table)
+    assert [tuple(r) for r in best.collect()] == [("P10", 9), ("P11", 7), ("P12", 3)]
