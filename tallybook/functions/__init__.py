@@ -1,6 +1,7 @@
 from tallybook.functions.columns import (
     all_equal,
     any_differs,
+    as_list,
     classify,
     first_entry,
     is_current,
@@ -15,6 +16,7 @@ from tallybook.functions.columns import (
 __all__ = [
     "all_equal",
     "any_differs",
+    "as_list",
     "classify",
     "first_entry",
     "is_current",

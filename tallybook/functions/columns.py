@@ -10,6 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def as_list(names: str | Sequence[str]) -> list[str]:
+    """One column name or several, as a list."""
+    return [names] if isinstance(names, str) else list(names)
+
+
 def classify(score: Column, bands: Sequence[tuple[str, float]], default: str) -> Column:
     """Label of the first band whose bound lies strictly below ``score``.
 

@@ -8,10 +8,13 @@ grain, is a plain aggregate with a map-side half.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import (
+    as_list,
     classify,
     first_entry,
     is_current,
@@ -42,7 +45,8 @@ def cumulative_step(
     """
     before = snapshots.filter(F.col(spec.snapshot) == period - 1).alias("b")
     now = facts.filter(F.col(spec.period) == period).alias("n")
-    joined = now.join(before, F.col(f"n.{spec.key}") == F.col(f"b.{spec.key}"), "full_outer")
+    same = [F.col(f"n.{k}") == F.col(f"b.{k}") for k in spec.keys]
+    joined = now.join(before, same, "full_outer")
 
     present = F.col(f"n.{spec.period}").isNotNull()
     old_history = F.coalesce(F.col(f"b.{spec.history}"), F.array().cast(_history_type(before, spec)))
@@ -50,7 +54,7 @@ def cumulative_step(
     label = classify(F.col(f"n.{spec.score}"), spec.bands, spec.lowest)
 
     columns = [
-        F.coalesce(F.col(f"n.{c}"), F.col(f"b.{c}")).alias(c) for c in (spec.key, *spec.attrs)
+        F.coalesce(F.col(f"n.{c}"), F.col(f"b.{c}")).alias(c) for c in (*spec.keys, *spec.attrs)
     ]
     columns += [
         F.when(present, grown).otherwise(F.col(f"b.{spec.history}")).alias(spec.history),
@@ -80,16 +84,16 @@ def cumulative_backfill(
     entity's rows at ``first`` but stay out of its history. Attributes are the entity's
     greatest values over all facts.
     """
-    by_period = Window.partitionBy(spec.key).orderBy(spec.period)
+    by_period = Window.partitionBy(*spec.keys).orderBy(spec.period)
     so_far = by_period.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(spec.key)
+    whole = Window.partitionBy(*spec.keys)
     counted = F.col(spec.period) >= first
     entry = F.when(counted, _entry(spec))
     starts = F.greatest(F.col(spec.period), F.lit(first))
     ends = F.least(F.coalesce(F.lead(spec.period).over(by_period) - 1, F.lit(last)), F.lit(last))
 
     held = facts.select(
-        spec.key,
+        *spec.keys,
         *[F.max(c).over(whole).alias(c) for c in spec.attrs],
         F.collect_list(entry).over(so_far).alias(spec.history),
         F.when(counted, F.col(spec.score)).alias("_score"),
@@ -101,7 +105,7 @@ def cumulative_backfill(
         spec.snapshot, F.explode(F.sequence("_starts", "_ends"))
     )
     return spread.select(
-        spec.key,
+        *spec.keys,
         *spec.attrs,
         spec.history,
         classify(F.col("_score"), spec.bands, spec.lowest).alias(spec.label),
@@ -120,14 +124,14 @@ def cumulative_snapshot(
     """
     kept = facts if spec.attrs else facts.filter(F.col(spec.period) <= period)
     counted = F.col(spec.period).between(first, period)
-    rows = kept.groupBy(spec.key).agg(
+    rows = kept.groupBy(*spec.keys).agg(
         *[F.max(c).alias(c) for c in spec.attrs],
         F.array_sort(F.collect_list(F.when(counted, _entry(spec)))).alias(spec.history),
         F.min(spec.period).alias("_first"),
     ).filter(F.col("_first") <= period)
     latest = last_entry(F.col(spec.history))
     return rows.select(
-        spec.key,
+        *spec.keys,
         *spec.attrs,
         spec.history,
         classify(latest[spec.score], spec.bands, spec.lowest).alias(spec.label),
@@ -138,51 +142,64 @@ def cumulative_snapshot(
 
 
 def period_spine(
-    facts: DataFrame, key: str, period: str, first: int, last: int, name: str | None = None
+    facts: DataFrame,
+    key: str | Sequence[str],
+    period: str,
+    first: int,
+    last: int,
+    name: str | None = None,
 ) -> DataFrame:
     """(entity, period) from the entity's first period, or ``first`` if later, to ``last``."""
-    starts = facts.groupBy(key).agg(F.greatest(F.min(period), F.lit(first)).alias("_starts"))
+    keys = as_list(key)
+    starts = facts.groupBy(*keys).agg(F.greatest(F.min(period), F.lit(first)).alias("_starts"))
     return starts.filter(F.col("_starts") <= last).select(
-        key, F.explode(F.sequence(F.col("_starts"), F.lit(last))).alias(name or period)
+        *keys, F.explode(F.sequence(F.col("_starts"), F.lit(last))).alias(name or period)
     )
 
 
-def static_attributes(facts: DataFrame, key: str, attrs: list[str] | tuple[str, ...]) -> DataFrame:
+def static_attributes(
+    facts: DataFrame, key: str | Sequence[str], attrs: Sequence[str]
+) -> DataFrame:
     """One row per entity with the greatest non-null value of each attribute."""
-    return facts.groupBy(key).agg(*[F.max(c).alias(c) for c in attrs])
+    return facts.groupBy(*as_list(key)).agg(*[F.max(c).alias(c) for c in attrs])
 
 
 def unnest_history(
     snapshots: DataFrame,
     period: int,
-    key_value: str | None = None,
+    key_value: object = None,
     spec: HistorySpec = PLAYER_HISTORY,
 ) -> DataFrame:
     """History entries of one snapshot as rows; of one entity if ``key_value`` is given."""
     return snapshot_lookup(snapshots, period, key_value, spec).select(
-        spec.key, F.inline(spec.history)
+        *spec.keys, F.inline(spec.history)
     )
 
 
 def snapshot_lookup(
     snapshots: DataFrame,
     period: int | None = None,
-    key_value: str | None = None,
+    key_value: object = None,
     spec: HistorySpec = PLAYER_HISTORY,
 ) -> DataFrame:
-    """Rows of one snapshot and one entity; both filters reach the scan. Without, all rows."""
+    """Rows of one snapshot and one entity; both filters reach the scan. Without, all rows.
+
+    With a key of several columns, ``key_value`` is a tuple with a value for each.
+    """
     rows = snapshots
     if period is not None:
         rows = rows.filter(F.col(spec.snapshot) == period)
     if key_value is not None:
-        rows = rows.filter(F.col(spec.key) == key_value)
+        values = key_value if isinstance(key_value, (list, tuple)) else [key_value]
+        for k, value in zip(spec.keys, values, strict=True):
+            rows = rows.filter(F.col(k) == value)
     return rows
 
 
 def first_last(snapshots: DataFrame, period: int, spec: HistorySpec = PLAYER_HISTORY) -> DataFrame:
     """First and latest history entry of each entity of one snapshot."""
     return snapshot_lookup(snapshots, period, spec=spec).select(
-        spec.key,
+        *spec.keys,
         first_entry(F.col(spec.history)).alias("first_season"),
         last_entry(F.col(spec.history)).alias("latest_season"),
     )
@@ -201,5 +218,5 @@ def improvement_ratio(
     return (
         snapshot_lookup(snapshots, period, spec=spec)
         .filter(F.col(spec.label) == label)
-        .select(spec.key, (latest / F.when(start == 0, F.lit(1.0)).otherwise(start)).alias(name))
+        .select(*spec.keys, (latest / F.when(start == 0, F.lit(1.0)).otherwise(start)).alias(name))
     )

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybook.functions import as_list
+
 
 def overwrite_period(
     df: DataFrame, path: str, period_col: str, periods: Sequence | None = None
@@ -112,18 +114,24 @@ def depends_on_past(df: DataFrame, period_col: str, step=1) -> DataFrame:
 
 
 def snapshot_asof(
-    facts: DataFrame, snapshots: DataFrame, key: str, period: str, snapshot: str, col: str
+    facts: DataFrame,
+    snapshots: DataFrame,
+    key: str | Sequence[str],
+    period: str,
+    snapshot: str,
+    col: str,
 ) -> DataFrame:
     """Facts whose ``col`` in the snapshot of their own period differs from the latest one.
 
     The latest value is set beside every snapshot row first, so facts are joined once.
     """
-    latest = F.max_by(col, snapshot).over(Window.partitionBy(key))
+    keys = as_list(key)
+    latest = F.max_by(col, snapshot).over(Window.partitionBy(*keys))
     both = snapshots.select(
-        F.col(key).alias("_key"),
+        *[F.col(k).alias(f"_of_{k}") for k in keys],
         F.col(snapshot).alias("_period"),
         F.col(col).alias(f"own_{col}"),
         latest.alias(f"latest_{col}"),
     ).filter(~F.col(f"own_{col}").eqNullSafe(F.col(f"latest_{col}")))
-    own = (F.col(key) == F.col("_key")) & (F.col(period) == F.col("_period"))
-    return facts.join(both, own).drop("_key", "_period")
+    own = [F.col(k) == F.col(f"_of_{k}") for k in keys] + [F.col(period) == F.col("_period")]
+    return facts.join(both, own).drop("_period", *[f"_of_{k}" for k in keys])

@@ -13,7 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.functions import all_equal, any_differs
+from tallybook.functions import all_equal, any_differs, as_list
+
+# One key column or several.
+Key = str | Sequence[str]
 
 # Names of the range and snapshot columns.
 START = "start_season"
@@ -22,17 +25,17 @@ SNAPSHOT = "current_season"
 FAR_FUTURE = 9999
 
 
-def with_previous(df: DataFrame, key: str, order: str, cols: Sequence[str]) -> DataFrame:
+def with_previous(df: DataFrame, key: Key, order: str, cols: Sequence[str]) -> DataFrame:
     """Each of ``cols`` beside its value in the entity's previous row."""
-    w = Window.partitionBy(key).orderBy(order)
+    w = Window.partitionBy(*as_list(key)).orderBy(order)
     return df.withColumns({f"previous_{c}": F.lag(c).over(w) for c in cols})
 
 
 def with_streaks(
-    df: DataFrame, key: str, order: str, cols: Sequence[str], null_safe: bool = True
+    df: DataFrame, key: Key, order: str, cols: Sequence[str], null_safe: bool = True
 ) -> DataFrame:
     """Adds the change flag (0 or 1) and the number of changes so far, the streak."""
-    w = Window.partitionBy(key).orderBy(order)
+    w = Window.partitionBy(*as_list(key)).orderBy(order)
     pairs = [(F.col(c), F.lag(c).over(w)) for c in cols]
     changed = F.lag(order).over(w).isNotNull() & any_differs(pairs, null_safe)
     flagged = df.withColumn("change_indicator", F.when(changed, 1).otherwise(0))
@@ -65,7 +68,7 @@ def _merge_runs(df: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> D
 
 def scd2_full(
     df: DataFrame,
-    key: str,
+    key: Key,
     period: str,
     tracked: Sequence[str],
     upto: int,
@@ -79,28 +82,28 @@ def scd2_full(
     """
     rows = df.filter(F.col(period) <= upto)
     if null_safe:
-        ranges = rows.select(key, *tracked, F.col(period).alias(START), F.col(period).alias(END))
+        ranges = rows.select(*as_list(key), *tracked, F.col(period).alias(START), F.col(period).alias(END))
         if chunk:
             ranges = ranges.withColumn("_chunk", F.floor(F.col(START) / chunk))
-            ranges = _merge_runs(ranges, [key, "_chunk"], tracked)
-        ranges = _merge_runs(ranges, [key], tracked)
+            ranges = _merge_runs(ranges, [*as_list(key), "_chunk"], tracked)
+        ranges = _merge_runs(ranges, as_list(key), tracked)
     else:
         ranges = (
-            with_streaks(rows.select(key, period, *tracked), key, period, tracked, null_safe)
-            .groupBy(key, "streak_identifier", *tracked)
+            with_streaks(rows.select(*as_list(key), period, *tracked), key, period, tracked, null_safe)
+            .groupBy(*as_list(key), "streak_identifier", *tracked)
             .agg(F.min(period).alias(START), F.max(period).alias(END))
         )
-    return ranges.select(key, *tracked, START, END, F.lit(upto).alias(SNAPSHOT))
+    return ranges.select(*as_list(key), *tracked, START, END, F.lit(upto).alias(SNAPSHOT))
 
 
 def scd2_preview(
-    df: DataFrame, key: str, period: str, tracked: Sequence[str], min_streak: int = 2
+    df: DataFrame, key: Key, period: str, tracked: Sequence[str], min_streak: int = 2
 ) -> DataFrame:
     """Ranges of all periods, without each entity's first ``min_streak`` ones."""
-    ranges = df.select(key, *tracked, F.col(period).alias(START), F.col(period).alias(END))
-    w = Window.partitionBy(key).orderBy(START)
+    ranges = df.select(*as_list(key), *tracked, F.col(period).alias(START), F.col(period).alias(END))
+    w = Window.partitionBy(*as_list(key)).orderBy(START)
     return (
-        _merge_runs(ranges, [key], tracked)
+        _merge_runs(ranges, as_list(key), tracked)
         .withColumn("_nth", F.row_number().over(w))
         .filter(F.col("_nth") > min_streak)
         .drop("_nth")
@@ -117,17 +120,19 @@ def scd2_split(prev_scd: DataFrame, prev_period: int) -> tuple[DataFrame, DataFr
 
 
 def _pair_up(
-    last: DataFrame, current: DataFrame, key: str, tracked: Sequence[str], period: str, how: str
+    last: DataFrame, current: DataFrame, key: Key, tracked: Sequence[str], period: str, how: str
 ) -> DataFrame:
     """Entities of ``current`` beside their open record, whose columns start with ``_old_``.
 
     One row per key on both sides, so no key can be hot.
     """
     old = last.select(
-        key, *[F.col(c).alias(f"_old_{c}") for c in (*tracked, START, END)], F.lit(True).alias("_had")
+        *as_list(key),
+        *[F.col(c).alias(f"_old_{c}") for c in (*tracked, START, END)],
+        F.lit(True).alias("_had"),
     )
-    new = current.select(key, *tracked, F.col(period).alias("_now"))
-    return new.join(old, key, how)
+    new = current.select(*as_list(key), *tracked, F.col(period).alias("_now"))
+    return new.join(old, as_list(key), how)
 
 
 def _pairs(tracked: Sequence[str]) -> list[tuple[Column, Column]]:
@@ -146,7 +151,7 @@ def _record(tracked: Sequence[str], old: bool, start: str, end: str) -> Column:
 def scd2_unchanged(
     last: DataFrame,
     current: DataFrame,
-    key: str,
+    key: Key,
     tracked: Sequence[str],
     period: str = SNAPSHOT,
     null_safe: bool = True,
@@ -154,14 +159,14 @@ def scd2_unchanged(
     """Open records whose values hold in this period too, with their end moved to it."""
     joined = _pair_up(last, current, key, tracked, period, "inner")
     return joined.filter(all_equal(_pairs(tracked), null_safe)).select(
-        key, *tracked, F.col(f"_old_{START}").alias(START), F.col("_now").alias(END)
+        *as_list(key), *tracked, F.col(f"_old_{START}").alias(START), F.col("_now").alias(END)
     )
 
 
 def scd2_changed(
     last: DataFrame,
     current: DataFrame,
-    key: str,
+    key: Key,
     tracked: Sequence[str],
     period: str = SNAPSHOT,
     null_safe: bool = True,
@@ -172,21 +177,22 @@ def scd2_changed(
         _record(tracked, True, f"_old_{START}", f"_old_{END}"),
         _record(tracked, False, "_now", "_now"),
     )
-    return joined.filter(any_differs(_pairs(tracked), null_safe)).select(key, F.inline(records))
+    return joined.filter(any_differs(_pairs(tracked), null_safe)).select(*as_list(key), F.inline(records))
 
 
 def scd2_new(
-    last: DataFrame, current: DataFrame, key: str, tracked: Sequence[str], period: str = SNAPSHOT
+    last: DataFrame, current: DataFrame, key: Key, tracked: Sequence[str], period: str = SNAPSHOT
 ) -> DataFrame:
     """Records of entities that have no open one."""
-    fresh = current.join(last.select(key), key, "left_anti")
-    return fresh.select(key, *tracked, F.col(period).alias(START), F.col(period).alias(END))
+    keys = as_list(key)
+    fresh = current.join(last.select(*keys), keys, "left_anti")
+    return fresh.select(*keys, *tracked, F.col(period).alias(START), F.col(period).alias(END))
 
 
 def scd2_incremental(
     prev_scd: DataFrame,
     current: DataFrame,
-    key: str,
+    key: Key,
     tracked: Sequence[str],
     period: int,
     period_col: str = SNAPSHOT,
@@ -216,27 +222,26 @@ def scd2_incremental(
         .when(any_differs(_pairs(tracked), null_safe), F.array(ended, opened))
     )
     if missing == "raise":
-        gone = F.raise_error(
-            F.concat(F.lit(f"no row in period {period} for "), F.col(key).cast("string"))
-        )
+        told = F.concat_ws(", ", *[F.col(k).cast("string") for k in as_list(key)])
+        gone = F.raise_error(F.concat(F.lit(f"no row in period {period} for "), told))
         records = F.when(F.col("_now").isNull(), gone).otherwise(records)
-    moved = joined.select(key, F.inline(records))
+    moved = joined.select(*as_list(key), F.inline(records))
     return closed.select(*moved.columns).unionByName(moved).withColumn(SNAPSHOT, F.lit(period))
 
 
-def scd0(df: DataFrame, key: str, period: str, cols: Sequence[str]) -> DataFrame:
+def scd0(df: DataFrame, key: Key, period: str, cols: Sequence[str]) -> DataFrame:
     """First value ever seen; later ones are ignored."""
-    return df.groupBy(key).agg(*[F.min_by(c, period).alias(c) for c in cols])
+    return df.groupBy(*as_list(key)).agg(*[F.min_by(c, period).alias(c) for c in cols])
 
 
-def scd1(df: DataFrame, key: str, period: str, cols: Sequence[str]) -> DataFrame:
+def scd1(df: DataFrame, key: Key, period: str, cols: Sequence[str]) -> DataFrame:
     """Latest value only."""
-    return df.groupBy(key).agg(*[F.max_by(c, period).alias(c) for c in cols])
+    return df.groupBy(*as_list(key)).agg(*[F.max_by(c, period).alias(c) for c in cols])
 
 
-def scd3(df: DataFrame, key: str, period: str, cols: Sequence[str]) -> DataFrame:
+def scd3(df: DataFrame, key: Key, period: str, cols: Sequence[str]) -> DataFrame:
     """One row per entity with the original and the current value of each column."""
-    return df.groupBy(key).agg(
+    return df.groupBy(*as_list(key)).agg(
         *[F.min_by(c, period).alias(f"original_{c}") for c in cols],
         *[F.max_by(c, period).alias(f"current_{c}") for c in cols],
     )
@@ -245,7 +250,7 @@ def scd3(df: DataFrame, key: str, period: str, cols: Sequence[str]) -> DataFrame
 def scd2_asof(
     facts: DataFrame,
     scd: DataFrame,
-    key: str,
+    key: Key,
     period: str,
     cols: Sequence[str],
     width: int = 8,
@@ -258,23 +263,23 @@ def scd2_asof(
     So a fact meets a few records of its entity rather than all, and an entity with very many
     facts spreads over its buckets, which adaptive execution can split further.
     """
+    keys = as_list(key)
     first, last = (F.floor(F.col(c) / width) for c in (START, END))
     records = scd.select(
-        F.col(key).alias("_key"),
+        *[F.col(k).alias(f"_of_{k}") for k in keys],
         F.explode(F.sequence(first, last)).alias("_in_bucket"),
         F.col(START).alias("_from"),
         F.col(END).alias("_to"),
         *cols,
     )
-    held = (
-        (F.col(key) == F.col("_key"))
-        & (F.col("_bucket") == F.col("_in_bucket"))
-        & F.col(period).between(F.col("_from"), F.col("_to"))
-    )
+    held = [F.col(k) == F.col(f"_of_{k}") for k in keys] + [
+        F.col("_bucket") == F.col("_in_bucket"),
+        F.col(period).between(F.col("_from"), F.col("_to")),
+    ]
     return (
         facts.withColumn("_bucket", F.floor(F.col(period) / width))
         .join(records, held, "left")
-        .drop("_key", "_bucket", "_in_bucket")
+        .drop("_bucket", "_in_bucket", *[f"_of_{k}" for k in keys])
         .withColumnsRenamed({"_from": START, "_to": END})
     )
 

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+from tallybook.functions import as_list
+
 # The enum members and the score bands that the results depend on.
 SCORING_CLASSES = ("star", "good", "average", "bad")
 VERTEX_TYPES = ("player", "team", "game")
@@ -72,11 +74,11 @@ EDGES = T.StructType([T.StructField(c, T.StringType()) for c in (*EDGE_KEY, "pro
 class HistorySpec:
     """Names and score bands of a cumulative table and of the facts that feed it.
 
-    Facts hold one row per (``key``, ``period``) with the ``attrs`` and ``stats`` columns;
+    ``key`` is one column or several. Facts hold one row per (``key``, ``period``) with the ``attrs`` and ``stats`` columns;
     ``stats`` starts with the period, so that histories sort by it. Snapshots hold one row per (``key``, ``snapshot``).
     """
 
-    key: str = "player_name"
+    key: str | tuple[str, ...] = "player_name"
     attrs: tuple[str, ...] = PLAYER_ATTRIBUTES
     period: str = "season"
     stats: tuple[str, ...] = ("season", "gp", "pts", "reb", "ast")
@@ -93,5 +95,9 @@ class HistorySpec:
         if self.stats[:1] != (self.period,) or self.score not in self.stats:
             raise ValueError("stats must start with the period and hold the score column")
 
+    @property
+    def keys(self) -> list[str]:
+        return as_list(self.key)
+
 
 PLAYER_HISTORY = HistorySpec()

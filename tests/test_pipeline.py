@@ -1,6 +1,11 @@
 """The whole work on one set of folders: tables are written, read back and built upon."""
 
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
 from tallybook.operators import cumulative, graph, idempotent, scd
+from tallybook.schemas import PLAYER_HISTORY
 from tests.fixtures import details, rows_of, seasons
 from tests.test_graph import ORDER, PAIRS, pair_rows
 from tests.test_scd import AT_2001, AT_2002, OUT, TRACKED
@@ -41,3 +46,29 @@ def test_graph_in_partitions(spark, tmp_path):
     assert pair_rows(table.filter("edge_type <> 'plays_in'")) == PAIRS
     best = graph.max_points(graph.player_vertices(d), table)
     assert [tuple(r) for r in best.collect()] == [("P10", 9), ("P11", 7), ("P12", 3)]
+
+
+def test_key_of_two_columns(spark):
+    """Two leagues with the same players stay apart through every step."""
+    spec = replace(PLAYER_HISTORY, key=("league", "player_name"))
+    keys = list(spec.key)
+    one = seasons(spark)
+    facts = one.withColumn("league", F.lit("x")).unionByName(one.withColumn("league", F.lit("y")))
+    players = cumulative.cumulative_backfill(facts, 2000, 2002, spec)
+    step = cumulative.cumulative_step(players, facts, 2002, spec)
+    assert rows_of(step.select(players.columns)) == rows_of(players.filter("current_season = 2002"))
+    assert cumulative.snapshot_lookup(players, 2002, ("x", "A"), spec).count() == 1
+    assert cumulative.period_spine(facts, keys, "season", 2000, 2002).count() == 18
+
+    before = scd.scd2_full(players, keys, "current_season", TRACKED, 2001)
+    after = scd.scd2_incremental(before, players, keys, TRACKED, 2002, missing="raise")
+    expected = sorted([(g, *r) for g in "xy" for r in AT_2002], key=repr)
+    assert rows_of(after, "league", *OUT) == expected
+    chunked = scd.scd2_full(players, keys, "current_season", TRACKED, 2002, chunk=2)
+    assert rows_of(chunked, "league", *OUT) == expected
+    held = scd.scd2_asof(facts.select(*keys, "season"), after, keys, "season", TRACKED)
+    assert held.count() == 14 and held.filter("scoring_class is null").isEmpty()
+    late = idempotent.snapshot_asof(
+        facts.select(*keys, "season"), players, keys, "season", "current_season", "scoring_class"
+    )
+    assert rows_of(late, *keys, "season") == [("x", "A", 2000), ("y", "A", 2000)]
