@@ -198,14 +198,14 @@ def player_pairs(
         met &= (a("_block") != b("_block")) | (a("_low") == a("_high"))
     for c in on:
         met &= a(c) == b(c)
-    shared = a("team_abbreviation") == b("team_abbreviation")
-    return (
+    shared = F.coalesce(a("team_abbreviation") == b("team_abbreviation"), F.lit(False))
+    pairs = (
         rows.alias("a")
         .join(rows.alias("b"), met)
         .groupBy(
             a("player_id").alias("subject_id"),
             b("player_id").alias("object_id"),
-            F.when(shared, "shares_team").otherwise("plays_against").alias("edge_type"),
+            shared.alias("_shared"),
         )
         .agg(
             F.count(F.lit(1)).alias("num_games"),
@@ -213,6 +213,15 @@ def player_pairs(
             F.sum(b("pts")).alias("object_points"),
         )
     )
+    kind = F.when(F.col("_shared"), "shares_team").otherwise("plays_against")
+    return pairs.select(
+        "subject_id",
+        "object_id",
+        kind.alias("edge_type"),
+        "num_games",
+        "subject_points",
+        "object_points",
+    )
 
 
 def player_pair_edges(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import as_list
@@ -18,10 +18,21 @@ def overwrite_period(
 
     Columns are stored by name. The mode is set on the writer, as a static overwrite would
     delete the other periods and even the input of a job that reads the same table. With
-    ``periods``, rows of other periods are left out. A period without rows is not touched.
+    ``periods``, rows of other periods are left out, and a period without rows is an error: a
+    dynamic overwrite cannot empty a partition, so rows of an earlier run would stay.
     """
-    rows = df if periods is None else df.filter(F.col(period_col).isin(list(periods)))
+    if periods is None:
+        write_partitioned(df, path, [period_col])
+        return
+    written = Observation()
+    rows = df.filter(F.col(period_col).isin(list(periods))).observe(
+        written,
+        *[F.count_if(F.col(period_col) == p).alias(f"n_{i}") for i, p in enumerate(periods)],
+    )
     write_partitioned(rows, path, [period_col])
+    empty = [p for i, p in enumerate(periods) if not written.get[f"n_{i}"]]
+    if empty:
+        raise ValueError(f"no rows for {period_col} {empty}; rows written earlier are still there")
 
 
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> None:

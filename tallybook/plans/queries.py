@@ -34,6 +34,10 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.player_seasons(spark, sf_dir)
 
 
+def _new_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.player_seasons(spark, sf_dir, LAST, LAST)
+
+
 def _players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cumulative.cumulative_backfill(_facts(spark, sf_dir), FIRST, LAST, SPEC)
 
@@ -66,14 +70,14 @@ def _flat(players: DataFrame) -> DataFrame:
 @query
 def cumulative_step(spark, sf_dir):
     before = _snapshot(spark, sf_dir, LAST - 1)
-    return _flat(cumulative.cumulative_step(before, _facts(spark, sf_dir), LAST, SPEC))
+    return _flat(cumulative.cumulative_step(before, _new_facts(spark, sf_dir), LAST, SPEC))
 
 
 @query
 def cumulative_step_without_activity(spark, sf_dir):
     before = _snapshot(spark, sf_dir, LAST - 1)
-    step = cumulative.cumulative_step(before, _facts(spark, sf_dir), LAST, SPEC, with_active=False)
-    return _flat(step)
+    today = _new_facts(spark, sf_dir)
+    return _flat(cumulative.cumulative_step(before, today, LAST, SPEC, with_active=False))
 
 
 @query
@@ -259,9 +263,10 @@ def overwrite_period(spark, sf_dir):
 @query
 def merge_upsert(spark, sf_dir):
     """Each customer's state before the last year, then the last year's rows merged in."""
-    rows = _facts(spark, sf_dir).select(KEY, "season", "gp", "pts")
-    known = scd.scd1(rows.filter(F.col("season") < LAST), KEY, "season", ["season", "gp", "pts"])
-    return idempotent.merge_upsert(known, rows.filter(F.col("season") == LAST), [KEY])
+    columns = ["season", "gp", "pts"]
+    older = src.player_seasons(spark, sf_dir, last=LAST - 1).select(KEY, *columns)
+    newer = _new_facts(spark, sf_dir).select(KEY, *columns)
+    return idempotent.merge_upsert(scd.scd1(older, KEY, "season", columns), newer, [KEY])
 
 
 @query

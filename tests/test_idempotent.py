@@ -31,6 +31,15 @@ def test_other_periods_stay(spark, tmp_path):
     assert {r.season for r in changed.collect()} == {2001}
 
 
+def test_a_period_without_rows_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = seasons(spark).select("player_name", "season", "pts")
+    idem.overwrite_period(rows, path, "season")
+    with pytest.raises(ValueError, match="2003"):
+        idem.overwrite_period(rows, path, "season", [2002, 2003])
+    assert spark.read.parquet(path).count() == rows.count()
+
+
 def test_cumulative_table_kept_in_one_folder(spark, tmp_path):
     """Each step reads the period before from the table it writes to; a rerun changes nothing."""
     path = str(tmp_path / "players")
