@@ -53,7 +53,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tallybook-bench")
-        .config("spark.sql.shuffle.partitions", "16")
+        .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")

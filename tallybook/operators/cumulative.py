@@ -86,7 +86,7 @@ def cumulative_backfill(
     """
     by_period = Window.partitionBy(*spec.keys).orderBy(spec.period)
     so_far = by_period.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*spec.keys)
+    whole = by_period.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counted = F.col(spec.period) >= first
     entry = F.when(counted, _entry(spec))
     starts = F.greatest(F.col(spec.period), F.lit(first))
@@ -120,15 +120,21 @@ def cumulative_snapshot(
 ) -> DataFrame:
     """The rows that ``cumulative_backfill`` gives for one ``period``, built alone.
 
-    One aggregate on the key. Without attributes the filter on the period reaches the scan.
+    Without attributes the filter on the period reaches the scan. A window gathers the history
+    at the entity's last row, after one exchange and one sort; an aggregate would sort map-side
+    as well, to no use, as facts are already unique per entity and period.
     """
     kept = facts if spec.attrs else facts.filter(F.col(spec.period) <= period)
     counted = F.col(spec.period).between(first, period)
-    rows = kept.groupBy(*spec.keys).agg(
-        *[F.max(c).alias(c) for c in spec.attrs],
-        F.array_sort(F.collect_list(F.when(counted, _entry(spec)))).alias(spec.history),
-        F.min(spec.period).alias("_first"),
-    ).filter(F.col("_first") <= period)
+    by_period = Window.partitionBy(*spec.keys).orderBy(spec.period)
+    whole = by_period.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = kept.select(
+        *spec.keys,
+        *[F.max(c).over(whole).alias(c) for c in spec.attrs],
+        F.collect_list(F.when(counted, _entry(spec))).over(whole).alias(spec.history),
+        F.min(spec.period).over(whole).alias("_first"),
+        F.lead(spec.period).over(by_period).alias("_next"),
+    ).filter(F.col("_next").isNull() & (F.col("_first") <= period))
     latest = last_entry(F.col(spec.history))
     return rows.select(
         *spec.keys,

@@ -74,8 +74,9 @@ EDGES = T.StructType([T.StructField(c, T.StringType()) for c in (*EDGE_KEY, "pro
 class HistorySpec:
     """Names and score bands of a cumulative table and of the facts that feed it.
 
-    ``key`` is one column or several. Facts hold one row per (``key``, ``period``) with the ``attrs`` and ``stats`` columns;
-    ``stats`` starts with the period, so that histories sort by it. Snapshots hold one row per (``key``, ``snapshot``).
+    ``key`` is one column or several. Facts hold one row per (``key``, ``period``) with the
+    ``attrs`` and ``stats`` columns; ``stats`` starts with the period, so that histories sort by
+    it. Snapshots hold one row per (``key``, ``snapshot``).
     """
 
     key: str | tuple[str, ...] = "player_name"

@@ -4,8 +4,8 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from tallybook.operators import cumulative, graph, idempotent, scd
-from tallybook.schemas import PLAYER_HISTORY
+from tallybook.operators import cumulative, dims, facts, graph, idempotent, scd
+from tallybook.schemas import EDGE_KEY, EDGE_TYPES, PLAYER_HISTORY, VERTEX_TYPES
 from tests.fixtures import details, rows_of, seasons
 from tests.test_graph import ORDER, PAIRS, pair_rows
 from tests.test_scd import AT_2001, AT_2002, OUT, TRACKED
@@ -13,14 +13,14 @@ from tests.test_scd import AT_2001, AT_2002, OUT, TRACKED
 
 def test_history_year_by_year(spark, tmp_path):
     """Players and their type 2 history grow by one period per run; a rerun changes nothing."""
-    facts, key = seasons(spark), "player_name"
+    source, key = seasons(spark), "player_name"
     players, history = str(tmp_path / "players"), str(tmp_path / "players_scd")
-    first = cumulative.cumulative_snapshot(facts, 2000, 2000)
+    first = cumulative.cumulative_snapshot(source, 2000, 2000)
     idempotent.overwrite_period(first, players, "current_season")
     full = scd.scd2_full(spark.read.parquet(players), key, "current_season", TRACKED, 2000)
     idempotent.overwrite_period(full, history, "current_season")
     for period in (2001, 2002, 2001, 2002):
-        step = cumulative.cumulative_step(spark.read.parquet(players), facts, period)
+        step = cumulative.cumulative_step(spark.read.parquet(players), source, period)
         idempotent.overwrite_period(step, players, "current_season")
         moved = scd.scd2_incremental(
             spark.read.parquet(history), spark.read.parquet(players), key, TRACKED, period
@@ -44,6 +44,9 @@ def test_graph_in_partitions(spark, tmp_path):
     table = spark.read.parquet(edges)
     assert table.count() == 8 + len(PAIRS)
     assert pair_rows(table.filter("edge_type <> 'plays_in'")) == PAIRS
+    ends = dict.fromkeys(("subject_type", "object_type"), VERTEX_TYPES)
+    assert dims.enum_validate(table, {"edge_type": EDGE_TYPES, **ends}).isEmpty()
+    assert facts.duplicate_report(table, EDGE_KEY).isEmpty()
     best = graph.max_points(graph.player_vertices(d), table)
     assert [tuple(r) for r in best.collect()] == [("P10", 9), ("P11", 7), ("P12", 3)]
 
@@ -53,12 +56,12 @@ def test_key_of_two_columns(spark):
     spec = replace(PLAYER_HISTORY, key=("league", "player_name"))
     keys = list(spec.key)
     one = seasons(spark)
-    facts = one.withColumn("league", F.lit("x")).unionByName(one.withColumn("league", F.lit("y")))
-    players = cumulative.cumulative_backfill(facts, 2000, 2002, spec)
-    step = cumulative.cumulative_step(players, facts, 2002, spec)
+    rows = one.withColumn("league", F.lit("x")).unionByName(one.withColumn("league", F.lit("y")))
+    players = cumulative.cumulative_backfill(rows, 2000, 2002, spec)
+    step = cumulative.cumulative_step(players, rows, 2002, spec)
     assert rows_of(step.select(players.columns)) == rows_of(players.filter("current_season = 2002"))
     assert cumulative.snapshot_lookup(players, 2002, ("x", "A"), spec).count() == 1
-    assert cumulative.period_spine(facts, keys, "season", 2000, 2002).count() == 18
+    assert cumulative.period_spine(rows, keys, "season", 2000, 2002).count() == 18
 
     before = scd.scd2_full(players, keys, "current_season", TRACKED, 2001)
     after = scd.scd2_incremental(before, players, keys, TRACKED, 2002, missing="raise")
@@ -66,9 +69,9 @@ def test_key_of_two_columns(spark):
     assert rows_of(after, "league", *OUT) == expected
     chunked = scd.scd2_full(players, keys, "current_season", TRACKED, 2002, chunk=2)
     assert rows_of(chunked, "league", *OUT) == expected
-    held = scd.scd2_asof(facts.select(*keys, "season"), after, keys, "season", TRACKED)
+    held = scd.scd2_asof(rows.select(*keys, "season"), after, keys, "season", TRACKED)
     assert held.count() == 14 and held.filter("scoring_class is null").isEmpty()
     late = idempotent.snapshot_asof(
-        facts.select(*keys, "season"), players, keys, "season", "current_season", "scoring_class"
+        rows.select(*keys, "season"), players, keys, "season", "current_season", "scoring_class"
     )
     assert rows_of(late, *keys, "season") == [("x", "A", 2000), ("y", "A", 2000)]
