@@ -12,7 +12,11 @@ from tallybook.functions import as_list
 
 
 def overwrite_period(
-    df: DataFrame, path: str, period_col: str, periods: Sequence | None = None
+    df: DataFrame,
+    path: str,
+    period_col: str,
+    periods: Sequence | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Replace the partitions of ``df``'s periods at ``path``, leaving all others alone.
 
@@ -22,25 +26,32 @@ def overwrite_period(
     dynamic overwrite cannot empty a partition, so rows of an earlier run would stay.
     """
     if periods is None:
-        write_partitioned(df, path, [period_col])
+        write_partitioned(df, path, [period_col], rebalance)
         return
     written = Observation()
     rows = df.filter(F.col(period_col).isin(list(periods))).observe(
         written,
         *[F.count_if(F.col(period_col) == p).alias(f"n_{i}") for i, p in enumerate(periods)],
     )
-    write_partitioned(rows, path, [period_col])
+    write_partitioned(rows, path, [period_col], rebalance)
     empty = [p for i, p in enumerate(periods) if not written.get[f"n_{i}"]]
     if empty:
         raise ValueError(f"no rows for {period_col} {empty}; rows written earlier are still there")
 
 
-def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Dynamic overwrite by ``columns``. Rebalancing puts a partition's rows together, but in
-    several tasks and files where one partition holds much of the data."""
+def write_partitioned(
+    df: DataFrame, path: str, columns: Sequence[str], rebalance: bool = True
+) -> None:
+    """Dynamic overwrite by ``columns``.
+
+    Rebalancing puts a partition's rows together, but in several tasks and files where one
+    partition holds much of the data. It shuffles the rows once more. Leave it out where every
+    task already has a good share of every partition, as after a backfill, whose histories are
+    the larger part of the data.
+    """
+    rows = df.hint("rebalance", *columns) if rebalance else df
     (
-        df.hint("rebalance", *columns)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)

@@ -15,7 +15,7 @@ def test_overwriting_twice_equals_once(spark, tmp_path):
     rows = seasons(spark).select("player_name", "season", "pts")
     idem.overwrite_period(rows, path, "season")
     once = rows_of(spark.read.parquet(path).select("player_name", "season", "pts"))
-    idem.overwrite_period(rows.filter("season = 2002"), path, "season")
+    idem.overwrite_period(rows.filter("season = 2002"), path, "season", rebalance=False)
     idem.overwrite_period(rows, path, "season", [2002])
     assert rows_of(spark.read.parquet(path).select("player_name", "season", "pts")) == once
     rows.filter("season = 2002").write.mode("append").partitionBy("season").parquet(path)
