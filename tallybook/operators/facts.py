@@ -86,7 +86,9 @@ def raw_logs_to_facts(
     """
     rows = raw
     if json_col:
-        rows = rows.withColumn("parsed", F.from_json(json_col, json_schema))
+        # Out of a generator, lest each use below parses the text again in the filter.
+        parsed = F.explode(F.array(F.from_json(json_col, json_schema)))
+        rows = rows.select("*", parsed.alias("parsed"))
     sources = {f"_raw_{name}": source for name, (source, _) in mapping.items()}
     typed = rows.withColumns(sources).withColumns(
         {name: F.col(f"_raw_{name}").try_cast(kind) for name, (_, kind) in mapping.items()}

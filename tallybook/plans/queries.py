@@ -662,9 +662,10 @@ def raw_logs_rejects(spark, sf_dir):
 
 def _five_w(spark, sf_dir):
     """Who clicked what; the place is known only where the log's number is below 50."""
-    place = prop("props", "k").cast("int")
+    place = F.col("place")
+    events = src.table(spark, sf_dir, "events")
     return facts.fact_five_w(
-        src.table(spark, sf_dir, "events"),
+        events.withColumn("place", prop("props", "k").cast("int")),
         who=F.col("user_id"),
         what=F.col("event_type"),
         where=F.when(place < 50, place),

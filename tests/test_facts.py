@@ -53,6 +53,7 @@ def test_raw_logs(spark):
             ("x", "view", "{}"),
             (None, "view", "{}"),
             ("4", "boom", "{}"),
+            ("5", "view", None),
         ],
         "ID string, EvType string, payload string",
     )
@@ -69,7 +70,7 @@ def test_raw_logs(spark):
         domains={"action": ["click", "view"]},
     )
     assert rows_of(good.withColumn("amount", F.col("amount").cast("double"))) == [
-        (1, "click", 2.5), (2, "view", None)
+        (1, "click", 2.5), (2, "view", None), (5, "view", None)
     ]
     assert rows_of(bad, "ID", "reason") == sorted(
         [

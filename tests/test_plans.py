@@ -114,3 +114,8 @@ def test_step_on_a_bucketed_table_shuffles_the_new_facts_only(spark, no_broadcas
     history = scd.scd2_full(table, "player_name", "current_season", tracked, 2001)
     assert plan(history).count("Exchange hashpartitioning") == 0
     spark.sql("drop table bucketed_players")
+
+
+def test_logs_are_parsed_once(spark):
+    for name in ("raw_logs_to_facts", "raw_logs_rejects"):
+        assert plan(QUERIES[name](spark, SF)).count("from_json") == 1
