@@ -104,11 +104,11 @@ def bounded_window(df: DataFrame, col: str, start, end) -> DataFrame:
 
 
 def missing_partitions(
-    sources: Mapping[str, DataFrame], period_col: str, first: int, last: int, min_rows: int = 1
+    sources: Mapping[str, DataFrame], period_col: str, first, last, min_rows: int = 1
 ) -> DataFrame:
     """(source, period) from ``first`` to ``last`` with fewer than ``min_rows`` rows.
 
-    Each source is reduced to a row per period first; only those counts are joined.
+    Periods are whole numbers or, with dates as bounds, days. Each source is reduced to a row per period first; only those counts are joined.
     """
     counted = [
         df.groupBy(F.col(period_col).alias("period"))
@@ -118,9 +118,11 @@ def missing_partitions(
     ]
     present = reduce(DataFrame.unionByName, counted).filter(F.col("count") >= min_rows)
     spark = counted[0].sparkSession
-    expected = spark.range(first, last + 1).select(
+    kind = present.schema["period"].dataType
+    periods = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("period"))
+    expected = periods.select(
         F.explode(F.array(*[F.lit(n) for n in sources])).alias("source"),
-        F.col("id").cast(present.schema["period"].dataType).alias("period"),
+        F.col("period").cast(kind).alias("period"),
     )
     return expected.join(present, ["source", "period"], "left_anti")
 

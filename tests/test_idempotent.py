@@ -76,6 +76,9 @@ def test_missing_partitions(spark):
     assert rows_of(missing, "source", "period") == [("a", 2), ("b", 1), ("b", 3)]
     thin = idem.missing_partitions({"a": a}, "p", 1, 3, min_rows=2)
     assert rows_of(thin, "source", "period") == [("a", 2), ("a", 3)]
+    days = spark.createDataFrame([(date(2024, 2, 28),), (date(2024, 3, 1),)], "d date")
+    missing = idem.missing_partitions({"x": days}, "d", date(2024, 2, 28), date(2024, 3, 2))
+    assert rows_of(missing, "period") == [(date(2024, 2, 29),), (date(2024, 3, 2),)]
 
 
 def test_depends_on_past(spark):
