@@ -16,7 +16,7 @@ from tallybook.operators.facts import first_per
 from tallybook.schemas import EDGE_KEY
 
 # A game with more rows than this is paired in blocks of about this many rows.
-BLOCK_ROWS = 5_000
+BLOCK_ROWS = 1_000
 # At most this many large games are listed on the driver.
 LISTED_GAMES = 10_000
 
