@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bwt, mixing, packing, rlz, tokens, urls
+from tallybook.llm import bwt, mixing, packing, rlz, tgm, tokens, urls
 from tallybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,8 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bwt.drop_shared(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tgm.jaccard_components(table(spark, sf_dir, "documents"))
