@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bwt, mixing, packing, rlz, tgm, tokens, urls
+from tallybook.llm import bwt, mixing, packing, quality, rlz, tgm, tokens, urls
 from tallybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tgm.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return quality.judge(docs, quality.fit(docs, trusted))
