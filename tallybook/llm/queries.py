@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import bwt, mixing, packing, quality, rlz, tgm, tokens, urls
+from tallybook.llm import ann, bwt, lang, mixing, packing, quality, rlz, tgm, tokens, urls
 from tallybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
     return quality.judge(docs, quality.fit(docs, trusted))
+
+
+@query
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lang.predict(docs, lang.fit(docs))
+    return found.withColumn("held_out", lang.held_out(F.col("doc_id")))
