@@ -257,9 +257,12 @@ def drop_shared(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = LENGTH,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept) of every document; ``kept`` is binary.
 
+    Columns to ``carry`` follow under their own names.
+
     A text counts as its UTF-8 bytes, null as empty. A byte is removed if a string of ``length``
     bytes that covers it also starts in a document with a smaller identifier; strings are judged
     on the input, overlaps count, no string crosses documents. ``n_spans`` counts the maximal
@@ -275,7 +278,9 @@ def drop_shared(
     spark = docs.sparkSession
     groups, blocks = 4 * partitions(spark), partitions(spark)
     common_at = max(16, groups // 4)
-    dealt = grouped(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")), "doc", groups)
+    also = {f"c{i}": c for i, c in enumerate(carry)}
+    columns = [F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")]
+    dealt = grouped(docs.select(*columns, *[F.col(c).alias(k) for k, c in also.items()]), "doc", groups)
 
     def anchors(group: pa.Table) -> pa.Table:
         ids, grp = _ids(group), group["grp"][0].as_py()
@@ -451,8 +456,8 @@ def drop_shared(
                 kept.append(data.tobytes())
         columns = [pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)]
         return pa.table(
-            [group["doc"], *columns, pa.array(kept, pa.binary())],
-            names=["doc", "n_bytes", "n_removed", "n_spans", "kept"],
+            [group["doc"], *columns, pa.array(kept, pa.binary()), *[group[k] for k in also]],
+            names=["doc", "n_bytes", "n_removed", "n_spans", "kept", *also],
         )
 
     by_group = dealt.groupBy("grp")
@@ -460,7 +465,15 @@ def drop_shared(
     near = cells.groupBy("block").applyInArrow(seen, _REPLY)
     cut = by_group.cogroup(near.groupBy("grp")).applyInArrow(pieces, _CELL)
     verdicts = cut.groupBy("block").applyInArrow(judged, _REPLY)
-    return by_group.cogroup(verdicts.groupBy("grp")).applyInArrow(
-        assembled, "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
-    ).withColumnRenamed("doc", id_col)
+    schema = "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
+    schema += "".join(f", {k} {docs.schema[c].dataType.simpleString()}" for k, c in also.items())
+    out = by_group.cogroup(verdicts.groupBy("grp")).applyInArrow(assembled, schema)
+    return out.select(
+        F.col("doc").alias(id_col),
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        "kept",
+        *[F.col(k).alias(c) for k, c in also.items()],
+    )
 

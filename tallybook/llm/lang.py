@@ -216,34 +216,48 @@ def fit(
     return train(x, [r["lang"] for r in sample])
 
 
-def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) of every document, from its whole text alone.
+def predict(
+    docs: DataFrame,
+    model: Model | None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """(id, lang_pred, score) of every document, from its whole text alone, and columns to carry.
 
     A null text, or one without any letter, is ``und`` with score 0; so is every text where
-    nothing was learned. Repeated rows stay.
+    nothing was learned. Repeated rows stay. Carried columns keep their names, after the others.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    names = [id_col, *carry]
+    kinds = [docs.schema[c].dataType.simpleString() for c in names]
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    out = ["lang_pred", "score", *[f"c{i}" for i in range(len(names))]]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shared.value
         for batch in batches:
-            lettered = batch.column(2).to_pylist()
-            for first, x in _vector_runs(batch.column(1)):
+            lettered = batch.column(1).to_pylist()
+            for first, x in _vector_runs(batch.column(0)):
                 n = len(x)
-                names, score = found.predict(x) if found else ([UNKNOWN] * n, np.zeros(n))
+                lang, score = found.predict(x) if found else ([UNKNOWN] * n, np.zeros(n))
                 ok = lettered[first : first + n]
                 yield pa.record_batch(
                     [
-                        batch.column(0).slice(first, n),
-                        pa.array([a if g else UNKNOWN for a, g in zip(names, ok, strict=True)], pa.string()),
+                        pa.array([a if g else UNKNOWN for a, g in zip(lang, ok, strict=True)], pa.string()),
                         pa.array([float(s) if g else 0.0 for s, g in zip(score, ok, strict=True)], pa.float64()),
+                        *[batch.column(2 + i).slice(first, n) for i in range(len(names))],
                     ],
-                    ["id", "lang_pred", "score"],
+                    out,
                 )
 
+    text = F.col(text_col)
     rows = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), has_letter(F.col(text_col)).alias("lettered")
+        text.alias("text"),
+        has_letter(text).alias("lettered"),
+        *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
+    )
+    schema = ", ".join(["lang_pred string", "score double", *[f"c{i} {k}" for i, k in enumerate(kinds)]])
+    done = rows.mapInArrow(label, schema)
+    return done.select(
+        F.col("c0").alias(id_col), "lang_pred", "score", *[F.col(f"c{i + 1}").alias(c) for i, c in enumerate(carry)]
     )
-    out = rows.mapInArrow(label, f"id {kind}, lang_pred string, score double")
-    return out.withColumnRenamed("id", id_col)
