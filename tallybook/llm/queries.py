@@ -87,7 +87,29 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rlz.drop_repeats(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "n_factors")
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op1_substring_dedup"] = r"""
+with w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
+), starts as (
+  select doc_id, i, md5(array_to_string(ws[i : i + 34], ' ')) as h
+  from (select doc_id, ws, unnest(range(1, len(ws) - 33)) as i from w)
+), twice as (
+  select doc_id, i from (select doc_id, i, count(*) over (partition by h) as n from starts) where n > 1
+), gone as (
+  select distinct doc_id, i + k as i from twice, (select unnest(range(0, 35)) as k)
+), each as (
+  select doc_id, unnest(range(1, len(ws) + 1)) as i, unnest(ws) as word from w
+), kept as (
+  select e.doc_id, count(*) as n, string_agg(e.word, ' ' order by e.i) as t
+  from each e anti join gone g on e.doc_id = g.doc_id and e.i = g.i group by e.doc_id
+)
+select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(k.n, 0))::bigint as n_removed,
+       sha256(coalesce(k.t, '')) as kept_sha256
+from w left join kept k on w.doc_id = k.doc_id
+"""
 
 
 @query
@@ -96,11 +118,70 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op8_suffix_dedup"] = r"""
+with t as (
+  select doc_id, hex(encode(coalesce(text, ''))) as x from documents
+), starts as (
+  select doc_id, i, md5(x[2 * i + 1 : 2 * i + 100]) as h
+  from (select doc_id, x, unnest(range(0, len(x) // 2 - 49)) as i from t)
+), later as (
+  select doc_id, i from (select doc_id, i, min(doc_id) over (partition by h) as least from starts)
+  where least < doc_id
+), runs as (
+  select doc_id, min(i) as a, max(i) + 50 as b from (
+    select doc_id, i, sum(case when i <= before + 50 then 0 else 1 end) over (partition by doc_id order by i) as run
+    from (select doc_id, i, lag(i) over (partition by doc_id order by i) as before from later)
+  ) group by doc_id, run
+), gaps as (
+  select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as a, a as b from runs
+  union all select doc_id, max(b), null from runs group by doc_id
+), kept as (
+  select g.doc_id, string_agg(case when g.b is null then t.x[2 * g.a + 1 :] when g.b > g.a
+         then t.x[2 * g.a + 1 : 2 * g.b] else '' end, '' order by g.a) as x
+  from gaps g join t on t.doc_id = g.doc_id group by g.doc_id
+), counts as (
+  select doc_id, sum(b - a) as gone, count(*) as n from runs group by doc_id
+)
+select t.doc_id, (len(t.x) // 2)::bigint as n_bytes, coalesce(c.gone, 0)::bigint as n_removed,
+       coalesce(c.n, 0)::bigint as n_spans, sha256(unhex(coalesce(k.x, t.x))) as kept_sha256
+from t left join counts c on c.doc_id = t.doc_id left join kept k on k.doc_id = t.doc_id
+"""
+
+
 @query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tgm.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op5_jaccard_join"] = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents
+), s as (
+  select distinct doc_id, g from (
+    select doc_id, md5(array_to_string(ws[i : i + 2], ' ')) as g
+    from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from w)
+    union all
+    select doc_id, array_to_string(ws, ' ') from w where len(ws) between 1 and 2
+  )
+), sizes as (
+  select doc_id, count(*) as n from s group by doc_id
+), links as (
+  select p.a, p.b from (
+    select x.doc_id as a, y.doc_id as b, count(*) as common
+    from s x join s y on x.g = y.g and x.doc_id <> y.doc_id group by all
+  ) p join sizes x on x.doc_id = p.a join sizes y on y.doc_id = p.b
+  where 100 * common >= 90 * (x.n + y.n - common)
+), reach as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select r.a, l.b from reach r join links l on l.a = r.b
+)
+select r.a as doc_id, coalesce(any_value(z.n), 0)::bigint as n_shingles, min(r.b) as component_id
+from reach r left join sizes z on z.doc_id = r.a group by r.a
+"""
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -1,0 +1,89 @@
+import random
+
+import numpy as np
+import pytest
+
+from tallybook.llm import bwt
+
+from .fixtures import awkward, frame, sentence
+
+
+def brute(rows, length):
+    least = {}
+    data = [(float("inf") if d is None else d, (t or "").encode()) for d, t in rows]
+    for d, b in data:
+        for i in range(len(b) - length + 1):
+            s = b[i : i + length]
+            least[s] = min(least.get(s, float("inf")), d)
+    out = []
+    for d, b in data:
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - length + 1):
+            if least[b[i : i + length]] < d:
+                gone[i : i + length] = True
+        runs = int((gone & ~np.r_[False, gone[:-1]]).sum()) if len(gone) else 0
+        out.append((d, len(b), int(gone.sum()), runs, bytes(np.frombuffer(b, np.uint8)[~gone])))
+    return sorted(out)
+
+
+def result(docs, length=50):
+    got = bwt.drop_shared(docs, length=length).collect()
+    return sorted(
+        (float("inf") if r["doc_id"] is None else r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"]))
+        for r in got
+    )
+
+
+@pytest.mark.parametrize("length", [24, 50])
+def test_awkward(spark, length):
+    rows = awkward()
+    assert result(frame(spark, rows), length) == brute(rows, length)
+
+
+def test_equal_identifiers_with_different_texts(spark):
+    draw = random.Random(3)
+    passage = sentence(draw, 30)
+    rows = [(5, passage + " a"), (5, "b " + passage), (9, passage), (2, "x"), (5, passage + " a")]
+    assert result(frame(spark, rows)) == brute(rows, 50)
+
+
+def test_common_passages(spark):
+    """Passages that most groups have take the way of single strings."""
+    draw = random.Random(8)
+    first, second = sentence(draw, 25), sentence(draw, 40)
+    rows = []
+    for i in range(400):
+        parts = [sentence(draw, draw.randrange(1, 30), 5000), draw.choice([first, second, second[:90]])]
+        draw.shuffle(parts)
+        rows.append((i, " ".join(parts) + draw.choice(["", " " + first])))
+    assert result(frame(spark, rows)) == brute(rows, 50)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_least_ids(seed):
+    draw = random.Random(seed)
+    pieces = ["".join(draw.choice("ab") for _ in range(draw.randrange(8, 60))).encode() for _ in range(40)]
+    pieces += [draw.choice(pieces) + b"a" for _ in range(10)] + [b"a" * 50, bytes(30), b"\xff" * 20]
+    ids = np.array([draw.randrange(1000) for _ in pieces])
+    text = np.frombuffer(b"".join(pieces), np.uint8)
+    sizes = np.array([len(p) for p in pieces])
+    got = bwt.least_ids(text, sizes, ids, 8)
+    at = 0
+    for p in pieces:
+        for i in range(len(p) - 7):
+            s = p[i : i + 8]
+            assert got[at + i] == min(d for d, q in zip(ids, pieces, strict=True) if s in q)
+        at += len(p)
+
+
+def test_carried_columns_and_clashing_names(spark):
+    rows = [(1, "a" * 60, "x"), (2, "a" * 60, "y"), (3, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, grp string")
+    got = bwt.drop_shared(docs, carry=("grp",)).orderBy("doc_id").collect()
+    assert [(r["grp"], r["n_removed"]) for r in got] == [("x", 0), ("y", 60), (None, 0)]
+
+
+def test_empty(spark):
+    assert bwt.drop_shared(frame(spark, [])).count() == 0
+    with pytest.raises(ValueError):
+        bwt.drop_shared(frame(spark, []), length=10)

@@ -1,0 +1,71 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tallybook.llm import tokens
+from tallybook.llm.common import text_runs
+
+from .fixtures import awkward, frame
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return tokens.encoder(tokens.vocabulary_path())
+
+
+def encoded(encoder, texts):
+    out = []
+    for _, data, offsets in text_runs(pa.array(texts, pa.string()), 1000):
+        ids, bounds = encoder.encode(data, offsets)
+        out += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    return out
+
+
+def test_equals_the_library(encoder):
+    draw = random.Random(5)
+    letters = "abcdefgXYZÉéèçßÄöü'’.,!?;:-_()[]<>|/\\\"#$%&*+=@~0123456789²½ªµ łĿİΣσς日本語🙂́ ​　\t\n\x0b\x1c\x85"
+    letters += "theaionrsl'" * 9
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(120))) for _ in range(400)]
+    texts += ["", "<|endoftext|> a <|startoftext|>b", "it's 'sa \"'s we'll 12345 x²", "a" * 3000, "é" * 900]
+    expected = [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoded(encoder, texts) == expected
+
+
+def test_forgets_words_without_harm(encoder, monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 5)
+    texts = [f"word{i} again other{i}" for i in range(400)]
+    expected = [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoded(encoder, texts) == expected
+
+
+def test_histogram(spark, encoder):
+    rows = awkward()
+    lengths = [len(encoder.library.encode(t or "", add_special_tokens=False).ids) for _, t in rows]
+    found = tokens.encoded_lengths(frame(spark, rows))
+    assert sorted(r["n_tokens"] for r in found.collect()) == sorted(lengths)
+    got = {r["length"]: r for r in tokens.length_histogram(found).collect()}
+    n = np.array(lengths)
+    assert set(got) == set(lengths)
+    for limit, row in got.items():
+        assert row["n_docs"] == (n == limit).sum()
+        assert row["docs_from"] == (n >= limit).sum()
+        assert row["tokens_from"] == n[n >= limit].sum()
+        assert row["truncated_total"] == np.minimum(n, limit).sum()
+        assert row["share_within"] == pytest.approx((n <= limit).mean())
+    for q in (0.5, 0.9, 0.99):
+        least = min(x for x in set(lengths) if (n <= x).mean() >= q)
+        assert any(r["quantile"] is not None and r["quantile"] >= q for r in got.values() if r["length"] == least)
+
+
+def test_histogram_over_several_bands(spark):
+    lengths = [1, 5, 4095, 4096, 9000, 9000, 20_000]
+    df = spark.createDataFrame([(x,) for x in lengths] + [(None,)], "n_tokens long")
+    for row in tokens.length_histogram(df).collect():
+        assert row["docs_from"] == sum(x >= row["length"] for x in lengths)
+        assert row["truncated_total"] == sum(min(x, row["length"]) for x in lengths)
+
+
+def test_empty(spark):
+    assert tokens.length_histogram(tokens.encoded_lengths(frame(spark, []))).count() == 0
