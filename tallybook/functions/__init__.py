@@ -7,6 +7,7 @@ from tallybook.functions.columns import (
     is_current,
     json_properties,
     last_entry,
+    ordered_sum,
     prop,
     props,
     recency,
@@ -22,6 +23,7 @@ __all__ = [
     "is_current",
     "json_properties",
     "last_entry",
+    "ordered_sum",
     "prop",
     "props",
     "recency",

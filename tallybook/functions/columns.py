@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -60,6 +60,18 @@ def all_equal(pairs: Sequence[tuple[Column, Column]], null_safe: bool) -> Column
     return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
+def ordered_sum(df: DataFrame, name: str, column: str | None = None) -> Column:
+    """Sum of a column of ``df``, the same in whatever order the rows come.
+
+    Floating values are added as decimals of six places, as their plain sum would vary with
+    the partitioning. ``column`` is the name to read, if it differs from the one in ``df``.
+    """
+    read = F.col(column or name)
+    if df.schema[name].dataType.typeName() in ("float", "double"):
+        return F.sum(read.cast("decimal(28,6)")).cast("double")
+    return F.sum(read)
+
+
 def json_properties(fields: Mapping[str, Column]) -> Column:
     """A JSON object holding every field, also those that are NULL."""
     return F.to_json(

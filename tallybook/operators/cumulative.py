@@ -1,7 +1,7 @@
 """Cumulative tables: one row per entity and period, with the whole history as an array.
 
-A history holds at most one entry per period, as facts are unique on (key, period); check that
-with ``facts.duplicate_report``. So no array and no window partition outgrows the number of
+A history holds at most one entry per period: facts are unique on (key, period), and a query
+over facts that are not fails. So no array and no window partition outgrows the number of
 periods, however uneven the source is: the hot part of the work, reducing raw rows to that
 grain, is a plain aggregate with a map-side half.
 """
@@ -22,9 +22,18 @@ from tallybook.functions import (
     recency,
     recency_step,
 )
+from tallybook.operators.checks import check, failing_without
 from tallybook.schemas import PLAYER_HISTORY, HistorySpec
 
 
+def _unique(facts: DataFrame, spec: HistorySpec) -> Column:
+    """True, or the query fails, as the row's key has another row in the same period. Shares
+    the exchange and the sort of other windows on the key."""
+    by_period = Window.partitionBy(*spec.keys).orderBy(spec.period)
+    twice = F.lag(spec.period).over(by_period) == F.col(spec.period)
+    return check(~F.coalesce(twice, F.lit(False)), "several facts in one period for", [*spec.keys, spec.period])
+
+
 def _entry(spec: HistorySpec, side: str | None = None) -> Column:
     prefix = f"{side}." if side else ""
     return F.struct(*[F.col(prefix + c).alias(c) for c in spec.stats])
@@ -36,15 +45,22 @@ def cumulative_step(
     period: int,
     spec: HistorySpec = PLAYER_HISTORY,
     with_active: bool = True,
+    first: bool = False,
 ) -> DataFrame:
     """Snapshot of ``period`` from the snapshot before it and the facts of ``period``.
 
     Both inputs are filtered here, so that no other pair of periods can be joined by mistake
     and a table partitioned by period is pruned to one partition. Both sides have one row per
-    key: the only exchange is the one on the key.
+    key, or the query fails: the only exchange is the one on the key. It also fails if the
+    snapshot before is empty, as every history would start anew; ``first`` allows that for the
+    first period of all.
     """
-    before = snapshots.filter(F.col(spec.snapshot) == period - 1).alias("b")
-    now = facts.filter(F.col(spec.period) == period).alias("n")
+    before = snapshots.filter(F.col(spec.snapshot) == period - 1)
+    now = facts.filter(F.col(spec.period) == period)
+    now = now.withColumn("_one", _unique(now, spec)).filter("_one").drop("_one")
+    if not first:
+        now = failing_without(before, now, f"no snapshot of period {period - 1}")
+    before, now = before.alias("b"), now.alias("n")
     same = [F.col(f"n.{k}") == F.col(f"b.{k}") for k in spec.keys]
     joined = now.join(before, same, "full_outer")
 
@@ -82,7 +98,7 @@ def cumulative_backfill(
     Each fact row holds until the entity's next one, so it is repeated over the periods in
     between rather than joined to a table of periods. Facts before ``first`` start the
     entity's rows at ``first`` but stay out of its history. Attributes are the entity's
-    greatest values over all facts.
+    greatest values over all facts. Several facts of one entity and period fail the query.
     """
     by_period = Window.partitionBy(*spec.keys).orderBy(spec.period)
     so_far = by_period.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -100,8 +116,9 @@ def cumulative_backfill(
         F.when(counted, F.col(spec.period)).alias("_last"),
         starts.alias("_starts"),
         ends.alias("_ends"),
+        _unique(facts, spec).alias("_one"),
     )
-    spread = held.filter(F.col("_starts") <= F.col("_ends")).withColumn(
+    spread = held.filter(F.col("_one") & (F.col("_starts") <= F.col("_ends"))).withColumn(
         spec.snapshot, F.explode(F.sequence("_starts", "_ends"))
     )
     return spread.select(
@@ -134,7 +151,8 @@ def cumulative_snapshot(
         F.collect_list(F.when(counted, _entry(spec))).over(whole).alias(spec.history),
         F.min(spec.period).over(whole).alias("_first"),
         F.lead(spec.period).over(by_period).alias("_next"),
-    ).filter(F.col("_next").isNull() & (F.col("_first") <= period))
+        _unique(kept, spec).alias("_one"),
+    ).filter(F.col("_one") & F.col("_next").isNull() & (F.col("_first") <= period))
     latest = last_entry(F.col(spec.history))
     return rows.select(
         *spec.keys,

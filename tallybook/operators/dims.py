@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.operators.checks import check
 from tallybook.operators.idempotent import write_partitioned
 from tallybook.schemas import ENUM_LIMIT
 
@@ -32,28 +33,54 @@ def additivity_check(
     )
 
 
+def additivity_checks(df: DataFrame, entity: str, dims: Sequence[str]) -> DataFrame:
+    """``additivity_check`` of several dimensions at once, one row for each, from one pass.
+
+    Members are counted per entity and all dimensions together, so there is one scan and one
+    exchange on the entity, whatever the number of dimensions.
+    """
+    members = df.filter(F.col(entity).isNotNull()).select(entity, *dims).distinct()
+    # NULL is a member too, which count_distinct passes over
+    entities = members.groupBy(entity).agg(
+        *[
+            (F.count_distinct(F.col(d)) + F.max(F.col(d).isNull().cast("int"))).alias(f"_n_{d}")
+            for d in dims
+        ]
+    )
+    counts = entities.select(
+        F.inline(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(f"_n_{d}").alias("_n")) for d in dims]))
+    )
+    return counts.groupBy("dimension").agg(
+        F.sum("_n").alias("sum_over_members"),
+        F.count(F.lit(1)).alias("total_entities"),
+        F.count_if(F.col("_n") > 1).alias("multi_member_entities"),
+        (F.count_if(F.col("_n") > 1) == 0).alias("is_additive"),
+    )
+
+
+def entity_counts(df: DataFrame, by: Sequence[str], entity: str, measures: Sequence[str]) -> DataFrame:
+    """One row per ``by`` with the sums of the measures and the number of entities.
+
+    Rows are aggregated per entity first, so no set of distinct values is built anywhere.
+    """
+    sums = [F.sum(m).alias(m) for m in measures]
+    per_entity = df.groupBy(*by, entity).agg(*sums)
+    return per_entity.groupBy(*by).agg(*sums, F.count(F.col(entity)).alias("entities"))
+
+
 def additive_rollup(
-    df: DataFrame,
-    keep: Sequence[str],
-    drop: Sequence[str],
-    entity: str,
-    measures: Sequence[str],
-    additive: bool,
+    counts: DataFrame, keep: Sequence[str], measures: Sequence[str], checked: DataFrame
 ) -> DataFrame:
-    """Roll rows up from (keep, drop) to ``keep``.
+    """Roll rows of ``entity_counts`` up to ``keep``: measures and entities are summed.
 
-    Measures are summed. Entities are the sum of the finer counts if the dropped dimensions
-    are additive; if not, they are counted again from one row per (keep, entity). Both forms
-    aggregate per entity first, so no set of distinct values is built anywhere.
+    That is right only if the dimensions that go are additive. ``checked`` says so: rows of
+    ``additivity_check`` for them; the query fails if one is not additive. Over a dimension
+    that is not, count again from the entities, by ``entity_counts``.
     """
-    grain = [*keep, *([*drop] if additive else []), entity]
-    sums = [F.sum(m).alias(m) for m in measures]
-    per_entity = df.groupBy(*grain).agg(*sums)
-    counted = F.count(F.col(entity)).alias("entities")
-    if not additive:
-        return per_entity.groupBy(*keep).agg(*sums, counted)
-    finer = per_entity.groupBy(*keep, *drop).agg(*sums, counted)
-    return finer.groupBy(*keep).agg(*sums, F.sum("entities").alias("entities"))
+    fine = checked.select((F.count(F.lit(1)) > 0) & F.bool_and("is_additive")).scalar()
+    sums = [F.sum(m).alias(m) for m in (*measures, "entities")]
+    safe = counts.filter(check(F.coalesce(fine, F.lit(False)), "a dimension to roll up is not additive"))
+    return safe.groupBy(*keep).agg(*sums)
 
 
 def enum_validate(df: DataFrame, domains: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -97,19 +124,23 @@ def enum_candidates(
 def enum_subpartition(
     df: DataFrame, path: str, period: str, enum_col: str, domain: Sequence[str]
 ) -> DataFrame:
-    """Write by (period, enum) and list every expected sub-partition with its row count;
-    members without rows have 0."""
+    """Write by (period, enum) and list every sub-partition, expected or written, with its row
+    count. Members without rows have 0; ``in_domain`` is false for written ones outside the
+    domain, NULL among them."""
     write_partitioned(df, path, [period, enum_col])
     spark = df.sparkSession
     written = spark.read.schema(df.schema).parquet(path).groupBy(period, enum_col).count()
+    rows = [F.col(period), F.col(enum_col).cast("string").alias(enum_col)]
+    none, inside = F.lit(0).cast("bigint").alias("count"), F.col(enum_col).isin(list(domain))
+    found = written.select(*rows, "count", F.coalesce(inside, F.lit(False)).alias("in_domain"))
     expected = written.select(period).distinct().select(
-        period, F.explode(F.array(*[F.lit(m) for m in domain])).alias(enum_col)
-    )
-    return expected.join(written, [period, enum_col], "left").select(
         period,
-        enum_col,
-        F.coalesce("count", F.lit(0)).alias("n_rows"),
-        F.col("count").isNull().alias("is_missing"),
+        F.explode(F.array(*[F.lit(m) for m in domain])).alias(enum_col),
+        none,
+        F.lit(True).alias("in_domain"),
+    )
+    return found.unionByName(expected).groupBy(period, enum_col, "in_domain").agg(
+        F.sum("count").alias("n_rows"), (F.sum("count") == 0).alias("is_missing")
     )
 
 

@@ -81,13 +81,16 @@ def raw_logs_to_facts(
     """(facts, rejects) of raw log rows.
 
     ``mapping`` gives each fact column its source expression and type; expressions may use
-    ``parsed.<field>`` of the JSON column. A row is rejected if a value cannot be cast, a
-    grain column is NULL or a value is outside its domain. Facts are unique on ``grain``.
+    ``parsed.<field>`` of the JSON column. A row is rejected if its JSON is broken, a value
+    cannot be cast, a grain column is NULL or a value is outside its domain. Facts are unique
+    on ``grain``: of several rows the first by all its fact columns stays, the others are
+    rejected as copies.
     """
     rows = raw
     if json_col:
         # Out of a generator, lest each use below parses the text again in the filter.
-        parsed = F.explode(F.array(F.from_json(json_col, json_schema)))
+        broken = {"columnNameOfCorruptRecord": "_broken"}
+        parsed = F.explode(F.array(F.from_json(json_col, f"{json_schema}, _broken string", broken)))
         rows = rows.select("*", parsed.alias("parsed"))
     sources = {f"_raw_{name}": source for name, (source, _) in mapping.items()}
     typed = rows.withColumns(sources).withColumns(
@@ -97,6 +100,8 @@ def raw_logs_to_facts(
         F.when(F.col(f"_raw_{n}").isNotNull() & F.col(n).isNull(), F.lit(f"{n}: not a {kind}"))
         for n, (_, kind) in mapping.items()
     ]
+    if json_col:
+        reasons.insert(0, F.when(F.col("parsed._broken").isNotNull(), F.lit(f"{json_col}: not JSON")))
     reasons += [
         F.when(F.col(f"_raw_{n}").isNull(), F.lit(f"{n}: missing"))
         for n in grain
@@ -107,8 +112,15 @@ def raw_logs_to_facts(
     ]
     judged = typed.withColumn("reason", F.coalesce(*reasons))
     facts = judged.filter(F.col("reason").isNull()).select(*mapping)
-    rejects = judged.filter(F.col("reason").isNotNull()).select(*raw.columns, "reason")
-    return first_per(facts, list(grain)), rejects
+    # good rows are numbered within their grain; others are spread by their own hash
+    plain = [f.name for f in raw.schema if f.dataType.typeName() not in ("map", "variant")]
+    own = F.xxhash64(*plain)
+    order = [c for c in mapping if c not in grain]
+    copies = Window.partitionBy(F.when(F.col("reason").isNotNull(), own), *grain).orderBy(*order, own)
+    copy = F.col("reason").isNull() & (F.row_number().over(copies) > 1)
+    told = F.when(copy, F.lit(f"{', '.join(grain)}: copy")).otherwise(F.col("reason"))
+    rejects = judged.withColumn("reason", told).filter(F.col("reason").isNotNull())
+    return first_per(facts, list(grain)), rejects.select(*raw.columns, "reason")
 
 
 def fact_five_w(

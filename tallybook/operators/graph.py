@@ -6,19 +6,16 @@ Identifiers become text only after ids have been compared as what they are.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions import json_properties, prop, props
+from tallybook.functions import json_properties, ordered_sum, prop, props
 from tallybook.operators.facts import first_per
 from tallybook.schemas import EDGE_KEY
 
-# A game with more rows than this is paired in blocks of about this many rows.
+# Games are paired in blocks of at most about this many players.
 BLOCK_ROWS = 1_000
-# At most this many large games are listed on the driver.
-LISTED_GAMES = 10_000
 
 
 def _vertices(df: DataFrame, identifier: str, kind: str, fields: dict[str, Column]) -> DataFrame:
@@ -56,25 +53,35 @@ def game_vertices(games: DataFrame) -> DataFrame:
 
 
 def player_vertices(
-    details: DataFrame, dedup: bool = False, order_by: Sequence[str] = ()
+    details: DataFrame,
+    dedup: bool = False,
+    order_by: Sequence[str] = (),
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Per player: greatest name, rows, points, and the sorted list of teams.
 
     Rows are counted as they are, copies included, unless ``dedup``. They are reduced to one
-    row per (player, name, team) first, so a list is made from distinct teams only.
+    row per (player, name, team) first, so a list is made from distinct teams only. Where
+    ``names`` (player_id, player_name) holds the names, they join the reduced players; players
+    without one are left out.
     """
-    rows = details.select("player_id", "game_id", "player_name", "team_id", "pts", *order_by)
+    named = ["player_name"] if names is None else []
+    needed = dict.fromkeys(["player_id", "game_id", *named, "team_id", "pts", *order_by])
+    rows = details.select(*needed)
     if dedup:
         rows = first_per(rows, ["game_id", "player_id"], order_by)
-    by_team = rows.groupBy("player_id", "player_name", "team_id").agg(
-        F.count(F.lit(1)).alias("games"), F.sum("pts").alias("points")
+    by_team = rows.groupBy("player_id", *named, "team_id").agg(
+        F.count(F.lit(1)).alias("games"), ordered_sum(rows, "pts").alias("points")
     )
     players = by_team.groupBy("player_id").agg(
-        F.max("player_name").alias("player_name"),
+        *[F.max(c).alias(c) for c in named],
         F.sum("games").alias("number_of_games"),
-        F.sum("points").alias("total_points"),
+        ordered_sum(by_team, "points").alias("total_points"),
         F.array_sort(F.collect_set("team_id")).alias("teams"),
     )
+    if names is not None:
+        greatest = names.groupBy("player_id").agg(F.max("player_name").alias("player_name"))
+        players = players.join(greatest, "player_id")
     fields = ("player_name", "number_of_games", "total_points", "teams")
     return _vertices(players, "player_id", "player", {c: F.col(c) for c in fields})
 
@@ -104,45 +111,31 @@ def plays_on_edges(details: DataFrame, order_by: Sequence[str] = ()) -> DataFram
     needed = dict.fromkeys(["player_id", "game_id", "team_id", "pts", *order_by])
     rows = first_per(details.select(*needed), ["game_id", "player_id"], order_by)
     played = rows.groupBy("player_id", "team_id").agg(
-        F.count(F.lit(1)).alias("num_games"), F.sum("pts").alias("points")
+        F.count(F.lit(1)).alias("num_games"), ordered_sum(rows, "pts").alias("points")
     )
     properties = {c: F.col(c) for c in ("num_games", "points")}
     return _edges(played, "player_id", "team_id", "team", F.lit("plays_on"), properties)
 
 
-def large_games(
-    rows: DataFrame, block_rows: int = BLOCK_ROWS, listed: int = LISTED_GAMES
-) -> DataFrame | None:
-    """Games with more than ``block_rows`` rows and their number, or None.
+def _in_cells(rows: DataFrame, block_rows: int) -> DataFrame:
+    """Cut each game into blocks of players, with one cell per two blocks.
 
-    Up to ``listed`` games come to the driver as a literal table, whose size is thus bounded,
-    and go to every task; with more, the counts stay a distributed table.
+    A row goes to the cells of its own block, once per block of its game; an ordinary game is
+    one block and one cell. Cell (i, i) pairs a block with itself, cell (i, j) two blocks. The
+    players are counted map-side. The counts are partitioned by the game as a struct, so that
+    the join shuffles them once more: adaptive execution splits a hot game only between two
+    plain shuffles.
     """
-    counts = rows.groupBy("game_id").count().filter(F.col("count") > block_rows)
-    found = counts.limit(listed + 1).collect()
-    if not found:
-        return None
-    if len(found) > listed:
-        return counts
-    return F.broadcast(rows.sparkSession.createDataFrame(found, counts.schema))
-
-
-def _in_cells(rows: DataFrame, large: DataFrame, block_rows: int) -> DataFrame:
-    """Cut each large game into blocks of players, with one cell per two blocks.
-
-    A row goes to the cells of its own block, once per block of its game; rows of other games
-    stay single. Cell (i, i) pairs a block with itself, cell (i, j) two blocks.
-    """
-    blocks = F.coalesce(F.ceil(F.col("count") / block_rows), F.lit(1))
+    counts = rows.groupBy(F.struct("game_id").alias("_game")).agg(F.count(F.lit(1)).alias("_players"))
+    sizes = counts.select("_game.game_id", F.ceil(F.col("_players") / block_rows).alias("_blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
     return (
-        rows.join(large, "game_id", "left")
-        .withColumn("_blocks", blocks)
+        rows.join(sizes, "game_id")
         .withColumn("_block", F.pmod(F.xxhash64("player_id"), F.col("_blocks")))
         .withColumn("_other", other)
         .withColumn("_low", F.least("_block", "_other"))
         .withColumn("_high", F.greatest("_block", "_other"))
-        .drop("count", "_blocks", "_other")
+        .drop("_blocks", "_other")
     )
 
 
@@ -151,38 +144,26 @@ def player_pairs(
     order_by: Sequence[str] = (),
     exclude_same_name: bool = True,
     block_rows: int = BLOCK_ROWS,
-    listed: int = LISTED_GAMES,
-    sizes_from: DataFrame | None = None,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Games and points of every two players who met, by whether they shared a team.
 
     The result has a row per two players, so pairing within a game is the operator itself;
-    what is bounded is the work of one task. Where no game has more than ``block_rows`` rows,
-    one exchange on the game serves the dedup and both sides of the join. Otherwise copies are
-    dropped map-side, and large games are paired in cells of two blocks each, spread over the
+    what is bounded is the work of one task. Copies are dropped map-side, the players of each
+    game are counted, and games are paired in cells of two blocks each, spread over the
     cluster; every pair falls into exactly one cell. Pairs are summed map-side before they are
-    shuffled, and never kept as lists.
-
-    Game sizes are counted beforehand, in ``sizes_from`` if the same games are at hand in a
-    table that is cheaper to read than ``details``; blocks are cut by the number of players,
-    which copies do not raise. Sizes choose the plan, not the result.
+    shuffled, and never kept as lists. ``block_rows`` tunes the cells and never the result.
+    Where ``names`` (player_id, player_name, one row per player) holds the names, they join the
+    rows after copies are dropped.
     """
-    needed = ("game_id", "player_id", "player_name", "team_abbreviation", "pts")
-    source = details if sizes_from is None else sizes_from
-    large = large_games(source.select("game_id"), block_rows, listed)
-
-    rows = details.select(*dict.fromkeys([*needed, *order_by]))
-    if large is None:
-        rows = rows.repartition("game_id")
-    else:
-        ids = details.select("game_id", "player_id")
-        players = ids.join(large, "game_id", "left_semi").distinct()
-        large = large_games(players, block_rows, listed)
-    rows = first_per(rows, ["game_id", "player_id"], order_by).select(*needed)
-    on = ["game_id"]
-    if large is not None:
-        rows = _in_cells(rows, large, block_rows)
-        on += ["_low", "_high"]
+    needed = ["game_id", "player_id", "team_abbreviation", "pts"]
+    own = needed if names is not None or not exclude_same_name else [*needed, "player_name"]
+    rows = details.select(*dict.fromkeys([*own, *order_by]))
+    rows = first_per(rows, ["game_id", "player_id"], order_by).select(*own)
+    rows = rows.filter(F.col("game_id").isNotNull())
+    if names is not None and exclude_same_name:
+        rows = rows.join(names.select("player_id", "player_name"), "player_id")
+    rows = _in_cells(rows, block_rows)
 
     # The two sides are one DataFrame under two names, so its exchange is made once.
     def a(c):
@@ -194,9 +175,8 @@ def player_pairs(
     met = a("player_id") > b("player_id")
     if exclude_same_name:
         met &= a("player_name") != b("player_name")
-    if large is not None:
-        met &= (a("_block") != b("_block")) | (a("_low") == a("_high"))
-    for c in on:
+    met &= (a("_block") != b("_block")) | (a("_low") == a("_high"))
+    for c in ("game_id", "_low", "_high"):
         met &= a(c) == b(c)
     shared = F.coalesce(a("team_abbreviation") == b("team_abbreviation"), F.lit(False))
     pairs = (
@@ -209,8 +189,8 @@ def player_pairs(
         )
         .agg(
             F.count(F.lit(1)).alias("num_games"),
-            F.sum(a("pts")).alias("subject_points"),
-            F.sum(b("pts")).alias("object_points"),
+            ordered_sum(rows, "pts", "a.pts").alias("subject_points"),
+            ordered_sum(rows, "pts", "b.pts").alias("object_points"),
         )
     )
     kind = F.when(F.col("_shared"), "shares_team").otherwise("plays_against")
@@ -229,12 +209,10 @@ def player_pair_edges(
     order_by: Sequence[str] = (),
     exclude_same_name: bool = True,
     block_rows: int = BLOCK_ROWS,
-    sizes_from: DataFrame | None = None,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """``player_pairs`` as edges from the player with the greater id to the other."""
-    pairs = player_pairs(
-        details, order_by, exclude_same_name, block_rows, sizes_from=sizes_from
-    )
+    pairs = player_pairs(details, order_by, exclude_same_name, block_rows, names)
     properties = {c: F.col(c) for c in ("num_games", "subject_points", "object_points")}
     return _edges(pairs, "subject_id", "object_id", "player", F.col("edge_type"), properties)
 
@@ -243,9 +221,10 @@ def max_points(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Most points on one edge per player name, highest first and unknown ones on top.
 
     Edges are reduced to one row per subject before they meet the vertices, so a player with
-    very many edges is one row in the join. Fractions of points are cut off.
+    very many edges is one row in the join. Fractions of points are cut off; points beyond the
+    integers count as unknown.
     """
-    points = prop("properties", "pts").try_cast("double").cast("int")
+    points = prop("properties", "pts").try_cast("double").try_cast("int")
     best = edges.groupBy("subject_identifier", "subject_type").agg(F.max(points).alias("_best"))
     at = (F.col("subject_identifier") == F.col("identifier")) & (
         F.col("subject_type") == F.col("type")
@@ -292,30 +271,31 @@ def opponent_stats(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 def graph_integrity(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Keys held by several vertices or edges, and edge ends without a vertex.
 
-    Both tables are reduced to one row per key once; duplicates, ends and the vertices to look
-    for all come from those counts.
+    Vertices and edge ends are tagged and reduced together, to one row per (identifier, type)
+    with the number of each: several vertices are duplicates, ends without a vertex miss one.
+    An end without identifier or type matches no vertex.
     """
-    v_key = ["identifier", "type"]
-    v_counts = vertices.groupBy(*v_key).agg(F.count(F.lit(1)).alias("n"))
-    e_counts = edges.groupBy(*EDGE_KEY).agg(F.count(F.lit(1)).alias("n"))
+    key = ("identifier", "type")
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     ends = F.array(
-        *[
-            F.struct(
-                F.col(f"{end}_identifier").alias("identifier"),
-                F.col(f"{end}_type").alias("type"),
-                F.col("n"),
-            )
-            for end in ("subject", "object")
-        ]
+        *[F.struct(*[F.col(f"{end}_{c}").alias(c) for c in key]) for end in ("subject", "object")]
+    )
+    tagged = vertices.select(*key, one.alias("_vertices"), none.alias("_ends")).unionByName(
+        edges.select(F.inline(ends)).select(*key, none.alias("_vertices"), one.alias("_ends"))
+    )
+    counts = tagged.groupBy(*key).agg(
+        F.sum("_vertices").alias("_vertices"), F.sum("_ends").alias("_ends")
+    )
+    known = (F.col("_vertices") > 0) & F.col("identifier").isNotNull() & F.col("type").isNotNull()
+
+    def told(problem: str, n: str) -> Column:
+        return F.struct(F.lit(problem).alias("problem"), F.concat_ws("|", *key).alias("key"), F.col(n).alias("n"))
+
+    found = F.array(
+        F.when(F.col("_vertices") > 1, told("duplicate vertex", "_vertices")),
+        F.when((F.col("_ends") > 0) & ~known, told("missing vertex", "_ends")),
+    )
+    edge_counts = edges.groupBy(*EDGE_KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return counts.select(F.inline(F.array_compact(found))).unionByName(
+        edge_counts.select(F.lit("duplicate edge").alias("problem"), F.concat_ws("|", *EDGE_KEY).alias("key"), "n")
     )
-    used = e_counts.select(F.inline(ends)).groupBy(*v_key).agg(F.sum("n").alias("n"))
-    found = {
-        "duplicate vertex": (v_counts.filter("n > 1"), v_key),
-        "duplicate edge": (e_counts.filter("n > 1"), EDGE_KEY),
-        "missing vertex": (used.join(v_counts.select(*v_key), v_key, "left_anti"), v_key),
-    }
-    parts = [
-        rows.select(F.lit(problem).alias("problem"), F.concat_ws("|", *key).alias("key"), "n")
-        for problem, (rows, key) in found.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)

@@ -3,40 +3,92 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import as_list
+from tallybook.operators.facts import unique_dimension
+
+
+# The scope of an overwrite that replaces the whole table.
+ALL = "all"
 
 
 def overwrite_period(
     df: DataFrame,
     path: str,
     period_col: str,
-    periods: Sequence | None = None,
+    periods: Sequence | str,
     rebalance: bool = True,
 ) -> None:
-    """Replace the partitions of ``df``'s periods at ``path``, leaving all others alone.
-
-    Columns are stored by name. The mode is set on the writer, as a static overwrite would
-    delete the other periods and even the input of a job that reads the same table. With
-    ``periods``, rows of other periods are left out, and a period without rows is an error: a
-    dynamic overwrite cannot empty a partition, so rows of an earlier run would stay.
+    """Replace ``periods`` at ``path`` by the rows of ``df``, leaving all others alone.
+
+    ``periods`` is the scope: a list, or ``ALL`` for every period of the table. Rows of other
+    periods are left out, and a period in scope that has no rows now is cleared, so that a
+    rerun gives the same table whatever an earlier run wrote. Columns are stored by name. The
+    mode is set on the writer, as a static overwrite would delete the other periods and even
+    the input of a job that reads the same table. A period that ``df`` itself reads from
+    ``path`` is refused before anything is written: each rerun would start from its own result.
     """
-    if periods is None:
-        write_partitioned(df, path, [period_col], rebalance)
-        return
-    written = Observation()
-    rows = df.filter(F.col(period_col).isin(list(periods))).observe(
-        written,
-        *[F.count_if(F.col(period_col) == p).alias(f"n_{i}") for i, p in enumerate(periods)],
-    )
-    write_partitioned(rows, path, [period_col], rebalance)
-    empty = [p for i, p in enumerate(periods) if not written.get[f"n_{i}"]]
-    if empty:
-        raise ValueError(f"no rows for {period_col} {empty}; rows written earlier are still there")
+    if periods != ALL:
+        df = df.filter(F.col(period_col).isin(list(periods)))
+    stored = _stored_periods(df.sparkSession, path, period_col)
+    own = read_partitions(df, path)
+    in_scope = {p: at for p, at in stored.items() if periods == ALL or p in {str(x) for x in periods}}
+    clash = sorted(set(in_scope) & {_value(at, period_col) for at in own})
+    if clash:
+        raise ValueError(f"the rows for {period_col} {clash} are read from {path} themselves")
+    present = {str(r[0]) for r in df.select(period_col).distinct().collect()} if in_scope else None
+    write_partitioned(df, path, [period_col], rebalance)
+    for value, folder in in_scope.items():
+        if value not in present:
+            _file_system(df.sparkSession, path).delete(folder, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _value(folder: str, period_col: str) -> str:
+    """The period of a partition's path."""
+    head, _, rest = folder.partition(f"/{period_col}=")
+    return unquote(rest.split("/")[0]) if rest else ""
+
+
+def _stored_periods(spark: SparkSession, path: str, period_col: str) -> dict:
+    """The partitions at ``path``: period as text, and its folder. A listing, no job."""
+    files = _file_system(spark, path)
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not files.exists(top):
+        return {}
+    folders = [x.getPath() for x in files.listStatus(top) if x.isDirectory()]
+    return {_value(f.toString(), period_col): f for f in folders if _value(f.toString(), period_col)}
+
+
+def read_partitions(df: DataFrame, path: str) -> list[str]:
+    """Folders below ``path`` that the plan of ``df`` scans, after partition pruning."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    top = _file_system(spark, path).makeQualified(jvm.org.apache.hadoop.fs.Path(path)).toString()
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    found = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "FileSourceScanExec":
+            continue
+        parts = leaf.selectedPartitions().filePartitionIterator()
+        while parts.hasNext():
+            files = parts.next().files()
+            if files.hasNext():
+                folder = files.next().getPath().getParent().toString()
+                if f"{folder}/".startswith(f"{top.rstrip('/')}/"):
+                    found.add(folder)
+    return sorted(found)
 
 
 def write_partitioned(
@@ -58,6 +110,10 @@ def write_partitioned(
     )
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def overwrite_period_bucketed(
     df: DataFrame, table: str, period_col: str, key: str, buckets: int, location: str
 ) -> None:
@@ -69,14 +125,16 @@ def overwrite_period_bucketed(
     option of the table, as inserts do not take it from the writer.
     """
     spark = df.sparkSession
+    name = ".".join(quoted(part) for part in table.split("."))
     if not spark.catalog.tableExists(table):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+        folder = location.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
-            f"""create table {table} ({columns}) using parquet
+            f"""create table {name} ({columns}) using parquet
                 options ('partitionOverwriteMode' = 'dynamic')
-                partitioned by (`{period_col}`)
-                clustered by (`{key}`) sorted by (`{key}`) into {buckets} buckets
-                location '{location}'"""
+                partitioned by ({quoted(period_col)})
+                clustered by ({quoted(key)}) sorted by ({quoted(key)}) into {buckets} buckets
+                location '{folder}'"""
         )
     in_order = spark.table(table).columns
     df.select(*in_order).repartition(buckets, key).write.insertInto(table, overwrite=True)
@@ -87,20 +145,32 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
     Only the keys of ``source`` meet the target: a batch below Spark's broadcast threshold
     leaves the target unshuffled. A whole row is taken from one side, so a NULL of ``source``
-    replaces a value. ``source`` must be unique on ``keys``.
+    replaces a value. A key that ``source`` holds twice fails the query.
     """
+    source = unique_dimension(source, keys)
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(source)
 
 
 def bounded_window(df: DataFrame, col: str, start, end) -> DataFrame:
     """Rows with start <= col < end. Both bounds are needed: an open side makes the result
-    depend on the day of the run."""
+    depend on the day of the run. Bounds are taken as the column's own type, dates and times
+    without a zone as UTC, so the session's time zone does not matter."""
     if start is None or end is None:
         raise ValueError("bounded_window needs a start and an end")
     if not start < end:
         raise ValueError("start must lie before end")
-    return df.filter((F.col(col) >= F.lit(start)) & (F.col(col) < F.lit(end)))
+    kind = df.schema[col].dataType
+
+    def bound(value) -> Column:
+        if not isinstance(value, date):
+            return F.lit(value)
+        text = value.isoformat()
+        if kind.typeName() == "timestamp" and not (isinstance(value, datetime) and value.tzinfo):
+            text += "+00:00" if isinstance(value, datetime) else "T00:00:00+00:00"
+        return F.lit(text).cast(kind)
+
+    return df.filter((F.col(col) >= bound(start)) & (F.col(col) < bound(end)))
 
 
 def missing_partitions(
@@ -108,7 +178,8 @@ def missing_partitions(
 ) -> DataFrame:
     """(source, period) from ``first`` to ``last`` with fewer than ``min_rows`` rows.
 
-    Periods are whole numbers or, with dates as bounds, days. Each source is reduced to a row per period first; only those counts are joined.
+    Periods are whole numbers or, with dates as bounds, days. Each source is reduced to a row
+    per period first; only those counts are joined.
     """
     counted = [
         df.groupBy(F.col(period_col).alias("period"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import all_equal, any_differs, as_list
+from tallybook.operators.checks import failing_without
 
 # One key column or several.
 Key = str | Sequence[str]
@@ -198,9 +199,13 @@ def scd2_incremental(
     period_col: str = SNAPSHOT,
     null_safe: bool = True,
     missing: str = "drop",
+    first: bool = False,
 ) -> DataFrame:
     """Type 2 snapshot of ``period`` from the one before it and the rows of ``period``.
 
+    The query fails if the snapshot before is empty, as every record would start anew;
+    ``first`` allows that for the first period of all.
+
     Closed records pass through without a shuffle. Open ones meet this period's rows in a
     single join, and each row yields its extended, its closed and opened, or its first record.
     An entity with an open record but no row in ``period`` loses that record
@@ -210,6 +215,9 @@ def scd2_incremental(
         raise ValueError("missing must be 'drop' or 'raise'")
     closed, last = scd2_split(prev_scd, period - 1)
     rows = current.filter(F.col(period_col) == period)
+    if not first:
+        before = prev_scd.filter(F.col(SNAPSHOT) == period - 1)
+        rows = failing_without(before, rows, f"no snapshot of period {period - 1}")
     how = "full_outer" if missing == "raise" else "left"
     joined = _pair_up(last, rows, key, tracked, period_col, how)
 
@@ -247,6 +255,10 @@ def scd3(df: DataFrame, key: Key, period: str, cols: Sequence[str]) -> DataFrame
     )
 
 
+# Buckets that a record of the as-of join is spread over; a longer one keeps its range whole.
+SPREAD = 16
+
+
 def scd2_asof(
     facts: DataFrame,
     scd: DataFrame,
@@ -257,30 +269,41 @@ def scd2_asof(
 ) -> DataFrame:
     """Each fact with the record that held in its own period; facts without one are kept.
 
-    Records must have real ends, as in the full history. They do not overlap within an entity,
-    so the row count stays. The join is on the entity and a bucket of ``width`` periods, with
-    the range as a further condition: a record lies in each bucket it touches, a fact in one.
-    So a fact meets a few records of its entity rather than all, and an entity with very many
-    facts spreads over its buckets, which adaptive execution can split further.
+    Records do not overlap within an entity, so the row count stays. An end may be NULL or lie
+    in the far future. The join is on the entity and a bucket of ``width`` periods, with the
+    range as a further condition: a record lies in each bucket it touches, a fact in one. So a
+    fact meets a few records of its entity rather than all, and an entity with very many facts
+    spreads over its buckets, which adaptive execution can split further. Records that are open
+    or touch more than ``SPREAD`` buckets, a few at most per entity, are not copied: they meet
+    the facts in a second join, on the entity and the range alone.
     """
     keys = as_list(key)
     first, last = (F.floor(F.col(c) / width) for c in (START, END))
-    records = scd.select(
-        *[F.col(k).alias(f"_of_{k}") for k in keys],
-        F.explode(F.sequence(first, last)).alias("_in_bucket"),
-        F.col(START).alias("_from"),
-        F.col(END).alias("_to"),
-        *cols,
-    )
-    held = [F.col(k) == F.col(f"_of_{k}") for k in keys] + [
-        F.col("_bucket") == F.col("_in_bucket"),
-        F.col(period).between(F.col("_from"), F.col("_to")),
-    ]
-    return (
-        facts.withColumn("_bucket", F.floor(F.col(period) / width))
-        .join(records, held, "left")
-        .drop("_bucket", "_in_bucket", *[f"_of_{k}" for k in keys])
-        .withColumnsRenamed({"_from": START, "_to": END})
+    long = F.col(END).isNull() | (last - first >= SPREAD)
+
+    def named(records: DataFrame, mark: str, *more: Column) -> DataFrame:
+        return records.select(
+            *[F.col(k).alias(f"{mark}_of_{k}") for k in keys],
+            *more,
+            F.lit(True).alias(f"{mark}_held"),
+            *[F.col(c).alias(f"{mark}_{c}") for c in (START, END, *cols)],
+        )
+
+    def within(mark: str) -> list[Column]:
+        at, end = F.col(period), F.col(f"{mark}_{END}")
+        same = [F.col(k) == F.col(f"{mark}_of_{k}") for k in keys]
+        return [*same, at >= F.col(f"{mark}_{START}"), end.isNull() | (at <= end)]
+
+    short = named(scd.filter(~long), "_s", F.explode(F.sequence(first, last)).alias("_in_bucket"))
+    bucketed = facts.withColumn("_bucket", F.floor(F.col(period) / width))
+    joined = bucketed.join(short, [F.col("_bucket") == F.col("_in_bucket"), *within("_s")], "left")
+    joined = joined.join(named(scd.filter(long), "_l"), within("_l"), "left")
+    return joined.select(
+        *[F.col(c) for c in facts.columns],
+        *[
+            F.when(F.col("_s_held"), F.col(f"_s_{c}")).otherwise(F.col(f"_l_{c}")).alias(c)
+            for c in (START, END, *cols)
+        ],
     )
 
 

@@ -228,6 +228,15 @@ ORACLES: dict[str, str] = {
         join snaps s on s.player_name = c_name and s.current_season = year(o_orderdate)
         join runs r on r.player_name = c_name
           and s.current_season >= r.start_season and s.current_season <= r.end_season""",
+    "scd2_asof_open": f"""
+        with {_runs(LAST_YEAR)}
+        select o_orderkey as order_id, c_name as player_name, year(o_orderdate)::int as season,
+               s.scoring_class, s.is_active, r.start_season,
+               if(r.end_season = {LAST_YEAR}, null, r.end_season) as end_season
+        from orders join customer on c_custkey = o_custkey
+        join snaps s on s.player_name = c_name and s.current_season = year(o_orderdate)
+        join runs r on r.player_name = c_name
+          and s.current_season >= r.start_season and s.current_season <= r.end_season""",
     "scd2_current": f"""
         with {_runs(LAST_YEAR)}
         select player_name, scoring_class, is_active, start_season,
@@ -302,12 +311,12 @@ ORACLES: dict[str, str] = {
           union all select 'o_custkey', count(distinct o_custkey) from orders
           union all select 'o_orderdate', count(distinct o_orderdate) from orders)""",
     "enum_subpartition": """
-        select y.year, m.o_orderstatus,
-               count(o_orderkey)::bigint as n_rows, count(o_orderkey) = 0 as is_missing
+        select y.year, m.o_orderstatus, count(o_orderkey)::bigint as n_rows,
+               count(o_orderkey) = 0 as is_missing, m.o_orderstatus <> 'P' as in_domain
         from (select distinct year(o_orderdate)::int as year from orders) y
         cross join (values ('F'), ('O'), ('P'), ('R')) m(o_orderstatus)
         left join orders o on year(o.o_orderdate) = y.year and o.o_orderstatus = m.o_orderstatus
-        group by all""",
+        group by all having count(o_orderkey) > 0 or m.o_orderstatus <> 'P'""",
     "shared_schema": """
         select p_partkey::varchar as id, 'part' as type, p_name as name, null::varchar as nation,
                ((p_brand is not null)::int + (p_size is not null)::int) as n_properties,
@@ -430,18 +439,21 @@ ORACLES: dict[str, str] = {
     "raw_logs_to_facts": """
         select event_id, user_id, event_type as action, (props->>'k')::int as place,
                value::decimal(18,2)::double as amount, strftime(ts, '%Y-%m-%d') as happened_on
-        from events where event_type <> 'error'""",
+        from events where event_type <> 'error' and event_id % 50 <> 7""",
     "raw_logs_rejects": """
-        select event_id, event_type, 'action: not in domain' as reason
-        from events where event_type = 'error'""",
+        with judged as (
+          select event_id, event_type, case when event_id % 50 = 7 then 'props: not JSON'
+                 when event_type = 'error' then 'action: not in domain' end as reason from events)
+        select * from judged where reason is not null
+        union all
+        select event_id, event_type, coalesce(reason, 'event_id: copy') from judged where event_id % 97 = 0""",
     "fact_five_w": """
-        select user_id as who, event_type as what,
-               if((props->>'k')::int < 50, (props->>'k')::int, null) as where,
+        select user_id as who, event_type as what, quality as where,
                strftime(ts, '%Y-%m-%d') as when, 'log' as how
-        from events""",
+        from events left join labels on doc_id = event_id""",
     "fact_five_w_fill_rates": """
-        with n as (select count(*) as total,
-                          count(*) filter ((props->>'k')::int < 50) as placed from events)
+        with n as (select count(*) as total, count(quality) as placed
+                   from events left join labels on doc_id = event_id)
         select column_name, total as total_rows,
                if(column_name = 'where', placed, total) as filled_rows,
                round(if(column_name = 'where', placed, total) / total, 6) as fill_rate

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions import classify, first_entry, last_entry, prop, props, recency_step
 from tallybook.operators import cumulative, dims, facts, graph, idempotent, scd
+from tallybook.operators.checks import check
 from tallybook.sources import tables as src
 from tallybook.sources.shared import shared_folder
 
@@ -31,7 +32,9 @@ def query(fn: Query) -> Query:
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.player_seasons(spark, sf_dir)
+    """All years. A year outside the bounds fails the query rather than be cut from it."""
+    known = F.col("season").between(FIRST, LAST)
+    return src.player_seasons(spark, sf_dir).filter(check(known, "year outside the bounds:", ["season"]))
 
 
 def _new_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,6 +241,13 @@ def scd2_asof(spark, sf_dir):
     return scd.scd2_asof(src.order_facts(spark, sf_dir), records, KEY, "season", TRACKED)
 
 
+@query
+def scd2_asof_open(spark, sf_dir):
+    """The same facts over records whose open ends are NULL."""
+    records = scd.scd2_open_end(_scd(spark, sf_dir, LAST))
+    return scd.scd2_asof(src.order_facts(spark, sf_dir), records, KEY, "season", TRACKED)
+
+
 @query
 def scd2_current(spark, sf_dir):
     records = _scd(spark, sf_dir, LAST)
@@ -254,7 +264,7 @@ def overwrite_period(spark, sf_dir):
     """All years, then the last one twice more: the table is as after the first write."""
     rows = _facts(spark, sf_dir).select(KEY, "season", "gp", "pts")
     path = shared_folder(spark, "player_seasons")
-    idempotent.overwrite_period(rows, path, "season")
+    idempotent.overwrite_period(rows, path, "season", idempotent.ALL)
     for _ in range(2):
         idempotent.overwrite_period(rows, path, "season", [LAST])
     return spark.read.schema(rows.schema).parquet(path)
@@ -319,12 +329,7 @@ def _user_events(spark, sf_dir):
 
 @query
 def additivity_check(spark, sf_dir):
-    events = _user_events(spark, sf_dir)
-    checks = [
-        dims.additivity_check(events, "user_id", dim).withColumn("dimension", F.lit(dim))
-        for dim in ("event_type", "day", "cohort")
-    ]
-    return checks[0].unionByName(checks[1]).unionByName(checks[2])
+    return dims.additivity_checks(_user_events(spark, sf_dir), "user_id", ["event_type", "day", "cohort"])
 
 
 @query
@@ -336,12 +341,10 @@ def additivity_by_window(spark, sf_dir):
 @query
 def additive_rollup(spark, sf_dir):
     events = _user_events(spark, sf_dir)
-    summed = dims.additive_rollup(
-        events, ["event_type"], ["cohort"], "user_id", ["value"], additive=True
-    )
-    recounted = dims.additive_rollup(
-        events, ["cohort"], ["event_type"], "user_id", ["value"], additive=False
-    )
+    finer = dims.entity_counts(events, ["event_type", "cohort"], "user_id", ["value"])
+    checked = dims.additivity_check(events, "user_id", "cohort")
+    summed = dims.additive_rollup(finer, ["event_type"], ["value"], checked)
+    recounted = dims.entity_counts(events, ["cohort"], "user_id", ["value"])
     columns = [F.col("value").cast("double").alias("value"), "entities"]
     by_type = summed.select(
         F.lit("event_type").alias("level"), F.col("event_type").alias("member"), *columns
@@ -369,11 +372,12 @@ def enum_candidates(spark, sf_dir):
 
 @query
 def enum_subpartition(spark, sf_dir):
+    """R has no orders, and P, which has some, is outside the domain."""
     orders = src.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), "o_orderstatus"
     )
     path = shared_folder(spark, "orders")
-    return dims.enum_subpartition(orders, path, "year", "o_orderstatus", ["F", "O", "P", "R"])
+    return dims.enum_subpartition(orders, path, "year", "o_orderstatus", ["F", "O", "R"])
 
 
 @query
@@ -442,9 +446,13 @@ def _fields(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
 
 
 def _pair_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = src.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("game_id"))
+    names = src.player_names(spark, sf_dir)
+    return graph.player_pair_edges(src.game_details(spark, sf_dir), src.DETAIL_ORDER, names=names)
+
+
+def _players_of(spark: SparkSession, sf_dir: str, **more) -> DataFrame:
     details = src.game_details(spark, sf_dir)
-    return graph.player_pair_edges(details, src.DETAIL_ORDER, sizes_from=sizes)
+    return graph.player_vertices(details, names=src.player_names(spark, sf_dir), **more)
 
 
 PLAYS_IN = {
@@ -477,13 +485,12 @@ def _player_fields(vertices):
 
 @query
 def player_vertices(spark, sf_dir):
-    return _player_fields(graph.player_vertices(src.game_details(spark, sf_dir)))
+    return _player_fields(_players_of(spark, sf_dir))
 
 
 @query
 def player_vertices_deduped(spark, sf_dir):
-    details = src.game_details(spark, sf_dir)
-    return _player_fields(graph.player_vertices(details, dedup=True, order_by=src.DETAIL_ORDER))
+    return _player_fields(_players_of(spark, sf_dir, dedup=True, order_by=src.DETAIL_ORDER))
 
 
 @query
@@ -524,13 +531,12 @@ def max_points(spark, sf_dir):
     edges = graph.plays_in_edges(details, order_by=src.DETAIL_ORDER).unionByName(
         graph.plays_on_edges(details, src.DETAIL_ORDER)
     )
-    return graph.max_points(graph.player_vertices(details), edges)
+    return graph.max_points(_players_of(spark, sf_dir), edges)
 
 
 @query
 def opponent_stats(spark, sf_dir):
-    players = graph.player_vertices(src.game_details(spark, sf_dir))
-    stats = graph.opponent_stats(players, _pair_edges(spark, sf_dir))
+    stats = graph.opponent_stats(_players_of(spark, sf_dir), _pair_edges(spark, sf_dir))
     return stats.select(
         "subject_identifier",
         "player_name",
@@ -548,7 +554,7 @@ def graph_integrity(spark, sf_dir):
     """Games entered twice, edges from rows that were not deduplicated, teams left out."""
     details = src.game_details(spark, sf_dir)
     games = graph.game_vertices(src.games(spark, sf_dir))
-    vertices = games.unionByName(games).unionByName(graph.player_vertices(details))
+    vertices = games.unionByName(games).unionByName(_players_of(spark, sf_dir))
     plays_in = graph.plays_in_edges(
         details, ["game_id", "player_id", "line_no"], ["part_id", "pts"]
     )
@@ -628,9 +634,13 @@ def fact_normalize_narrow(spark, sf_dir):
 
 
 def _event_facts(spark, sf_dir):
+    """Some logs are broken and some come twice."""
     c = F.col
+    events = src.table(spark, sf_dir, "events")
+    broken = F.when(c("event_id") % 50 == 7, F.concat(F.lit("cut "), "props")).otherwise(c("props"))
+    events = events.withColumn("props", broken)
     return facts.raw_logs_to_facts(
-        src.table(spark, sf_dir, "events"),
+        events.unionByName(events.filter("event_id % 97 = 0")),
         {
             "event_id": (c("event_id"), "bigint"),
             "user_id": (c("user_id"), "bigint"),
@@ -661,14 +671,13 @@ def raw_logs_rejects(spark, sf_dir):
 
 
 def _five_w(spark, sf_dir):
-    """Who clicked what; the place is known only where the log's number is below 50."""
-    place = F.col("place")
-    events = src.table(spark, sf_dir, "events")
+    """Who did what; the place is the label of the same number, which only some have."""
+    labels = src.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("event_id"), "quality")
     return facts.fact_five_w(
-        events.withColumn("place", prop("props", "k").cast("int")),
+        src.table(spark, sf_dir, "events").join(labels, "event_id", "left"),
         who=F.col("user_id"),
         what=F.col("event_type"),
-        where=F.when(place < 50, place),
+        where=F.col("quality"),
         when=F.to_date("ts").cast("string"),
         how=F.lit("log"),
     )

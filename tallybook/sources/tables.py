@@ -6,7 +6,6 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tallybook.schemas import PLAYER_HISTORY
 
@@ -23,35 +22,8 @@ LAST_YEAR = 2001
 DETAIL_ORDER = ("line_no", "part_id", "pts")
 
 
-# Schemas found so far, by application and path: only the first read of a table infers one.
-_SCHEMAS: dict[tuple[str, str], StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    known = (spark.sparkContext.applicationId, path)
-    if known not in _SCHEMAS:
-        _SCHEMAS[known] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[known]).parquet(path)
-
-
-# Copies of a dimension row in a salted join.
-SALTS = 8
-
-
-def salted_lookup(rows: DataFrame, dim: DataFrame, on: str, spread: str) -> DataFrame:
-    """Rows with the columns of their dimension row, joined on ``on`` and a salt.
-
-    The salt is taken from the column ``spread``. It splits a key that holds much of the data.
-    And as the result is not partitioned by ``on`` alone, a later aggregate or window on the
-    key reduces its rows map-side, and adaptive execution stays free to split further. Meant
-    for a dimension that is small beside the rows, as its copies are shuffled; where no
-    aggregate or window on the key follows, a plain join is as good.
-    """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS).cast("bigint")))
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    copies = dim.withColumn("_salt", F.explode(salts))
-    return salted.join(copies, [on, "_salt"]).drop("_salt")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def exact_sum(column: Column) -> Column:
@@ -105,15 +77,13 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item: order as game, supplier as player, return flag as team."""
-    suppliers = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), "s_name"
-    )
-    lines = table(spark, sf_dir, "lineitem")
-    return salted_lookup(lines, suppliers, "l_suppkey", "l_orderkey").select(
+    """One row per line item: order as game, supplier as player, return flag as team.
+
+    Names are in ``player_names``: they join what the operators have left of the rows.
+    """
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("game_id"),
         F.col("l_suppkey").alias("player_id"),
-        F.col("s_name").alias("player_name"),
         F.col("l_returnflag").alias("team_id"),
         F.col("l_returnflag").alias("team_abbreviation"),
         F.col("l_linestatus").alias("start_position"),
@@ -123,6 +93,13 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def player_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per supplier."""
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("player_name")
+    )
+
+
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order; the home team is the customer's nation."""
     customers = table(spark, sf_dir, "customer").select(

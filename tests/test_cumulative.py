@@ -47,7 +47,7 @@ def loop(spark, facts, first, last, spec, empty):
     """One step per period, each from the one before."""
     snapshots = [empty]
     for period in range(first, last + 1):
-        snapshots.append(cu.cumulative_step(snapshots[-1], facts, period, spec))
+        snapshots.append(cu.cumulative_step(snapshots[-1], facts, period, spec, first=period == first))
     return reduce(lambda a, b: a.unionByName(b), snapshots[1:])
 
 
@@ -84,6 +84,28 @@ def test_step_takes_only_its_two_periods(spark):
     assert summary(step) == [r for r in EXPECTED if r[1] == 2002]
 
 
+def test_step_refuses_a_missing_past(spark):
+    facts = seasons(spark)
+    players = cu.cumulative_backfill(facts, 2000, 2001)
+    later = facts.withColumn("season", F.lit(2003)).dropDuplicates(["player_name"])
+    with pytest.raises(Exception, match="no snapshot of period 2002"):
+        cu.cumulative_step(players, later, 2003).collect()
+    assert cu.cumulative_step(players, later, 2003, first=True).count() == later.count()
+
+
+def test_several_facts_in_one_period_are_refused(spark):
+    facts = seasons(spark)
+    twice = facts.unionByName(facts.filter("player_name = 'B' and season = 2000"))
+    told = "several facts in one period for B, 2000"
+    for build in (
+        lambda: cu.cumulative_backfill(twice, 2000, 2002),
+        lambda: cu.cumulative_snapshot(twice, 2001, 2000),
+        lambda: cu.cumulative_step(spark.createDataFrame([], PLAYERS), twice, 2000, first=True),
+    ):
+        with pytest.raises(Exception, match=told):
+            build().collect()
+
+
 def test_step_attributes_latest_known_wins(spark):
     facts = seasons(spark).withColumn(
         "height", F.when(F.col("season") == 2002, F.lit(None)).otherwise(F.col("height"))

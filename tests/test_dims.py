@@ -32,14 +32,28 @@ def test_additivity_of_nothing(rides):
 
 
 def test_rollup(rides):
-    summed = dims.additive_rollup(rides, ["kind"], ["town"], "driver", ["km"], additive=True)
+    by_town = dims.entity_counts(rides, ["kind", "town"], "driver", ["km"])
+    summed = dims.additive_rollup(by_town, ["kind"], ["km"], dims.additivity_check(rides, "driver", "town"))
     assert rows_of(summed, "kind", "km", "entities") == [("car", 19, 2), ("van", 7, 1)]
-    wrong = dims.additive_rollup(rides, ["day"], ["kind"], "driver", ["km"], additive=True)
-    right = dims.additive_rollup(rides, ["day"], ["kind"], "driver", ["km"], additive=False)
-    assert rows_of(wrong, "day", "km", "entities") == [(1, 13, 3), (2, 13, 2)]
+    by_kind = dims.entity_counts(rides, ["day", "kind"], "driver", ["km"])
+    for checked in (
+        dims.additivity_check(rides, "driver", "kind"),
+        dims.additivity_check(rides, "driver", "kind", "day"),
+        dims.additivity_check(rides, "driver", "kind").limit(0),
+    ):
+        with pytest.raises(Exception, match="not additive"):
+            dims.additive_rollup(by_kind, ["day"], ["km"], checked).collect()
+    right = dims.entity_counts(rides, ["day"], "driver", ["km"])
     assert rows_of(right, "day", "km", "entities") == [(1, 13, 2), (2, 13, 2)]
 
 
+def test_several_dimensions_at_once(spark, rides):
+    rows = rides.unionByName(rides.limit(1).withColumn("kind", F.lit(None).cast("string")))
+    together = {r.dimension: tuple(r)[1:] for r in dims.additivity_checks(rows, "driver", ["kind", "town", "day"]).collect()}
+    for dim in ("kind", "town", "day"):
+        assert together[dim] == tuple(dims.additivity_check(rows, "driver", dim).collect()[0])
+
+
 def test_enums(spark, rides, tmp_path):
     bad = dims.enum_validate(rides, {"kind": ["car"], "town": ["X", "Y"], "day": [1]})
     assert rows_of(bad, "column_name", "value", "n_rows") == [("day", "2", 4), ("kind", "van", 1)]
@@ -60,6 +74,18 @@ def test_enum_members_that_look_like_numbers(spark, tmp_path):
     assert rows_of(parts, "kind", "n_rows") == [("01", 1), ("1", 1)]
 
 
+def test_members_outside_the_domain_are_listed(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 0), (1, "z", 0), (2, None, 0), (2, None, 0)], "day int, kind string, x int")
+    parts = dims.enum_subpartition(df, str(tmp_path / "e"), "day", "kind", ["a", "b"])
+    assert rows_of(parts, "day", "kind", "n_rows", "is_missing", "in_domain") == sorted(
+        [
+            (1, "a", 1, False, True), (1, "b", 0, True, True), (1, "z", 1, False, False),
+            (2, "a", 0, True, True), (2, "b", 0, True, True), (2, None, 2, False, False),
+        ],
+        key=repr,
+    )
+
+
 def test_shared_schema(spark):
     apps = spark.createDataFrame([(1, "web", None)], "app_id int, label string, lang string")
     dbs = spark.createDataFrame([(1, "main", 5)], "db_id int, label string, size int")

@@ -141,9 +141,9 @@ def brute_pairs(rows):
     return sorted((*k, *v) for k, v in met.items())
 
 
-@pytest.mark.parametrize("block_rows,listed", [(5000, 10), (30, 10), (7, 10), (7, 1)])
-def test_pairs_with_one_game_of_a_third_of_the_rows(spark, block_rows, listed):
-    """Large games in cells give the same pairs, also when they are too many to be listed."""
+@pytest.mark.parametrize("block_rows", [5000, 30, 7, 1])
+def test_pairs_with_one_game_of_a_third_of_the_rows(spark, block_rows):
+    """Games in any number of cells give the same pairs."""
     import random
 
     rng = random.Random(3)
@@ -154,10 +154,33 @@ def test_pairs_with_one_game_of_a_third_of_the_rows(spark, block_rows, listed):
     df = spark.createDataFrame(
         rows, "game_id int, player_id int, player_name string, team_abbreviation string, pts double"
     )
-    pairs = graph.player_pairs(df, block_rows=block_rows, listed=listed)
+    pairs = graph.player_pairs(df, block_rows=block_rows)
     assert sorted(tuple(r) for r in pairs.collect()) == brute_pairs(rows)
 
 
+def test_names_may_come_from_a_table_of_their_own(spark):
+    d = details(spark)
+    names = d.select("player_id", "player_name").distinct()
+    bare = d.drop("player_name")
+    assert pair_rows(graph.player_pair_edges(bare, ORDER, names=names)) == PAIRS
+    for dedup in (False, True):
+        one = graph.player_vertices(d, dedup, ORDER)
+        assert rows_of(graph.player_vertices(bare, dedup, ORDER, names)) == rows_of(one)
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(g, 1, "a", 5, "A", "G", x) for g, x in enumerate([1e8, 0.1, 0.2, -1e8, 0.3] * 40)]
+    df = spark.createDataFrame(rows, DETAILS.replace("pts float", "pts double"))
+    found = {graph.player_vertices(df.repartition(n, "game_id")).collect()[0].properties for n in (1, 3, 7)}
+    assert len(found) == 1 and json.loads(found.pop())["total_points"] == 24.0
+
+
+def test_points_beyond_the_integers_are_unknown(spark):
+    vertices = spark.createDataFrame([("1", "player", '{"player_name":"a"}')], "identifier string, type string, properties string")
+    edges = spark.createDataFrame([("1", "player", '{"pts":1e12}')], "subject_identifier string, subject_type string, properties string")
+    assert graph.max_points(vertices, edges).collect()[0].max_points is None
+
+
 def test_pairs_do_not_depend_on_the_order_of_rows(spark):
     rows = details(spark).unionByName(details(spark).withColumn("pts", F.col("pts") + 1))
     once = pair_rows(graph.player_pair_edges(rows, ORDER))

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 from types import SimpleNamespace
 
 import pytest
@@ -13,9 +13,9 @@ from tests.fixtures import rows_of, seasons
 def test_overwriting_twice_equals_once(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = seasons(spark).select("player_name", "season", "pts")
-    idem.overwrite_period(rows, path, "season")
+    idem.overwrite_period(rows, path, "season", idem.ALL)
     once = rows_of(spark.read.parquet(path).select("player_name", "season", "pts"))
-    idem.overwrite_period(rows.filter("season = 2002"), path, "season", rebalance=False)
+    idem.overwrite_period(rows.filter("season = 2002"), path, "season", [2002], rebalance=False)
     idem.overwrite_period(rows, path, "season", [2002])
     assert rows_of(spark.read.parquet(path).select("player_name", "season", "pts")) == once
     rows.filter("season = 2002").write.mode("append").partitionBy("season").parquet(path)
@@ -25,29 +25,44 @@ def test_overwriting_twice_equals_once(spark, tmp_path):
 def test_other_periods_stay(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = seasons(spark).select("player_name", "season", "pts")
-    idem.overwrite_period(rows, path, "season")
+    idem.overwrite_period(rows, path, "season", idem.ALL)
     idem.overwrite_period(rows.withColumn("pts", F.lit(-1.0).cast("float")), path, "season", [2001])
     changed = spark.read.parquet(path).filter("pts = -1")
     assert {r.season for r in changed.collect()} == {2001}
 
 
-def test_a_period_without_rows_is_an_error(spark, tmp_path):
+def test_a_period_in_scope_without_rows_is_cleared(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = seasons(spark).select("player_name", "season", "pts")
-    idem.overwrite_period(rows, path, "season")
-    with pytest.raises(ValueError, match="2003"):
-        idem.overwrite_period(rows, path, "season", [2002, 2003])
-    assert spark.read.parquet(path).count() == rows.count()
+    idem.overwrite_period(rows, path, "season", idem.ALL)
+    idem.overwrite_period(rows.filter("season <> 2001"), path, "season", [2001, 2002, 2003])
+    assert rows_of(spark.read.parquet(path).select(rows.columns)) == rows_of(rows.filter("season <> 2001"))
+    idem.overwrite_period(rows.filter("season = 2000"), path, "season", idem.ALL)
+    assert rows_of(spark.read.parquet(path).select(rows.columns)) == rows_of(rows.filter("season = 2000"))
+
+
+def test_a_period_that_is_read_is_not_overwritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = seasons(spark).select("player_name", "season", "pts")
+    idem.overwrite_period(rows, path, "season", idem.ALL)
+    table = spark.read.parquet(path)
+    for scope in ([2000], [2000, 2002], idem.ALL):
+        with pytest.raises(ValueError, match="2000"):
+            idem.overwrite_period(table.filter("season = 2000").withColumn("pts", F.col("pts") + 1), path, "season", scope)
+    moved = table.filter("season = 2000").withColumn("season", F.lit(2003))
+    for _ in range(2):
+        idem.overwrite_period(moved, path, "season", [2003])
+    assert spark.read.parquet(path).count() == rows.count() + moved.count()
 
 
 def test_cumulative_table_kept_in_one_folder(spark, tmp_path):
     """Each step reads the period before from the table it writes to; a rerun changes nothing."""
     path = str(tmp_path / "players")
     facts = seasons(spark)
-    idem.overwrite_period(cu.cumulative_snapshot(facts, 2000, 2000), path, "current_season")
+    idem.overwrite_period(cu.cumulative_snapshot(facts, 2000, 2000), path, "current_season", [2000])
     for period in (2001, 2002, 2002):
         table = spark.read.parquet(path)
-        idem.overwrite_period(cu.cumulative_step(table, facts, period), path, "current_season")
+        idem.overwrite_period(cu.cumulative_step(table, facts, period), path, "current_season", [period])
     table = spark.read.parquet(path)
     backfill = cu.cumulative_backfill(facts, 2000, 2002)
     assert rows_of(table.select(backfill.columns)) == rows_of(backfill)
@@ -61,6 +76,37 @@ def test_merge_upsert(spark):
     assert rows_of(idem.merge_upsert(merged, source, ["id"]), "id", "v") == rows_of(merged, "id", "v")
 
 
+def test_merge_upsert_refuses_a_key_given_twice(spark):
+    target = spark.createDataFrame([(1, "a")], "id int, v string")
+    source = spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string")
+    with pytest.raises(Exception, match="not unique: 1"):
+        idem.merge_upsert(target, source, ["id"]).collect()
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_bounded_window_does_not_depend_on_the_time_zone(spark, kind):
+    start = spark.conf.get("spark.sql.session.timeZone")
+    found = set()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        hours = spark.range(96).selectExpr("id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id) as h")
+        rows = hours.withColumn("ts", F.col("h").cast(kind))
+        ids = [(r.id, r.ts) for r in rows.collect()]
+        path = rows.select("id", "ts")
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            fixed = path if kind == "timestamp_ntz" else spark.range(96).selectExpr(
+                "id", "timestamp_seconds(1704067200 + id * 3600) as ts"
+            )
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            window = idem.bounded_window(fixed, "ts", datetime(2024, 1, 2), datetime(2024, 1, 3, 12))
+            found.add(tuple(sorted(r.id for r in window.select("id").collect())))
+        assert len(ids) == 96
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", start)
+    assert found == {tuple(range(24, 60))}
+
+
 def test_bounded_window(spark):
     df = spark.range(10)
     assert rows_of(idem.bounded_window(df, "id", 3, 5)) == [(3,), (4,)]

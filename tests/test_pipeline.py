@@ -16,16 +16,16 @@ def test_history_year_by_year(spark, tmp_path):
     source, key = seasons(spark), "player_name"
     players, history = str(tmp_path / "players"), str(tmp_path / "players_scd")
     first = cumulative.cumulative_snapshot(source, 2000, 2000)
-    idempotent.overwrite_period(first, players, "current_season")
+    idempotent.overwrite_period(first, players, "current_season", idempotent.ALL)
     full = scd.scd2_full(spark.read.parquet(players), key, "current_season", TRACKED, 2000)
-    idempotent.overwrite_period(full, history, "current_season")
+    idempotent.overwrite_period(full, history, "current_season", idempotent.ALL)
     for period in (2001, 2002, 2001, 2002):
         step = cumulative.cumulative_step(spark.read.parquet(players), source, period)
-        idempotent.overwrite_period(step, players, "current_season")
+        idempotent.overwrite_period(step, players, "current_season", [period])
         moved = scd.scd2_incremental(
             spark.read.parquet(history), spark.read.parquet(players), key, TRACKED, period
         )
-        idempotent.overwrite_period(moved, history, "current_season")
+        idempotent.overwrite_period(moved, history, "current_season", [period])
     table = spark.read.parquet(history)
     assert rows_of(table.filter("current_season = 2001"), *OUT) == AT_2001
     assert rows_of(table.filter("current_season = 2002"), *OUT) == AT_2002

@@ -82,6 +82,29 @@ def test_incremental_with_an_absent_entity(players):
     assert rows_of(whole, *OUT) == AT_2002
 
 
+def test_incremental_refuses_a_missing_past(players):
+    later = players.filter("current_season = 2002").withColumn("current_season", F.lit(2003))
+    with pytest.raises(Exception, match="no snapshot of period 2002"):
+        scd.scd2_incremental(full(players, 2000), later, KEY, TRACKED, 2003).collect()
+    anew = scd.scd2_incremental(full(players, 2000), later, KEY, TRACKED, 2003, first=True)
+    assert anew.count() == later.count()
+
+
+def test_asof_with_open_and_far_ends(spark, players):
+    """The same records whether their open ends are a period, NULL, far or very far."""
+    facts = players.select("player_name", F.col("current_season").alias("season"))
+    records = full(players, 2002)
+    real = scd.scd2_asof(facts, records, KEY, "season", TRACKED)
+    expected = rows_of(real, KEY, "season", "start_season", *TRACKED)
+    very_far = scd.scd2_open_end(records, "far_future").withColumn(
+        "end_season", F.when(F.col("is_open"), 99_991_231).otherwise(F.col("end_season"))
+    )
+    for style in (scd.scd2_open_end(records), scd.scd2_open_end(records, "far_future"), very_far):
+        for width in (1, 8):
+            held = scd.scd2_asof(facts, style, KEY, "season", TRACKED, width)
+            assert rows_of(held, KEY, "season", "start_season", *TRACKED) == expected
+
+
 NULLS = "player_name string, current_season int, scoring_class string, is_active boolean"
 
 

@@ -123,8 +123,7 @@ def test_additivity_reduces_a_hot_entity_before_the_shuffle(hot):
     assert shuffled_rows(check) <= 8 * 1000 * 5
 
 
-def test_player_names_do_not_pin_a_player_to_one_task(spark, splitting):
-    """After the salted lookup a dedup per player still has a limit on both sides of a shuffle."""
+def test_a_dedup_per_player_has_a_limit_on_both_sides_of_a_shuffle(spark, splitting):
     details = src.game_details(spark, str(DATA / "sf0.001"))
     text = plan(graph.plays_in_edges(details, ["player_id"], ["game_id"]))
     limit, exchange = text.index("WindowGroupLimit"), text.index("Exchange hashpartitioning(player_id")
