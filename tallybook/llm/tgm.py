@@ -1,19 +1,20 @@
 """N-gram Jaccard join by a token-group matrix.
 
-A document's set holds its distinct word shingles. Similar sets are put into groups: a set joins
-a leader with which it is linked. The matrix has a row for each token and group whose union
+A document's set holds its distinct word shingles. Similar sets are put into groups. The matrix has a row for each token and group whose union
 holds it, and a query meets only the groups that share a token with it which a partner must
 share. Within such a group the query's overlap with the group's token union bounds its overlap
 with every member, and only a group that passes the bound is opened and its members compared.
 
-Three steps keep the matrix small and lose no link. Equal sets are one set. A set of n tokens
+A group holds sets that share their first leader, in parts of bounded size, so its token union
+stays close to each of them. Three steps keep the matrix small and lose no link. Equal sets are one set. A set of n tokens
 needs a partner for all but n / 10 of them, so sets with more tokens that no other set has are
 out; that is judged on a quarter of the tokens first, chosen by hash, and then on all. And of a
 set's tokens, rarest first, only the first tenth can decide: two linked sets share one of those.
 
-Groups are linked within, so a query that already lies in a group's component need not open it.
-Queries come from the smaller of two components. Leaders and groups with many visitors are
-split, so that no task holds more than some hundred sets.
+Sets are first compared with leaders alone, one for each token, which links most of what is
+linked at all. What is left to open are groups with members of other components than the
+query's; of two components the smaller one's sets are the queries. Leaders and groups with many
+visitors are split, so that no task holds more than some hundred sets.
 """
 
 from __future__ import annotations
@@ -224,22 +225,24 @@ def _split(rows: DataFrame, keys: list[str], spread: str, out: str) -> DataFrame
 
 
 def _opened(visits: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between visitors and members of the groups (lead, part) they visit.
+    """Links (a, b) between visitors (print, comp, lead, part) and members of the groups they visit.
 
-    One link for each visitor and group at most: the members of a group are linked already.
+    One link at most for each visitor and component among a group's members, and none within
+    the visitor's own: members of a component are linked already.
     """
     visits = written(_split(visits, ["lead", "part"], "print", "chunk"), "visits")
     chunks = visits.select("lead", "part", "chunk").distinct()
-    hosts = members.select("lead", "part", F.col("print").alias("host"))
+    hosts = members.select("lead", "part", F.col("print").alias("host"), F.col("comp").alias("host_comp"))
     own = sets.select(F.col("print").alias("host"), F.col("tokens").alias("host_tokens"))
     hosts = hosts.join(chunks, ["lead", "part"]).join(own, "host")
-    hosts = hosts.select("host", "host_tokens", *[F.col(k).alias(f"host_{k}") for k in ("lead", "part", "chunk")])
+    keys = ["lead", "part", "chunk"]
+    hosts = hosts.select("host", "host_comp", "host_tokens", *[F.col(k).alias(f"host_{k}") for k in keys])
     guests = visits.join(sets, "print")
 
     def compared(guest: pa.Table, host: pa.Table) -> pa.Table:
         links: list[tuple[bytes, bytes]] = []
         if len(guest) and len(host):
-            names = host["host"].to_pylist()
+            names, comps = host["host"].to_pylist(), host["host_comp"].to_pylist()
             packed = [np.frombuffer(x, np.uint64) for x in host["host_tokens"].to_pylist()]
             size = np.array([len(x) for x in packed])
             token = np.concatenate(packed)
@@ -248,7 +251,8 @@ def _opened(visits: DataFrame, members: DataFrame, sets: DataFrame, percent: int
             token, owner = token[order], owner[order]
             union, begin = np.unique(token, return_index=True)  # the group's token union
             end = np.r_[begin[1:], len(token)]
-            for print_, raw in zip(guest["print"].to_pylist(), guest["tokens"].to_pylist(), strict=True):
+            columns = [guest[c].to_pylist() for c in ("print", "comp", "tokens")]
+            for print_, comp, raw in zip(*columns, strict=True):
                 own = np.frombuffer(raw, np.uint64)
                 at, found = _place(own, union)
                 if 100 * int(found.sum()) < percent * len(own):
@@ -258,13 +262,11 @@ def _opened(visits: DataFrame, members: DataFrame, sets: DataFrame, percent: int
                 flat = np.repeat(begin[at] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
                 common = np.bincount(owner[flat], minlength=len(size))
                 linked = np.flatnonzero(100 * common >= percent * (len(own) + size - common))
-                linked = [i for i in linked.tolist() if names[i] != print_]
-                if linked:
-                    links.append((print_, names[linked[0]]))
+                one_each = {comps[i]: names[i] for i in linked.tolist() if comps[i] != comp}
+                links.extend((print_, name) for name in one_each.values())
         a, b = zip(*links, strict=True) if links else ((), ())
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    keys = ["lead", "part", "chunk"]
     by_host = hosts.groupBy(*[f"host_{k}" for k in keys])
     return guests.groupBy(*keys).cogroup(by_host).applyInArrow(compared, "a binary, b binary")
 
@@ -294,40 +296,47 @@ def jaccard_components(
     sets = written(sets, "sets")
     index = written(_deciding(sets, percent), "deciding")
 
-    # leaders: of each token the first set that has it
+    # leaders: of each token the first set that has it; a set visits its tokens' leaders
     leaders = index.groupBy("token").agg(F.min(F.struct("print", "n")).alias("first"))
-    leaders = written(leaders.select("token", F.col("first.print").alias("lead"), F.col("first.n").alias("lead_n")), "leaders")
+    leaders = leaders.select("token", F.col("first.print").alias("lead"), F.col("first.n").alias("lead_n"))
+    led = written(index.join(written(leaders, "leaders"), "token"), "led")
     fit = _sizes_fit("n", "lead_n", "lead_n", percent)
-    visits = index.join(leaders, "token").filter(fit & (F.col("print") != F.col("lead")))
-    visits = visits.select("print", "lead", F.lit(0).alias("part")).distinct()
-    alone = leaders.select("lead").distinct().select("lead", F.lit(0).alias("part"), F.col("lead").alias("print"))
-    links = written(_opened(visits, alone, sets, percent), "links-to-leaders")
-
-    # groups: a leader and the sets linked with it, in parts; sets without a leader lead themselves
-    nodes = index.groupBy("print").agg(F.first("n").alias("n"))
-    led = links.groupBy(F.col("a").alias("print")).agg(F.min("b").alias("lead"))
+    visits = led.filter(fit & (F.col("print") != F.col("lead"))).select(
+        "print", F.col("print").alias("comp"), "lead", F.lit(0).alias("part")
+    )
+    alone = led.select("lead").distinct().select(
+        "lead", F.lit(0).alias("part"), F.col("lead").alias("print"), F.col("lead").alias("comp")
+    )
+    links = written(_opened(visits.distinct(), alone, sets, percent), "links-to-leaders")
+
+    # groups: the sets with the same first leader, in parts, linked with it or not
+    placed = led.groupBy("print").agg(F.first("n").alias("n"), F.min("lead").alias("lead"))
     comps = components(links).withColumnRenamed("node", "print")
-    placed = nodes.join(led, "print", "left").join(comps, "print", "left")
-    placed = placed.withColumn("lead", F.coalesce("lead", "print")).withColumn("comp", F.coalesce("comp", "print"))
-    placed = written(_split(placed, ["lead"], "print", "part"), "groups")
+    placed = placed.join(comps, "print", "left").withColumn("comp", F.coalesce("comp", "print"))
     weights = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("weight"))
+    placed = written(_split(placed.join(weights, "comp"), ["lead"], "print", "part"), "groups")
+    top = F.max(F.struct("weight", "comp")).alias("top")
+    groups = placed.groupBy("lead", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"), top)
+    groups = written(groups, "group-sizes")
 
-    # the matrix, of tokens that more than one component has
+    # the matrix: tokens that several components have, and the groups that have them. Tokens
+    # of the same groups are one row and column, named by a hash of those groups.
     at = index.select("token", "print").join(placed, "print")
-    open_tokens = at.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-    open_tokens = written(open_tokens.filter("x != y").select("token"), "open-tokens")
-    at = written(at.join(open_tokens, "token").join(weights, "comp"), "open")
-    matrix = at.groupBy("token", "lead", "part", "comp", "weight").agg(
-        F.min("n").alias("least"), F.max("n").alias("most")
-    )
-    matrix = written(matrix.withColumnsRenamed({"comp": "comp2", "weight": "weight2"}), "matrix")
-    smaller = F.struct("weight", "comp") < F.struct(F.col("weight2").alias("weight"), F.col("comp2").alias("comp"))
-    queries = at.select("token", "print", "n", "comp", "weight")
+    unsettled = at.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+    unsettled = written(unsettled.filter("x != y").select("token"), "unsettled")
+    at = written(at.join(unsettled, "token"), "open")
+    cells = at.select("token", "lead", "part").distinct()
+    hashed = [F.bit_xor(F.xxhash64(F.lit(i), "lead", "part")) for i in (1, 2)]
+    rows_of = cells.groupBy("token").agg(F.struct(*hashed, F.count(F.lit(1))).alias("row"))
+    rows_of = written(rows_of, "rows")
+    matrix = cells.join(rows_of, "token").select("row", "lead", "part").distinct()
+    matrix = written(matrix.join(groups, ["lead", "part"]), "matrix")
+    queries = at.join(rows_of, "token").select("row", "print", "n", "comp", "weight").distinct()
+    smaller = F.struct("weight", "comp") < F.col("top")
     fit = _sizes_fit("n", "least", "most", percent)
-    visits = queries.join(matrix, "token").filter((F.col("comp") != F.col("comp2")) & smaller & fit)
-    visits = visits.select("print", "lead", "part").distinct()
-    more = _opened(visits, placed.select("lead", "part", "print"), sets, percent)
-    links = links.unionByName(more)
+    visits = written(queries, "queries").join(matrix, "row").filter(smaller & fit)
+    visits = visits.select("print", "comp", "lead", "part").distinct()
+    links = links.unionByName(_opened(visits, placed, sets, percent))
 
     # from sets back to documents
     comps = components(links).withColumnRenamed("node", "print")
