@@ -11,8 +11,8 @@ An anchor is the least of the runs of ``ANCHOR`` bytes within a string of the mi
 equal strings have equal anchors and meet in a block. A piece holds the strings that share one
 anchor at one place, some 84 bytes at most, whatever the document's length.
 
-An anchor that a good part of all groups of documents has (a passage that very many documents
-share) would make its block hot. Its strings are compared one by one instead, each in the block
+An anchor that very many documents have, as one of a passage in a third of them, would make its
+block hot. Its strings are compared one by one instead, each in the block
 of its own hash, and a group sends each once for all of its documents.
 """
 
@@ -40,7 +40,10 @@ from tallybook.llm.rlz import covered
 LENGTH = 50
 ANCHOR = 16
 # Bytes of distinct pieces that one transform holds.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
+# An anchor is common if as many documents have it as this many partitions hold, and no fewer
+# than the second number.
+COMMON_PARTITIONS, COMMON_ROWS = 16, 1000
 # A missing identifier ranks behind all others.
 _LAST = np.iinfo(np.int64).max
 
@@ -66,9 +69,13 @@ def _heads(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
 def _gather(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    begun = np.cumsum(sizes) - sizes
-    return text[np.repeat(starts - begun, sizes) + np.arange(int(sizes.sum()))]
+    return text[_ranges(starts, sizes)]
 
 
 def suffix_order(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
@@ -141,14 +148,36 @@ def least_ids(text: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int)
     return out[inner]
 
 
+def _contents(text: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of pieces that lie one after the other, some BLOCK_BYTES at a time."""
+    ends = np.cumsum(sizes)
+    out = [np.zeros(0, np.uint64)]
+    at = 0
+    while at < len(sizes):
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK_BYTES)))
+        first = ends[at] - sizes[at]
+        own = ends[at:upto] - first
+        out.append(spans(prefix(byte_values(text[first : ends[upto - 1]])), own - sizes[at:upto], own))
+        at = upto
+    return np.concatenate(out)
+
+
 def _piece_spans(
-    anchors: np.ndarray, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, text: np.ndarray, length: int
+    anchors: np.ndarray,
+    sizes: np.ndarray,
+    text: np.ndarray,
+    many: np.ndarray,
+    ids: np.ndarray,
+    starts: np.ndarray,
+    length: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(piece, start, end) of every span of the pieces that a smaller document has as well."""
-    ends = np.cumsum(sizes)
-    begun = ends - sizes
-    content = spans(prefix(byte_values(text)), begun, ends)
-    _, sample, same = np.unique(content, return_index=True, return_inverse=True)
+    """(occurrence, start, end) of every span that a smaller document has as well.
+
+    ``many`` occurrences of each piece follow one another in ``ids`` and ``starts``.
+    """
+    begun = np.cumsum(sizes) - sizes
+    _, sample, same = np.unique(_contents(text, sizes), return_index=True, return_inverse=True)
+    same = np.repeat(same, many)  # by occurrence
     lowest = np.full(len(sample), _LAST)
     np.minimum.at(lowest, same, ids)
     # an anchor with one content only needs no transform: equal strings have equal anchors
@@ -156,10 +185,10 @@ def _piece_spans(
     _, kinds, count = np.unique(anchor, return_inverse=True, return_counts=True)
     several = np.flatnonzero(count[kinds] > 1)
     several = several[np.argsort(anchor[several], kind="stable")]
-    copy = ids > lowest[same]
-    out = [(np.flatnonzero(copy), starts[copy], starts[copy] + sizes[copy])]
-    # the piece of the smallest document: its strings may still lie in other pieces of a smaller one
-    keeper = np.flatnonzero(~copy)
+    copy = np.flatnonzero(ids > lowest[same])
+    out = [(copy, starts[copy], starts[copy] + np.repeat(sizes, many)[copy])]
+    # in its smallest document a piece stays, but for strings that other pieces of a smaller one have
+    keeper = np.flatnonzero(ids == lowest[same])
     keeper = keeper[np.argsort(same[keeper], kind="stable")]
     at = 0
     total = np.cumsum(sizes[sample[several]])
@@ -183,13 +212,9 @@ def _piece_spans(
             last = np.r_[begin[1:], len(hit)] - 1
             who = part[piece[hit[begin]]]
             # every occurrence of the content in its smallest document
-            a = np.searchsorted(same[keeper], who, "left")
-            b = np.searchsorted(same[keeper], who, "right")
-            many = b - a
-            row = np.repeat(np.arange(len(who)), many)
-            occurrence = keeper[
-                np.repeat(a - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-            ]
+            a, b = (np.searchsorted(same[keeper], who, side) for side in ("left", "right"))
+            row = np.repeat(np.arange(len(who)), b - a)
+            occurrence = keeper[_ranges(a, b - a)]
             out.append(
                 (
                     occurrence,
@@ -201,12 +226,16 @@ def _piece_spans(
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-_CELL = "block int, grp int, keys binary, ids binary, rows binary, starts binary, sizes binary, text binary"
-_REPLY = "grp int, kind int, keys binary, ids binary, ends binary"
-_CELL_ARROW = pa.schema(
+_KEYS = "block int, grp int, keys binary, more binary, counts binary, n_docs long"
+_KEYS_ARROW = pa.schema(
     [("block", pa.int32()), ("grp", pa.int32())]
-    + [(c, pa.binary()) for c in ("keys", "ids", "rows", "starts", "sizes", "text")]
+    + [(c, pa.binary()) for c in ("keys", "more", "counts")]
+    + [("n_docs", pa.int64())]
 )
+_PARTS = ("keys", "sizes", "text", "many", "ids", "rows", "starts")
+_CELL = "block int, grp int, " + ", ".join(f"{c} binary" for c in _PARTS)
+_REPLY = "grp int, kind int, keys binary, ids binary, ends binary"
+_CELL_ARROW = pa.schema([("block", pa.int32()), ("grp", pa.int32())] + [(c, pa.binary()) for c in _PARTS])
 _REPLY_ARROW = pa.schema(
     [("grp", pa.int32()), ("kind", pa.int32())] + [(c, pa.binary()) for c in ("keys", "ids", "ends")]
 )
@@ -242,14 +271,13 @@ def _anchored(text: np.ndarray, offsets: np.ndarray, length: int) -> tuple:
     return sums, keys, pick, np.arange(len(pick)) + length <= ends
 
 
-def _packed(keys: np.ndarray, where: np.ndarray, grp: int, *more: np.ndarray) -> list[tuple]:
+def _by_block(where: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """The blocks that occur, each with the places of its keys, in order."""
     order = np.argsort(where, kind="stable")
+    if not len(order):
+        return []
     first = _heads(where[order])
-    out = []
-    for a, b in zip(first, np.r_[first[1:], len(order)], strict=True):
-        at = order[a:b]
-        out.append((int(where[at[0]]), grp, keys[at].tobytes(), *(x[at].tobytes() for x in more)))
-    return out
+    return [(int(where[order[a]]), order[a:b]) for a, b in zip(first, np.r_[first[1:], len(order)], strict=True)]
 
 
 def drop_shared(
@@ -277,7 +305,7 @@ def drop_shared(
         raise ValueError(f"strings need {ANCHOR + 8} bytes at least")
     spark = docs.sparkSession
     groups, blocks = 4 * partitions(spark), partitions(spark)
-    common_at = max(16, groups // 4)
+    share = COMMON_PARTITIONS / partitions(spark)
     also = {f"c{i}": c for i, c in enumerate(carry)}
     columns = [F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")]
     dealt = grouped(docs.select(*columns, *[F.col(c).alias(k) for k, c in also.items()]), "doc", groups)
@@ -292,19 +320,29 @@ def drop_shared(
             found.append(keys[at])
             owner.append(ids[first + np.searchsorted(offsets, at, "right") - 1])
         keys, owner = np.concatenate(found), np.concatenate(owner)
-        order = np.argsort(keys)
+        order = np.lexsort((owner, keys))
         keys, owner = keys[order], owner[order]
-        head = _heads(keys) if len(keys) else np.zeros(0, np.int64)
-        if len(head):
-            several = np.minimum.reduceat(owner, head) != np.maximum.reduceat(owner, head)
-            keys = np.repeat(keys[head], 1 + several)  # twice, if two documents of the group have it
-        rows = _packed(_low(keys), _block_of(keys, blocks), grp) if len(keys) else []
-        return _rows(pa.schema(list(_CELL_ARROW)[:3]), rows)
+        rows = []
+        if len(keys):
+            new = np.ones(len(keys), np.int64)  # the first of a document with the anchor
+            new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+            head = _heads(keys)
+            count = np.add.reduceat(new, head)
+            keys = keys[head]
+            for block, at in _by_block(_block_of(keys, blocks)):
+                more = at[count[at] > 1]
+                counts = np.minimum(count[more], 65_535).astype(np.uint16)
+                packed = (_low(keys[at]), _low(keys[more]), counts)
+                rows.append((block, grp, *(x.tobytes() for x in packed), len(ids)))
+        return _rows(_KEYS_ARROW, rows)
 
     def seen(cell: pa.Table) -> pa.Table:
         packed = [np.frombuffer(x, np.uint32) for x in cell["keys"].to_pylist()]
         keys, place, count = np.unique(np.concatenate(packed), return_inverse=True, return_counts=True)
+        more = np.searchsorted(keys, unpacked(cell["more"], np.uint32))
+        np.add.at(count, more, unpacked(cell["counts"], np.uint16).astype(np.int64) - 1)
         count = count[place]
+        common_at = max(COMMON_ROWS, share * sum(cell["n_docs"].to_pylist()))
         bounds = np.cumsum([0, *map(len, packed)])
         rows = []
         for grp, own, a, b in zip(cell["grp"].to_pylist(), packed, bounds[:-1], bounds[1:], strict=True):
@@ -336,53 +374,59 @@ def drop_shared(
             row = np.searchsorted(offsets, start, "right") - 1
             common = _in(_low(key), known[_COMMON])
             use = _in(_low(key), known[_SEEN]) & ~common
-            size = end[use] - start[use]
-            parts.append((key[use], first + row[use], start[use] - offsets[row[use]], size))
-            texts.append(_gather(text, start[use], size))
+            at, size = start[use], end[use] - start[use]
+            run = np.full(len(at), len(texts))
+            content = spans(sums, at, at + size)
+            parts.append((key[use], content, first + row[use], at - offsets[row[use]], size, run, at))
+            texts.append(text)
             if common.any():
                 # strings of common anchors: sent by hash, and their places kept for the last pass
                 a, n = start[common], end[common] - length + 1 - start[common]
-                at = _gather(np.arange(len(text)), a, n)
+                at = _ranges(a, n)
                 strings.append(spans(sums, at, at + length))
                 string_ids.append(ids[first + np.repeat(row[common], n)])
                 runs.append((first + row[common], a - offsets[row[common]], a - offsets[row[common]] + n))
         rows = []
         if parts:
-            key, row, start, size = (np.concatenate(x) for x in zip(*parts, strict=True))
-            text = np.concatenate(texts)
-            where = _block_of(key, blocks)
-            order = np.argsort(where, kind="stable")
-            begun = np.cumsum(size) - size
-            head = _heads(where[order]) if len(order) else np.zeros(0, np.int64)
-            for a, b in zip(head, np.r_[head[1:], len(order)].astype(np.int64), strict=True):
-                at = order[a:b]
-                rows.append(
-                    (
-                        int(where[at[0]]),
-                        grp,
-                        _low(key[at]).tobytes(),
-                        ids[row[at]].tobytes(),
-                        row[at].astype(np.int32).tobytes(),
-                        start[at].astype(np.int32).tobytes(),
-                        size[at].astype(np.uint8).tobytes(),
-                        _gather(text, begun[at], size[at]).tobytes(),
-                    )
+            key, content, row, start, size, run, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+            # a content is sent once for all its occurrences in the group
+            _, sample, same = np.unique(content, return_index=True, return_inverse=True)
+            by_content = np.argsort(same, kind="stable")
+            many = np.bincount(same, minlength=len(sample))
+            begun = np.cumsum(many) - many
+            for block, at in _by_block(_block_of(key[sample], blocks)):
+                piece = sample[at]
+                pieces_text = np.empty(int(size[piece].sum()), np.uint8)
+                where = np.repeat(run[piece], size[piece])
+                for r in np.unique(run[piece]).tolist():
+                    own = piece[run[piece] == r]
+                    pieces_text[where == r] = _gather(texts[r], place[own], size[own])
+                occurrence = by_content[_ranges(begun[at], many[at])]
+                packed = (
+                    _low(key[piece]),
+                    size[piece].astype(np.uint8),
+                    pieces_text,
+                    many[at].astype(np.int32),
+                    ids[row[occurrence]],
+                    row[occurrence].astype(np.int32),
+                    start[occurrence].astype(np.int32),
                 )
+                rows.append((block, grp, *(x.tobytes() for x in packed)))
         if strings:
             key, who = np.concatenate(strings), np.concatenate(string_ids)
             order = np.lexsort((who, key))
             order = order[_heads(key[order])]
             key, who = key[order], who[order]
-            packed = _packed(key, _block_of(key, blocks), grp, who)
-            rows += [(block, g, k, i, None, None, None, None) for block, g, k, i in packed]
+            for block, at in _by_block(_block_of(key, blocks)):
+                rows.append((block, grp, key[at].tobytes(), None, None, None, who[at].tobytes(), None, None))
             row, start, end = (np.concatenate(x).astype(np.int32).tobytes() for x in zip(*runs, strict=True))
-            rows.append((-1 - grp, grp, None, None, row, start, end, None))
+            rows.append((-1 - grp, grp, end, None, None, None, None, row, start))
         return _rows(_CELL_ARROW, rows)
 
     def judged(cell: pa.Table) -> pa.Table:
         if cell["block"][0].as_py() < 0:  # a group's own note on its common strings
-            out = cell.select(["grp", "rows", "starts", "sizes"]).to_pylist()
-            return _rows(_REPLY_ARROW, [(x["grp"], _OWN, x["rows"], x["starts"], x["sizes"]) for x in out])
+            out = cell.select(["grp", "rows", "starts", "keys"]).to_pylist()
+            return _rows(_REPLY_ARROW, [(x["grp"], _OWN, x["rows"], x["starts"], x["keys"]) for x in out])
         whole_strings = pc.is_null(cell["text"])
         strings, cell = cell.filter(whole_strings), cell.filter(pc.invert(whole_strings))
         rows = []
@@ -397,14 +441,15 @@ def drop_shared(
             for grp, a, b in zip(strings["grp"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
                 rows.append((grp, _LEAST, keys[a:b].tobytes(), lowest[a:b].tobytes(), None))
         if len(cell):
-            counts = [len(x) // 4 for x in cell["keys"].to_pylist()]
+            counts = [len(x) // 4 for x in cell["rows"].to_pylist()]
             row = unpacked(cell["rows"], np.int32)
             piece, start, end = _piece_spans(
                 unpacked(cell["keys"], np.uint32),
-                unpacked(cell["ids"], np.int64),
-                unpacked(cell["starts"], np.int32).astype(np.int64),
                 unpacked(cell["sizes"], np.uint8).astype(np.int64),
                 unpacked(cell["text"], np.uint8),
+                unpacked(cell["many"], np.int32),
+                unpacked(cell["ids"], np.int64),
+                unpacked(cell["starts"], np.int32).astype(np.int64),
                 length,
             )
             order = np.argsort(piece, kind="stable")
@@ -439,7 +484,7 @@ def drop_shared(
                 c, d = np.searchsorted(own[0], [first + i, first + i + 1])
                 if c < d:
                     n = own[2, c:d] - own[1, c:d]
-                    at = _gather(np.arange(len(text)), a + own[1, c:d], n)
+                    at = _ranges(a + own[1, c:d], n)
                     hashed = spans(sums, at, at + length)
                     hit = at[lowest[np.searchsorted(key, hashed)] < ids[first + i]] - a
                     begin, finish = np.r_[begin, hit], np.r_[finish, hit + length]
@@ -461,7 +506,7 @@ def drop_shared(
         )
 
     by_group = dealt.groupBy("grp")
-    cells = by_group.applyInArrow(anchors, "block int, grp int, keys binary")
+    cells = by_group.applyInArrow(anchors, _KEYS)
     near = cells.groupBy("block").applyInArrow(seen, _REPLY)
     cut = by_group.cogroup(near.groupBy("grp")).applyInArrow(pieces, _CELL)
     verdicts = cut.groupBy("block").applyInArrow(judged, _REPLY)

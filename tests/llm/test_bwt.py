@@ -47,8 +47,11 @@ def test_equal_identifiers_with_different_texts(spark):
     assert result(frame(spark, rows)) == brute(rows, 50)
 
 
-def test_common_passages(spark):
-    """Passages that most groups have take the way of single strings."""
+@pytest.mark.parametrize("common", [1000, 20])
+def test_common_passages(spark, monkeypatch, common):
+    """Passages that very many documents have take the way of single strings."""
+    monkeypatch.setattr(bwt, "COMMON_ROWS", common)
+    monkeypatch.setattr(bwt, "COMMON_PARTITIONS", 0)
     draw = random.Random(8)
     first, second = sentence(draw, 25), sentence(draw, 40)
     rows = []
