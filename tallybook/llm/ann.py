@@ -27,7 +27,7 @@ PROBES = 60
 SEED = 7
 NEIGHBOURS = 5
 # Vectors of a bucket that one task compares with the bucket's queries.
-BUCKET_ROWS = 2048
+BUCKET_ROWS = 512
 
 
 def usable(vector: Column) -> Column:
@@ -204,7 +204,7 @@ def nearest(
     # the exact way for queries whose buckets held too few
     enough = best.groupBy("query_id").count().filter(F.col("count") >= k)
     few = asked.join(enough, F.col("id") == F.col("query_id"), "left_anti")
-    packed = f"transform(vector, x -> cast(x as double))"
+    packed = "transform(vector, x -> cast(x as double))"
     blocks = max(1, -(-rows.count() // BUCKET_ROWS))
     all_rows = rows.select("id", F.expr(packed).alias("vector")).withColumn(
         "block", F.pmod(F.xxhash64("id"), F.lit(blocks))

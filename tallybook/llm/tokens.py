@@ -269,7 +269,7 @@ def length_histogram(lengths: DataFrame, n_col: str = "n_tokens") -> DataFrame:
 
 
 # Lengths that one window of suffix sums takes.
-BAND = 4096
+BAND = 256
 
 
 def with_suffix_sums(counts: DataFrame) -> DataFrame:
