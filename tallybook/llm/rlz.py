@@ -118,7 +118,7 @@ def drop_repeats(
     """
     anchor = min(ANCHOR, width)
     spark = docs.sparkSession
-    groups, blocks = 4 * partitions(spark), partitions(spark)
+    groups, blocks = 3 * partitions(spark), partitions(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     dealt = grouped(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), "doc", groups)
 
