@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -232,16 +231,18 @@ _KEYS_ARROW = pa.schema(
     + [(c, pa.binary()) for c in ("keys", "more", "counts")]
     + [("n_docs", pa.int64())]
 )
-_PARTS = ("keys", "sizes", "text", "many", "ids", "rows", "starts")
+# Pieces and their occurrences, then single strings of common anchors.
+_PARTS = ("keys", "sizes", "text", "many", "ids", "rows", "starts", "strings", "string_ids")
 _CELL = "block int, grp int, " + ", ".join(f"{c} binary" for c in _PARTS)
-_REPLY = "grp int, kind int, keys binary, ids binary, ends binary"
+_REPLY = "grp int, kind int, keys binary, ids binary, ends binary, strings binary, least binary"
 _CELL_ARROW = pa.schema([("block", pa.int32()), ("grp", pa.int32())] + [(c, pa.binary()) for c in _PARTS])
 _REPLY_ARROW = pa.schema(
-    [("grp", pa.int32()), ("kind", pa.int32())] + [(c, pa.binary()) for c in ("keys", "ids", "ends")]
+    [("grp", pa.int32()), ("kind", pa.int32())]
+    + [(c, pa.binary()) for c in ("keys", "ids", "ends", "strings", "least")]
 )
-# Kinds of replies: anchors found elsewhere, common anchors, spans to remove, runs of a group's own
-# common strings, the least document of a common string.
-_SEEN, _COMMON, _SPAN, _OWN, _LEAST = range(5)
+# Kinds of replies: anchors found elsewhere (and which of them are common); spans to remove and the
+# least documents of strings; a group's own note of where its common strings lie.
+_SEEN, _SPAN, _OWN = range(3)
 
 
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
@@ -346,9 +347,8 @@ def drop_shared(
         bounds = np.cumsum([0, *map(len, packed)])
         rows = []
         for grp, own, a, b in zip(cell["grp"].to_pylist(), packed, bounds[:-1], bounds[1:], strict=True):
-            for kind, hit in ((_SEEN, count[a:b] > 1), (_COMMON, count[a:b] > common_at)):
-                if hit.any():
-                    rows.append((grp, kind, np.unique(own[hit]).tobytes(), None, None))
+            hits = (np.unique(own[count[a:b] > least]).tobytes() for least in (1, common_at))
+            rows.append((grp, _SEEN, *hits, b"", b"", b""))
         return _rows(_REPLY_ARROW, rows)
 
     def pieces(group: pa.Table, reply: pa.Table) -> pa.Table:
@@ -356,8 +356,7 @@ def drop_shared(
             return _rows(_CELL_ARROW, [])
         group = _ordered(group)
         ids, grp = _ids(group), group["grp"][0].as_py()
-        kinds = reply["kind"].to_numpy()
-        known = {k: np.sort(unpacked(reply["keys"].filter(pa.array(kinds == k)), np.uint32)) for k in (_SEEN, _COMMON)}
+        known, common_keys = (np.sort(unpacked(reply[c], np.uint32)) for c in ("keys", "ids"))
         parts: list[tuple] = []
         texts: list[np.ndarray] = []
         runs: list[tuple] = []
@@ -372,8 +371,8 @@ def drop_shared(
             key = keys[pick[string[head]]]
             start, end = string[head], string[last] + length
             row = np.searchsorted(offsets, start, "right") - 1
-            common = _in(_low(key), known[_COMMON])
-            use = _in(_low(key), known[_SEEN]) & ~common
+            common = _in(_low(key), common_keys)
+            use = _in(_low(key), known) & ~common
             at, size = start[use], end[use] - start[use]
             run = np.full(len(at), len(texts))
             content = spans(sums, at, at + size)
@@ -386,7 +385,7 @@ def drop_shared(
                 strings.append(spans(sums, at, at + length))
                 string_ids.append(ids[first + np.repeat(row[common], n)])
                 runs.append((first + row[common], a - offsets[row[common]], a - offsets[row[common]] + n))
-        rows = []
+        cells: dict[int, list[bytes]] = {}
         if parts:
             key, content, row, start, size, run, place = (np.concatenate(x) for x in zip(*parts, strict=True))
             # a content is sent once for all its occurrences in the group
@@ -411,68 +410,63 @@ def drop_shared(
                     row[occurrence].astype(np.int32),
                     start[occurrence].astype(np.int32),
                 )
-                rows.append((block, grp, *(x.tobytes() for x in packed)))
+                cells[block] = [x.tobytes() for x in packed]
         if strings:
             key, who = np.concatenate(strings), np.concatenate(string_ids)
             order = np.lexsort((who, key))
             order = order[_heads(key[order])]
             key, who = key[order], who[order]
             for block, at in _by_block(_block_of(key, blocks)):
-                rows.append((block, grp, key[at].tobytes(), None, None, None, who[at].tobytes(), None, None))
+                cells[block] = cells.get(block, [b""] * 7) + [key[at].tobytes(), who[at].tobytes()]
             row, start, end = (np.concatenate(x).astype(np.int32).tobytes() for x in zip(*runs, strict=True))
-            rows.append((-1 - grp, grp, end, None, None, None, None, row, start))
+            cells[-1 - grp] = [end, b"", b"", b"", b"", row, start]
+        rows = [(block, grp, *x, *[b""] * (len(_PARTS) - len(x))) for block, x in cells.items()]
         return _rows(_CELL_ARROW, rows)
 
     def judged(cell: pa.Table) -> pa.Table:
         if cell["block"][0].as_py() < 0:  # a group's own note on its common strings
             out = cell.select(["grp", "rows", "starts", "keys"]).to_pylist()
-            return _rows(_REPLY_ARROW, [(x["grp"], _OWN, x["rows"], x["starts"], x["keys"]) for x in out])
-        whole_strings = pc.is_null(cell["text"])
-        strings, cell = cell.filter(whole_strings), cell.filter(pc.invert(whole_strings))
+            return _rows(_REPLY_ARROW, [(x["grp"], _OWN, x["rows"], x["starts"], x["keys"], b"", b"") for x in out])
+        packed = [np.frombuffer(x, np.uint64) for x in cell["strings"].to_pylist()]
+        distinct, place = np.unique(np.concatenate(packed), return_inverse=True)
+        lowest = np.full(len(distinct), _LAST)
+        np.minimum.at(lowest, place, unpacked(cell["string_ids"], np.int64))
+        lowest = lowest[place]
+        bounds = np.cumsum([0, *map(len, packed)])
+        counts = [len(x) // 4 for x in cell["rows"].to_pylist()]
+        row = unpacked(cell["rows"], np.int32)
+        piece, start, end = _piece_spans(
+            unpacked(cell["keys"], np.uint32),
+            unpacked(cell["sizes"], np.uint8).astype(np.int64),
+            unpacked(cell["text"], np.uint8),
+            unpacked(cell["many"], np.int32),
+            unpacked(cell["ids"], np.int64),
+            unpacked(cell["starts"], np.int32).astype(np.int64),
+            length,
+        )
+        order = np.argsort(piece, kind="stable")
+        piece, start, end = piece[order], start[order], end[order]
+        cut = np.searchsorted(piece, np.cumsum([0, *counts]))
         rows = []
-        if len(strings):
-            packed = [np.frombuffer(x, np.uint64) for x in strings["keys"].to_pylist()]
-            keys, who = np.concatenate(packed), unpacked(strings["ids"], np.int64)
-            distinct, place = np.unique(keys, return_inverse=True)
-            lowest = np.full(len(distinct), _LAST)
-            np.minimum.at(lowest, place, who)
-            lowest = lowest[place]
-            bounds = np.cumsum([0, *map(len, packed)])
-            for grp, a, b in zip(strings["grp"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
-                rows.append((grp, _LEAST, keys[a:b].tobytes(), lowest[a:b].tobytes(), None))
-        if len(cell):
-            counts = [len(x) // 4 for x in cell["rows"].to_pylist()]
-            row = unpacked(cell["rows"], np.int32)
-            piece, start, end = _piece_spans(
-                unpacked(cell["keys"], np.uint32),
-                unpacked(cell["sizes"], np.uint8).astype(np.int64),
-                unpacked(cell["text"], np.uint8),
-                unpacked(cell["many"], np.int32),
-                unpacked(cell["ids"], np.int64),
-                unpacked(cell["starts"], np.int32).astype(np.int64),
-                length,
-            )
-            order = np.argsort(piece, kind="stable")
-            piece, start, end = piece[order], start[order], end[order]
-            cut = np.searchsorted(piece, np.cumsum([0, *counts]))
-            for grp, a, b in zip(cell["grp"].to_pylist(), cut[:-1], cut[1:], strict=True):
-                if a < b:
-                    at = (row[piece[a:b]], start[a:b].astype(np.int32), end[a:b].astype(np.int32))
-                    rows.append((grp, _SPAN, *(x.tobytes() for x in at)))
+        for i, grp in enumerate(cell["grp"].to_pylist()):
+            own, text = slice(cut[i], cut[i + 1]), slice(bounds[i], bounds[i + 1])
+            spans_ = (row[piece[own]], start[own].astype(np.int32), end[own].astype(np.int32))
+            if len(spans_[0]) or len(packed[i]):
+                rows.append((grp, _SPAN, *(x.tobytes() for x in (*spans_, packed[i], lowest[text]))))
         return _rows(_REPLY_ARROW, rows)
 
     def assembled(group: pa.Table, reply: pa.Table) -> pa.Table:
         group = _ordered(group)
         ids = _ids(group)
         kinds = reply["kind"].to_numpy()
-        of = {k: reply.filter(pa.array(kinds == k)) for k in (_SPAN, _OWN, _LEAST)}
+        of = {k: reply.filter(pa.array(kinds == k)) for k in (_SPAN, _OWN)}
         row = unpacked(of[_SPAN]["keys"], np.int32)
         start, end = unpacked(of[_SPAN]["ids"], np.int32), unpacked(of[_SPAN]["ends"], np.int32)
         order = np.argsort(row, kind="stable")
         row, start, end = row[order], start[order].astype(np.int64), end[order].astype(np.int64)
         own = np.stack([unpacked(of[_OWN][c], np.int32) for c in ("keys", "ids", "ends")]).astype(np.int64)
         own = own[:, np.argsort(own[0], kind="stable")]
-        key, lowest = unpacked(of[_LEAST]["keys"], np.uint64), unpacked(of[_LEAST]["ids"], np.int64)
+        key, lowest = unpacked(of[_SPAN]["strings"], np.uint64), unpacked(of[_SPAN]["least"], np.int64)
         order = np.argsort(key, kind="stable")
         key, lowest = key[order], lowest[order]
         n_bytes, n_removed, n_spans, kept = [], [], [], []
