@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tallybook.llm import bwt, lang, mixing, packing, tgm
 from tallybook.llm.common import table, written
@@ -35,7 +36,7 @@ def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return kept.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _whole_characters(kept: pd.Series) -> pd.Series:
     """The text of what is left; characters that a removal cut through go as a whole."""
     return kept.map(lambda x: bytes(x).decode("utf-8", "ignore"))
