@@ -8,6 +8,22 @@ from pyspark.sql import functions as F
 from tallybook.llm.common import written
 
 
+def labelled(nodes: DataFrame, links: DataFrame, hops: int = 3) -> DataFrame:
+    """(node, comp) after some hops in which each node takes its neighbours' least label.
+
+    Nodes with the same label are connected; a component may still have several labels. Least
+    labels are found map-side, and links meet them in plain joins.
+    """
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = written(both.filter("a != b").distinct(), "near")
+    labels = nodes.select("node", F.col("node").alias("comp"))
+    for hop in range(hops):
+        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("comp").alias("least"))
+        joined = labels.join(near, F.col("node") == F.col("a"), "left")
+        labels = written(joined.select("node", F.least("comp", "least").alias("comp")), f"labels-{hop}")
+    return labels
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) for every node of the links (a, b); comp is one of the component's nodes.
 

@@ -12,8 +12,9 @@ out; that is judged on a quarter of the tokens first, chosen by hash, and then o
 set's tokens, rarest first, only the first tenth can decide: two linked sets share one of those.
 
 Sets are first compared with leaders alone, one for each token, which links most of what is
-linked at all. What is left to open are groups with members of other components than the
-query's; of two components the smaller one's sets are the queries. Leaders and groups with many
+linked at all; sets that are known to be connected get one label. What is left to open are
+groups with members of other labels than the query's; of two labels the queries are the sets of
+the one that fewer have. Leaders and groups with many
 visitors are split, so that no task holds more than some hundred sets.
 """
 
@@ -42,7 +43,7 @@ from tallybook.llm.common import (
     word_bounds,
     written,
 )
-from tallybook.llm.graph import components
+from tallybook.llm.graph import components, labelled
 
 SHINGLE = 3
 PERCENT = 90
@@ -311,8 +312,8 @@ def jaccard_components(
 
     # groups: the sets with the same first leader, in parts, linked with it or not
     placed = led.groupBy("print").agg(F.first("n").alias("n"), F.min("lead").alias("lead"))
-    comps = components(links).withColumnRenamed("node", "print")
-    placed = placed.join(comps, "print", "left").withColumn("comp", F.coalesce("comp", "print"))
+    labels = labelled(placed.select(F.col("print").alias("node")), links)
+    placed = placed.join(labels.withColumnRenamed("node", "print"), "print")
     weights = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("weight"))
     placed = written(_split(placed.join(weights, "comp"), ["lead"], "print", "part"), "groups")
     top = F.max(F.struct("weight", "comp")).alias("top")
@@ -337,9 +338,15 @@ def jaccard_components(
     visits = written(queries, "queries").join(matrix, "row").filter(smaller & fit)
     visits = visits.select("print", "comp", "lead", "part").distinct()
     links = links.unionByName(_opened(visits, placed, sets, percent))
+    for end in ("a", "b"):  # links between labels, which are few
+        at = labels.select(F.col("node").alias(end), F.col("comp").alias("label"))
+        links = links.join(at, end).drop(end).withColumnRenamed("label", end)
+    merged = components(links).select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
+    comps = labels.join(merged, "comp", "left").select(
+        F.col("node").alias("print"), F.coalesce("whole", "comp").alias("comp")
+    )
 
     # from sets back to documents
-    comps = components(links).withColumnRenamed("node", "print")
     named = known.select("doc", "n_shingles", "print").join(comps, "print", "left")
     named = written(named.withColumn("comp", F.coalesce("comp", "print")), "named")
     least = written(named.filter("comp is not null").groupBy("comp").agg(F.min("doc").alias("least")), "least")
