@@ -31,6 +31,7 @@ HEADLINE = [
     "plays_in_edges",
     "player_pair_edges",
     "opponent_stats",
+    "graph_integrity",
     "fact_dedup",
     "fact_denormalize",
     "raw_logs_to_facts",
