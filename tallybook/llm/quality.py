@@ -23,24 +23,34 @@ THRESHOLD = -0.12
 TRUSTED_ROWS = 16_384
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SYMBOLS = "#*$%&|<>"
-_BREAKS = " \t\n\x0b\x0c\r"
+SYMBOLS = "[#*$%&|<>]"
 
 
 def buckets(hashes: Column) -> Column:
     """The buckets of all words and word pairs, from the words' hashes."""
-    one = F.transform(hashes, lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
-    pairs = F.zip_with(
-        hashes,
-        F.slice(hashes, F.lit(2), F.greatest(F.size(hashes) - 1, F.lit(0))),
-        lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(BUCKETS)).cast("int"),
-    )
-    # the last word pairs with nothing
-    return F.concat(one, F.slice(pairs, F.lit(1), F.greatest(F.size(hashes) - 1, F.lit(0))))
+    pairs = F.zip_with(F.slice(hashes, F.lit(1), _pairs(hashes)), _next(hashes), _pair_bucket)
+    return F.concat(F.transform(hashes, _bucket), pairs)
+
+
+def _pairs(hashes: Column) -> Column:
+    return F.greatest(F.size(hashes) - 1, F.lit(0))
+
+
+def _next(hashes: Column) -> Column:
+    """From the second word on."""
+    return F.slice(hashes, F.lit(2), _pairs(hashes))
+
+
+def _bucket(h: Column) -> Column:
+    return F.pmod(h, F.lit(BUCKETS)).cast("int")
 
 
-def word_hashes(text: Column) -> Column:
-    return F.transform(words(text), lambda w: F.xxhash64(w))
+def _pair_bucket(a: Column, b: Column) -> Column:
+    return _bucket(F.xxhash64(a, b))
+
+
+def word_hashes(found: Column) -> Column:
+    return F.transform(found, lambda w: F.xxhash64(w))
 
 
 @dataclass(frozen=True)
@@ -74,10 +84,10 @@ def fit(
     marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
         F.broadcast(ids), F.col("_id") == F.col("_trusted"), "left"
     )
-    grams = marked.select(
-        F.col("_trusted").isNotNull().cast("long").alias("t"),
-        F.explode(buckets(word_hashes(F.col("_text")))).alias("bucket"),
+    hashed = marked.select(
+        F.col("_trusted").isNotNull().cast("long").alias("t"), word_hashes(words(F.col("_text"))).alias("h")
     )
+    grams = hashed.select("t", F.explode(buckets(F.col("h"))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.sum("t").alias("target"), F.count(F.lit(1)).alias("raw"))
     found = {r["bucket"]: (r["target"], r["raw"]) for r in counts.collect()}
     targets, raws = sum(t for t, _ in found.values()), sum(r for _, r in found.values())
@@ -92,10 +102,6 @@ def fit(
     )
 
 
-def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def triples(hashes: Column) -> Column:
     """Hashes of the windows of three words."""
     return F.transform(
@@ -105,7 +111,7 @@ def triples(hashes: Column) -> Column:
 
 
 def base_rules(rows: DataFrame) -> DataFrame:
-    """Adds the base counts to rows with ``text_`` and ``hashes_``, and ``base_failed``.
+    """Adds the base counts to rows with ``text_``, ``words_`` and ``hashes_``, and ``base_failed``.
 
     For the words in repeated windows, the windows are sorted by the high 40 bits of their hash
     with their place below; those whose neighbour has the same bits are compared again by the
@@ -113,6 +119,10 @@ def base_rules(rows: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text_"), F.lit(""))
     rows = rows.withColumn("triples_", triples(F.col("hashes_")))
+    # texts all of whose windows differ, which most are, need no sorting
+    repeats = F.size(F.array_distinct("triples_")) < F.size("triples_")
+    none = F.array().cast("array<bigint>")
+    rows = rows.withColumn("triples_", F.when(repeats, F.col("triples_")).otherwise(none))
     place = F.lit((1 << 24) - 1).cast("long")
     rows = rows.withColumn(
         "sorted_",
@@ -158,14 +168,14 @@ def base_rules(rows: DataFrame) -> DataFrame:
     # each window adds the words up to the next one, three at most
     steps = F.transform(a, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(a, i + 1) - x, F.lit(3))))
     covered = F.aggregate(steps, F.lit(0).cast("long"), lambda acc, x: acc + x)
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(without(x, _BREAKS)) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumn("lines_", lines)
     n_words = F.size("hashes_").cast("long")
     rows = rows.select(
         "*",
         n_words.alias("n_words"),
-        F.length(without(text, _BREAKS)).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words_", "")).cast("long").alias("word_chars"),
+        (F.size(F.split(text, SYMBOLS, -1)) - 1).cast("long").alias("n_symbols"),
         (F.size("lines_") - F.size(F.array_distinct("lines_"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"),
     )
@@ -190,12 +200,22 @@ def judge(
     rows stay. Nothing is shuffled.
     """
     rows = docs.select(F.col(id_col), F.col(text_col).alias("text_"))
-    rows = rows.withColumn("hashes_", word_hashes(F.col("text_")))
+    rows = rows.withColumn("words_", words(F.col("text_")))
+    rows = rows.withColumn("hashes_", word_hashes(F.col("words_")))
     rows = base_rules(rows)
-    grams = buckets(F.col("hashes_"))
-    logs = ratio.column()
-    total = F.aggregate(grams, F.lit(0.0), lambda acc, b: acc + F.get(logs, b))
+    hashes, logs = F.col("hashes_"), ratio.column()
+
+    def of_word_and_pair(a: Column, b: Column) -> Column:
+        """The last word has no pair."""
+        pair = F.when(b.isNull(), F.lit(0.0)).otherwise(F.get(logs, _pair_bucket(a, b)))
+        return F.get(logs, _bucket(a)) + pair
+
+    parts = F.zip_with(hashes, _next(hashes), of_word_and_pair)
+    total = F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
     score = F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     kept = ~F.col("base_failed") & (F.coalesce(F.col("score"), F.lit(0.0)) >= threshold)
-    return rows.select(id_col, *names, F.round(score, 9).alias("score")).withColumn("kept", kept)
+    judged = rows.select(id_col, *names, F.round(score, 9).alias("score")).withColumn("kept", kept)
+    # out of a generator, lest a filter on the verdict be pushed down with all that it rests on
+    verdict = F.struct(*names, "score", "kept")
+    return judged.select(id_col, F.inline(F.array(verdict)))
