@@ -15,6 +15,8 @@ from tallybook.llm import bwt, lang, mixing, packing, tgm
 from tallybook.llm.common import table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Words of a shingle, and percent of two documents' shingles that make them near copies.
+SHINGLE, PERCENT = 5, 80
 
 # Learned models, hashes and random draws are beyond SQL; tests hold the rows against brute force.
 ORACLE_SQL = None
@@ -30,7 +32,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest identifier."""
-    groups = tgm.jaccard_components(docs)
+    groups = tgm.jaccard_components(docs, shingle=SHINGLE, percent=PERCENT)
     stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stay"))
     kept = docs.join(stay.distinct(), F.col("doc_id").eqNullSafe(F.col("stay")), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)

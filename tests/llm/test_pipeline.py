@@ -73,6 +73,25 @@ def test_stages(spark):
     assert max(ends.values()) <= 2048
 
 
+def edited(text, at):
+    own = text.split()
+    for i in at:
+        own[i] = f"edit{i}"
+    return " ".join(own)
+
+
+def test_near_copies_of_five_words_and_80_percent(spark):
+    draw = random.Random(5)
+    bases = [sentence(draw, 200, 100_000) for _ in range(12)]
+    # 4 scattered edits leave 176 of 216 shingles of five words, 5 leave 171 of 221
+    copies = [edited(t, range(20, 20 + 36 * (4 + i % 2), 36)) for i, t in enumerate(bases)]
+    rows = list(enumerate(bases + copies + [sentence(draw, n, 4) for n in range(1, 9)]))
+    docs = frame(spark, rows)
+    got = {r["doc_id"] for r in dict(pipeline.STAGES)["near copies"](spark, docs, "").collect()}
+    assert got == {c for _, _, c in near_brute(rows, percent=80, shingle=5)}
+    assert got & set(range(12, 24)) == {13, 15, 17, 19, 21, 23}
+
+
 def test_run_and_rerun(spark, tmp_path):
     frame(spark, [(i, t) for i, t, *_ in corpus()]).write.parquet(f"{tmp_path}/documents.parquet")
     one, two = (pipeline.run(spark, str(tmp_path)).collect() for _ in range(2))

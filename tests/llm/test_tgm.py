@@ -15,12 +15,13 @@ def find(parent, a):
     return a
 
 
-def brute(rows, percent=90):
+def brute(rows, percent=90, shingle=3):
     sets = []
     for _, text in rows:
         lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
         own = re.findall(r"[^\x20\x09-\x0D]+", lower)
-        sets.append({tuple(own[i : i + 3]) for i in range(len(own) - 2)} or ({tuple(own)} if own else set()))
+        grams = {tuple(own[i : i + shingle]) for i in range(len(own) - shingle + 1)}
+        sets.append(grams or ({tuple(own)} if own else set()))
     parent = list(range(len(rows)))
     for i, a in enumerate(sets):
         for j in range(i):
