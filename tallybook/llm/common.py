@@ -125,10 +125,12 @@ def byte_values(text: np.ndarray) -> np.ndarray:
     return _BYTE[text]
 
 
-def word_bounds(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(
+    text: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = BREAKS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, and for each text the number of its first word."""
     n = len(text)
-    inside = ~BREAKS[text]
+    inside = ~breaks[text]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.zeros(n, bool)

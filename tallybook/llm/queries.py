@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import ann, bwt, lang, mixing, packing, quality, rlz, tgm, tokens, urls
+from tallybook.llm import (
+    ann,
+    bwt,
+    lang,
+    licenses,
+    mixing,
+    negatives,
+    packing,
+    quality,
+    rlz,
+    tgm,
+    tokens,
+    trie,
+    urls,
+)
 from tallybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,3 +214,143 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = lang.predict(docs, lang.fit(docs))
     return found.withColumn("held_out", lang.held_out(F.col("doc_id")))
+
+
+@query
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def _wording(markup: str) -> str:
+    """A template as a regular expression over words that each follow a space."""
+
+    def part(found: re.Match) -> str:
+        mark, plain = found[1], found[2]
+        if mark is None:
+            return "".join(f" {w}" for w in re.findall("[0-9a-z]+", plain.lower()))
+        if mark == "beginOptional":
+            return "(?:"
+        if mark == "endOptional":
+            return ")?"
+        least_most = re.search(r"words=(\d+)\.\.(\d+)", mark)
+        if least_most:
+            return f"(?: [^ ]+){{{least_most[1]},{least_most[2]}}}"
+        ways = re.search('match="(.*)"', mark, re.S)[1].split("|")
+        return "(?:" + "|".join("".join(f" {w}" for w in re.findall("[0-9a-z]+", x.lower())) for x in ways) + ")"
+
+    return re.sub(r"<<(.*?)>>|((?:(?!<<).)+)", part, markup, flags=re.S)
+
+
+def _license_sql() -> str:
+    rules = [(label, _wording(p), True) for p, label in licenses.PHRASES.items()]
+    rules += [(label, _wording(t), False) for label, several in licenses.TEMPLATES.items() for t in several]
+    least = {}
+    for markup in [*licenses.PHRASES, *(t for several in licenses.TEMPLATES.values() for t in several)]:
+        least[_wording(markup)] = licenses.fewest_words(licenses.parse(markup))
+    values = ",\n".join(f"('{label}', '{rule}( |$)', {str(base).lower()}, {least[rule]})" for label, rule, base in rules)
+    any_phrase = "|".join(rule for _, rule, base in rules if base)
+    phrases = " union all ".join(
+        f"select doc_id, i - 1 as i, '{label}' as label from places where ws[i : i + {len(p.split()) - 1}] = {p.split()}"
+        for p, label in licenses.PHRASES.items()
+    )
+    return rf"""
+with w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents
+), rules(label, rule, base, m) as (
+  values {values}
+), told as (
+  select doc_id, string_agg(distinct label, ',' order by label) as labels, max(m / (m + 1)) as score
+  from w, rules where regexp_matches(' ' || array_to_string(ws, ' '), rule) group by doc_id
+), places as (
+  select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from w
+  where regexp_matches(' ' || array_to_string(ws, ' '), '{any_phrase}')
+), found as (
+  {phrases}
+), base as (
+  select doc_id, count(*) as n, min(i) as a, max(i) as b, string_agg(distinct label, ',' order by label) as labels
+  from found group by doc_id
+)
+select w.doc_id, len(ws)::bigint as n_words, coalesce(n, 0)::bigint as n_base, a::bigint as first_word, b::bigint as last_word,
+       coalesce(base.labels, '') as base_labels, coalesce(told.labels, '') as labels, coalesce(score, 0)::double as score
+from w left join base using (doc_id) left join told using (doc_id)
+"""
+
+
+ORACLES["op11_license_scans"] = _license_sql()
+
+
+@query
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), borrow_heads=True)
+
+
+ORACLES["op12_conversation_prefix_trie"] = r"""
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first) - 1 as place,
+         coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null
+), crc as (
+  select conv_id, conv_id - conv_id % 20 as base, (xor(list_reduce(
+           [4294967295::ubigint] || list_transform(range(1, len(conv_id::varchar) + 1), lambda i: ord(substr(conv_id::varchar, i, 1))::ubigint),
+           lambda c, b: list_reduce([xor(c, b)] || list_transform(range(8), lambda k: k::ubigint),
+                                 lambda x, k: xor(x >> 1, (x & 1) * 3988292384::ubigint))), 4294967295::ubigint) % 4)::int as h
+  from (select distinct conv_id from turns)
+), built as (
+  select c.conv_id, t.place, t.role, t.text from crc c join turns t on t.conv_id = c.base and t.place < h
+  union all
+  select c.conv_id, t.place + 10, t.role, t.text from crc c join turns t on t.conv_id = c.conv_id and t.place >= h
+), whole as (
+  select c.conv_id, coalesce(list(md5(role || chr(31) || text) order by place) filter (place is not null), []) as path,
+         coalesce(list(len(regexp_extract_all(text, '[^ 	-
+]+')) order by place) filter (place is not null), []) as words
+  from crc c left join built b on b.conv_id = c.conv_id group by c.conv_id
+), member as (
+  select conv_id, d, array_to_string(path[1:d], '') as node, words[d] as n_words, len(path) = d as ends
+  from (select conv_id, path, words, unnest(range(0, len(path) + 1)) as d from whole)
+), node as (
+  select node, d, min(conv_id) as conv_id, count(*) as n_convs, coalesce(any_value(n_words), 0) as n_words,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from member group by node, d
+), kids as (
+  select c.node[1 : 32 * (c.d - 1)] as node, count(*) as n from node c where d > 0 group by 1
+), tree as (
+  select a, sum((n_convs - 1) * n_words) as saved, count(*) filter (leaf) as leaves from (
+    select unnest(list_transform(range(0, x.d + 1), lambda k: x.node[1 : 32 * k])) as a, x.n_convs, x.n_words, k.n is null as leaf
+    from node x left join kids k on k.node = x.node
+  ) group by a
+)
+select x.conv_id, x.d::bigint as depth, p.conv_id as parent_conv_id, x.n_convs::bigint as n_convs,
+       coalesce(k.n, 0)::bigint as n_children, t.leaves::bigint as n_leaves, t.saved::bigint as saved_tokens, x.ends_sha256
+from node x join tree t on t.a = x.node left join kids k on k.node = x.node
+left join node p on x.d > 0 and p.node = x.node[1 : 32 * (x.d - 1)]
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.q, b.q)::bigint as score
+  from rows a join rows b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, (row_number() over w)::int as rank, vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over w <= 3
+"""

@@ -1,0 +1,161 @@
+import random
+import re
+
+import pytest
+
+from tallybook.llm import licenses
+from tests.llm.fixtures import awkward, frame
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def regex(parts):
+    """A template as a regular expression over words that each follow a space."""
+    out = ""
+    for part in parts:
+        if part[0] == "word":
+            out += " " + re.escape(part[1])
+        elif part[0] == "optional":
+            out += f"(?:{regex(part[1])})?"
+        elif part[0] == "gap":
+            out += f"(?: [^ ]+){{{part[1]},{part[2]}}}"
+        else:
+            out += "(?:" + "|".join(regex(x) for x in part[1]) + ")"
+    return out
+
+
+def brute(text, templates, phrases):
+    """The result for one text: every start and every end is tried."""
+    words = WORD.findall((text or "").translate(LOWER))
+    rules = [(p, label, True) for p, label in phrases.items()]
+    rules += [(t, label, False) for label, several in templates.items() for t in several]
+    base, spans, score = [], set(), 0.0
+    for markup, label, is_phrase in rules:
+        parts = licenses.parse(markup)
+        rule = re.compile(regex(parts))
+        for start in range(len(words)):
+            if not rule.match("".join(" " + w for w in words[start : start + 300])):
+                continue
+            ends = [e for e in range(start + 1, len(words) + 1) if rule.fullmatch("".join(" " + w for w in words[start:e]))]
+            if ends:
+                spans.add((label, start, ends[-1]))
+                score = max(score, licenses.fewest_words(parts) / (licenses.fewest_words(parts) + 1))
+                if is_phrase:
+                    base.append((start, label))
+    return (
+        len(words),
+        len(base),
+        min((s for s, _ in base), default=None),
+        max((s for s, _ in base), default=None),
+        ",".join(sorted({x for _, x in base})),
+        ",".join(sorted({x for x, *_ in spans})),
+        score,
+        sorted(spans),
+    )
+
+
+def found(df):
+    return [
+        (*[r[c] for c in df.columns if c not in ("doc_id", "spans")], [tuple(s) for s in r["spans"]])
+        for r in df.collect()
+    ]
+
+
+GPL = "This library is released under the GNU General Public Licence, version 3."
+TEXTS = [
+    "Released under the MIT License.",
+    "# released\n * under THE\n * mit-license, and CC BY-NC cc by nc",
+    "Licensed under the Apache License, Version 2.0.",
+    "licensed under the apache license 2",
+    GPL,
+    "This small and very old library is released under the GNU General Public License version 3",
+    "This is released under the terms of the GNU General Public License version 3",
+    GPL.replace("version 3", "version 4"),
+    GPL.replace("General", "Generic"),
+    "Neither the name of Foo Bar nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.",
+    "under the mit license under the mit license",
+    "under the under the mit license",
+    "under the mit",
+    "under the mit licensé",
+    "mit license under the",
+    "Licensed under CC BY-NC 4.0.",
+    "the apachelicense version 2",
+    "released under the mit license" + " word" * 5000 + " cc by nc",
+]
+
+
+def test_templates_against_every_start_and_end(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + awkward()
+    docs = frame(spark, rows)
+    expected = [brute(t, licenses.TEMPLATES, licenses.PHRASES) for _, t in rows]
+    got = licenses.scan(docs)
+    assert sorted(map(repr, found(got))) == sorted(map(repr, expected))
+    by_id = {r["doc_id"]: r for r in licenses.scan(frame(spark, list(enumerate(TEXTS)))).collect()}
+    assert by_id[4]["labels"] == "gpl-3" and by_id[4]["base_labels"] == "" and by_id[4]["n_base"] == 0
+    assert by_id[5]["labels"] == "gpl-3"  # found from "released" on: the opening region is too long for its own
+    assert by_id[7]["labels"] == by_id[8]["labels"] == by_id[12]["labels"] == ""
+    assert (by_id[10]["n_base"], by_id[10]["first_word"], by_id[10]["last_word"]) == (2, 0, 4)
+    assert by_id[15]["labels"] == "cc-by-nc,cc-by-nc-4"
+    assert by_id[17]["last_word"] == 5005
+
+
+def test_random_markup(spark):
+    """Small alphabets, nested regions and gaps, so that many ways of reading compete."""
+    draw = random.Random(5)
+
+    def markup(depth=0):
+        out = []
+        for _ in range(draw.randrange(1, 4)):
+            kind = draw.randrange(6) if depth < 2 else 0
+            if kind == 1:
+                out.append("<<beginOptional>>" + markup(depth + 1) + "<<endOptional>>")
+            elif kind == 2:
+                low = draw.randrange(3)
+                out.append(f'<<var;name="x";words={low}..{low + draw.randrange(3)}>>')
+            elif kind == 3:
+                out.append('<<var;name="y";match="a b|c">>')
+            else:
+                out.append(draw.choice("abc"))
+        return " ".join(out)
+
+    templates = {f"t{i}": (draw.choice("abc") + " " + markup(),) for i in range(25)}
+    rows = [(i, " ".join(draw.choice("abcd") for _ in range(draw.randrange(12)))) for i in range(60)]
+    got = found(licenses.scan(frame(spark, rows), templates, {"a b a": "p", "b": "q"}))
+    expected = [brute(t, templates, {"a b a": "p", "b": "q"}) for _, t in rows]
+    assert sorted(map(repr, got)) == sorted(map(repr, expected))
+
+
+def test_texts_in_slices_keep_their_places(spark, monkeypatch):
+    """A slice of many texts, matches at the borders of texts, none across them."""
+    rows = [(i, t) for i, t in enumerate(["x under the", "mit license", "under the mit license", "", None] * 200)]
+    got = {r["doc_id"]: (r["n_words"], r["n_base"]) for r in licenses.scan(frame(spark, rows)).collect()}
+    assert [got[i] for i in range(5)] == [(3, 0), (2, 0), (4, 1), (0, 0), (0, 0)]
+    assert sum(n for _, n in got.values()) == 200
+
+
+def test_empty_table_clashing_columns_and_very_long_text(spark):
+    schema = "doc_id string, text string, id int, n_words int, labels string, spans int"
+    assert licenses.scan(spark.createDataFrame([], schema)).count() == 0
+    long = "word " * 700_000 + "under the mit license"
+    df = spark.createDataFrame([("a", "cc by nc", 1, 2, "x", 3), (None, long, 1, 2, "x", 3)], schema)
+    got = {r["doc_id"]: r for r in licenses.scan(df).collect()}
+    assert got["a"]["labels"] == "cc-by-nc" and got["a"]["n_words"] == 3
+    assert (got[None]["n_words"], got[None]["first_word"]) == (700_004, 700_000)
+
+
+@pytest.mark.parametrize(
+    "markup",
+    [
+        "a <<beginOptional>> b",
+        "a <<endOptional>>",
+        "a <<other>>",
+        '<<var;name="x";words=1..2>> a',
+        "<<beginOptional>>a<<endOptional>>",
+        "",
+    ],
+)
+def test_markup_that_is_refused(markup):
+    with pytest.raises(ValueError):
+        licenses.compiled({"x": (markup,)}, {})
