@@ -100,12 +100,17 @@ def cumulative_backfill(
     entity's rows at ``first`` but stay out of its history. Attributes are the entity's
     greatest values over all facts. Several facts of one entity and period fail the query.
     """
+    return _spread(facts, first, last, spec, F.lit(first))
+
+
+def _spread(facts: DataFrame, first: int, last: int, spec: HistorySpec, since: Column) -> DataFrame:
+    """The rows of ``cumulative_backfill`` from the period ``since`` on, an expression on facts."""
     by_period = Window.partitionBy(*spec.keys).orderBy(spec.period)
     so_far = by_period.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = by_period.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counted = F.col(spec.period) >= first
     entry = F.when(counted, _entry(spec))
-    starts = F.greatest(F.col(spec.period), F.lit(first))
+    starts = F.greatest(F.col(spec.period), F.lit(first), since)
     ends = F.least(F.coalesce(F.lead(spec.period).over(by_period) - 1, F.lit(last)), F.lit(last))
 
     held = facts.select(
@@ -132,6 +137,77 @@ def cumulative_backfill(
     )
 
 
+def replay_parts(
+    snapshots: DataFrame,
+    corrections: DataFrame,
+    since: int,
+    first: int,
+    last: int,
+    spec: HistorySpec = PLAYER_HISTORY,
+    removed: str | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kept, rewritten, gone): what corrected facts make of the snapshots ``since`` to ``last``.
+
+    ``corrections`` holds facts as they should have been, one per (key, period), none before
+    ``since`` or after ``last``: a fact replaces the one of its key and period or is new, and one
+    whose column ``removed`` is true never was. A history holds all entries so far, so a
+    correction reaches every later snapshot of its entity and no other entity, and the ``last``
+    snapshot has all that is needed to build them again: its entries, with the corrected ones
+    changed, are spread over the periods from the entity's first corrected one on.
+
+    ``kept`` are the rows that no correction reaches, ``rewritten`` those built again, ``gone`` the
+    (key, snapshot) pairs that have no row any more. Snapshots before ``since`` are not read. Kept
+    rows are not shuffled while the corrected entities are few enough for Spark to broadcast.
+
+    Attributes are the greater of the table's and the corrections'. Facts before ``first`` are not
+    in histories: an entity that they make known from ``first`` on is known still, if a row from
+    its first corrected period on has an empty history.
+    """
+    keys = spec.keys
+    in_scope = F.col(spec.period).between(since, last)
+    changed = corrections.filter(check(F.coalesce(in_scope, F.lit(False)), "corrected period outside the bounds:", [spec.period]))
+    changed = changed.withColumn("_one", _unique(changed, spec)).filter("_one").drop("_one")
+    reach = changed.groupBy(*keys).agg(F.min(spec.period).alias("_since"))
+    read = snapshots.filter(F.col(spec.snapshot).between(since, last))
+
+    of = reach.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_since")
+    reached = [F.col(k) == F.col(f"_of_{k}") for k in keys] + [F.col(spec.snapshot) >= F.col("_since")]
+    kept = read.join(of, reached, "left_anti")
+    dirty = read.join(of, reached, "left_semi")
+
+    latest = snapshots.filter(F.col(spec.snapshot) == last).join(reach.select(*keys), keys, "left_semi")
+    entries = latest.select(*keys, *spec.attrs, F.inline(spec.history))
+    standing = entries.join(changed.select(*keys, spec.period), [*keys, spec.period], "left_anti")
+    valid = changed if removed is None else changed.filter(~F.coalesce(F.col(removed), F.lit(False)))
+    # an entity known by earlier facts alone: a fact before the first period, in no history
+    known = dirty.filter(F.size(spec.history) == 0).groupBy(*keys).agg(*[F.max(c).alias(c) for c in spec.attrs])
+    nothing = [F.lit(None).cast(valid.schema[c].dataType).alias(c) for c in spec.stats if c != spec.period]
+    period_type = valid.schema[spec.period].dataType
+    known = known.select(*keys, *spec.attrs, F.lit(first - 1).cast(period_type).alias(spec.period), *nothing)
+    columns = [*keys, *spec.attrs, *spec.stats]
+    facts = standing.select(columns).unionByName(valid.select(columns)).unionByName(known.select(columns))
+    rewritten = _spread(facts.join(reach, keys), first, last, spec, F.col("_since"))
+    rewritten = rewritten.select(read.columns)
+    gone = dirty.select(*keys, spec.snapshot).join(rewritten.select(*keys, spec.snapshot), [*keys, spec.snapshot], "left_anti")
+    return kept, rewritten, gone
+
+
+def cumulative_replay(
+    snapshots: DataFrame,
+    corrections: DataFrame,
+    since: int,
+    first: int,
+    last: int,
+    spec: HistorySpec = PLAYER_HISTORY,
+    removed: str | None = None,
+) -> DataFrame:
+    """Snapshots ``since`` to ``last`` as the backfill over corrected facts gives them: what
+    ``replay_parts`` keeps and what it builds again. They replace those periods of the table;
+    since they also read them, write them through ``idempotent.replace_periods``."""
+    kept, rewritten, _ = replay_parts(snapshots, corrections, since, first, last, spec, removed)
+    return kept.unionByName(rewritten)
+
+
 def cumulative_snapshot(
     facts: DataFrame, period: int, first: int, spec: HistorySpec = PLAYER_HISTORY
 ) -> DataFrame:

@@ -9,9 +9,11 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tallybook.functions import as_list
 from tallybook.operators.facts import unique_dimension
+from tallybook.sources.shared import shared_folder
 
 
 # The scope of an overwrite that replaces the whole table.
@@ -27,26 +29,53 @@ def overwrite_period(
 ) -> None:
     """Replace ``periods`` at ``path`` by the rows of ``df``, leaving all others alone.
 
-    ``periods`` is the scope: a list, or ``ALL`` for every period of the table. Rows of other
-    periods are left out, and a period in scope that has no rows now is cleared, so that a
-    rerun gives the same table whatever an earlier run wrote. Columns are stored by name. The
-    mode is set on the writer, as a static overwrite would delete the other periods and even
-    the input of a job that reads the same table. A period that ``df`` itself reads from
-    ``path`` is refused before anything is written: each rerun would start from its own result.
+    ``periods`` is the scope: a list, or ``ALL`` for every period of the table; None stands for
+    the NULL period. Rows of other periods are left out, and a period in scope that has no rows
+    now is cleared, so that a rerun gives the same table whatever an earlier run wrote. Columns
+    are stored by name. The mode is set on the writer, as a static overwrite would delete the
+    other periods and even the input of a job that reads the same table. A period that ``df``
+    itself reads from ``path`` is refused before anything is written: each rerun would start from
+    its own result (see ``replace_periods``).
+
+    The rows are computed once. A stored period was replaced if its folder has other files after
+    the write than before, so no value is compared with a folder's name there; the names in scope
+    are written by Spark's own cast.
     """
+    spark = df.sparkSession
+    names = None
     if periods != ALL:
-        df = df.filter(F.col(period_col).isin(list(periods)))
-    stored = _stored_periods(df.sparkSession, path, period_col)
+        values = [p for p in periods if p is not None]
+        wanted = F.col(period_col).isin(values)
+        df = df.filter(wanted if len(values) == len(periods) else wanted | F.col(period_col).isNull())
+        names = _folder_values(spark, df.schema[period_col].dataType, periods)
+    stored = _stored_periods(spark, path, period_col)
+    in_scope = {p: at for p, at in stored.items() if names is None or p in names}
     own = read_partitions(df, path)
-    in_scope = {p: at for p, at in stored.items() if periods == ALL or p in {str(x) for x in periods}}
     clash = sorted(set(in_scope) & {_value(at, period_col) for at in own})
     if clash:
         raise ValueError(f"the rows for {period_col} {clash} are read from {path} themselves")
-    present = {str(r[0]) for r in df.select(period_col).distinct().collect()} if in_scope else None
+    before = {p: _files(spark, at) for p, at in in_scope.items()}
     write_partitioned(df, path, [period_col], rebalance)
-    for value, folder in in_scope.items():
-        if value not in present:
-            _file_system(df.sparkSession, path).delete(folder, True)
+    for p, folder in in_scope.items():
+        if _files(spark, folder) == before[p]:
+            _file_system(spark, path).delete(folder, True)
+
+
+def replace_periods(
+    df: DataFrame, path: str, period_col: str, periods: Sequence | str, rebalance: bool = True
+) -> None:
+    """``overwrite_period`` for rows that read the very periods they replace.
+
+    The rows are written to a folder of their own first, so a failure while they are computed
+    leaves the table as it was, and then moved in from there. Use it where the rows come out the
+    same when built again from the result, as a replay of corrections does.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, "staged")
+    df.write.parquet(folder)
+    staged = spark.read.schema(df.schema).parquet(folder)
+    overwrite_period(staged, path, period_col, periods, rebalance)
+    _file_system(spark, folder).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder), True)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -54,12 +83,23 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+# The folder of NULL periods, and of empty texts.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _value(folder: str, period_col: str) -> str:
     """The period of a partition's path."""
     head, _, rest = folder.partition(f"/{period_col}=")
     return unquote(rest.split("/")[0]) if rest else ""
 
 
+def _folder_values(spark: SparkSession, kind: DataType, periods: Sequence) -> set[str]:
+    """The periods as their folders are named."""
+    named = F.array(*[F.lit(p).cast(kind).cast("string") for p in periods])
+    rows = spark.range(1).select(F.explode(named)).collect() if periods else []
+    return {r[0] or NO_VALUE for r in rows}
+
+
 def _stored_periods(spark: SparkSession, path: str, period_col: str) -> dict:
     """The partitions at ``path``: period as text, and its folder. A listing, no job."""
     files = _file_system(spark, path)
@@ -70,6 +110,12 @@ def _stored_periods(spark: SparkSession, path: str, period_col: str) -> dict:
     return {_value(f.toString(), period_col): f for f in folders if _value(f.toString(), period_col)}
 
 
+def _files(spark: SparkSession, folder) -> set[str]:
+    """Names of a partition's files, which every write makes anew."""
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {x.getPath().getName() for x in files.listStatus(folder)} if files.exists(folder) else set()
+
+
 def read_partitions(df: DataFrame, path: str) -> list[str]:
     """Folders below ``path`` that the plan of ``df`` scans, after partition pruning."""
     spark = df.sparkSession

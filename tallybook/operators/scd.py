@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import all_equal, any_differs, as_list
-from tallybook.operators.checks import failing_without
+from tallybook.operators.checks import check, failing_without
 
 # One key column or several.
 Key = str | Sequence[str]
@@ -237,6 +237,178 @@ def scd2_incremental(
     return closed.select(*moved.columns).unionByName(moved).withColumn(SNAPSHOT, F.lit(period))
 
 
+def scd2_correct(
+    history: DataFrame,
+    corrections: DataFrame,
+    key: Key,
+    tracked: Sequence[str],
+    upto: int,
+    period: str = SNAPSHOT,
+    removed: str | None = None,
+) -> DataFrame:
+    """The type 2 snapshot ``upto`` with late corrections spliced in; equals ``scd2_full`` over the
+    corrected rows.
+
+    ``corrections`` has the true values of some past periods, one row per (key, period): they
+    replace the values of that period, or give it some where it had none. A row whose column
+    ``removed`` is true says that the period has no row. A period after ``upto`` fails the query,
+    and so do two corrections of one period.
+
+    Records of corrected entities are cut at the corrected periods, the corrected ones put in
+    between, and neighbours of equal values merged; so records split, move, merge or vanish. That
+    takes one exchange, of those entities' records alone. All other records pass through, without
+    a shuffle while the corrected keys are few enough for Spark to broadcast.
+    """
+    keys = as_list(key)
+    records = history.filter(F.col(SNAPSHOT) == upto).drop(SNAPSHOT).select(*keys, *tracked, START, END)
+    known = F.coalesce(F.col(period) <= upto, F.lit(False))
+    late = corrections.filter(check(known, "correction after the snapshot:", [*keys, period]))
+    gone = F.coalesce(F.col(removed), F.lit(False)) if removed else F.lit(False)
+    touched = late.select(*keys).distinct()
+    others = records.join(touched, keys, "left_anti")
+    own = records.join(touched, keys, "left_semi")
+
+    # records and corrections in order of their starts; a record before a correction of its start
+    kind = records.schema[START].dataType
+    events = own.select(
+        *keys, F.lit(0).alias("_fix"), F.col(START).alias("_at"), F.struct(*tracked, END).alias("_record"), F.lit(None).cast("boolean").alias("_gone")
+    ).unionByName(
+        late.select(
+            *keys,
+            F.lit(1).alias("_fix"),
+            F.col(period).cast(kind).alias("_at"),
+            F.struct(*tracked, F.col(period).cast(kind).alias(END)).alias("_record"),
+            gone.alias("_gone"),
+        )
+    )
+    in_order = Window.partitionBy(*keys).orderBy("_at", "_fix")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    twice = (F.col("_fix") == 1) & (F.lag("_fix").over(in_order) == 1) & (F.lag("_at").over(in_order) == F.col("_at"))
+    within = F.last(F.when(F.col("_fix") == 0, F.col("_record")), ignorenulls=True).over(so_far)
+    swept = events.select(
+        *keys,
+        "_fix",
+        "_at",
+        "_record",
+        "_gone",
+        within.alias("_within"),
+        F.lead("_at").over(in_order).alias("_next"),
+        check(~F.coalesce(twice, F.lit(False)), "several corrections of one period for", [*keys, "_at"]).alias("_one"),
+    ).filter("_one")
+
+    def piece(record: str, start: Column, end: Column) -> Column:
+        return F.struct(
+            *[F.col(f"{record}.{c}").alias(c) for c in tracked], start.cast(kind).alias(START), end.cast(kind).alias(END)
+        )
+
+    # what is left of a record after an event: up to its end or to where the next event stands
+    left_from = F.col("_at") + F.col("_fix")
+    left_to = F.least(F.col(f"_within.{END}"), F.col("_next") - 1)
+    rest = F.when(F.col("_within").isNotNull() & (left_from <= left_to), piece("_within", left_from, left_to))
+    fixed = F.when((F.col("_fix") == 1) & ~F.col("_gone"), piece("_record", F.col("_at"), F.col("_at")))
+    pieces = swept.select(*keys, F.inline(F.array_compact(F.array(fixed, rest))))
+    spliced = _merge_runs(pieces, keys, tracked)
+    return others.unionByName(spliced.select(*others.columns)).withColumn(SNAPSHOT, F.lit(upto))
+
+
+def scd2_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: Key,
+    left_cols: Sequence[str],
+    right_cols: Sequence[str],
+    how: str = "inner",
+    chunk: int | None = None,
+) -> DataFrame:
+    """The common refinement of two type 2 tables: one row per entity and stretch of periods in
+    which neither side's record changes, with the columns of both.
+
+    ``how`` says which stretches stay: 'inner' those where both sides have a record, 'left' those
+    of the left side, 'full' all that any side has; columns of an absent side are NULL. Records
+    do not overlap within an entity and side. An end may be NULL, for an open record; a stretch in
+    which all records are open has a NULL end. Gaps of a side are stretches of their own. Rows
+    without a key or a start, or that end before they start, take no part.
+
+    A sweep in place of a join: each record gives an event at its start and one after its end, and
+    a window carries both sides' last events along. So an entity costs the sum of its records, not
+    their product, in one exchange. With ``chunk`` an entity's events are swept in stretches of
+    that many periods, each a task's work of its own, with the state at a stretch's start taken
+    from a summary row per stretch: for entities with very many records.
+    """
+    if how not in ("inner", "left", "full"):
+        raise ValueError("how must be 'inner', 'left' or 'full'")
+    keys = as_list(key)
+    kinds = {f.name: f.dataType for f in left.schema}
+    sides = {"l": (left, left_cols), "r": (right, right_cols)}
+    shapes = {
+        s: F.struct(*[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in cols], F.lit(None).cast("boolean").alias("_on"))
+        for s, (df, cols) in sides.items()
+    }
+
+    def events(side: str) -> DataFrame:
+        df, cols = sides[side]
+        other = "r" if side == "l" else "l"
+        # a side's event is never NULL on its own side, so that the last one can be found
+        opens = F.struct(*[F.col(c) for c in cols], F.lit(True).alias("_on"))
+        closes = F.struct(*[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in cols], F.lit(False).alias("_on"))
+        both = F.array(
+            F.struct(F.col(START).alias("_at"), F.lit(1).alias("_opens"), opens.alias(f"_{side}")),
+            F.when(
+                F.col(END).isNotNull(),
+                F.struct((F.col(END) + 1).alias("_at"), F.lit(0).alias("_opens"), closes.alias(f"_{side}")),
+            ),
+        )
+        sound = F.col(START).isNotNull() & (F.col(END).isNull() | (F.col(END) >= F.col(START)))
+        for k in keys:
+            sound = sound & F.col(k).isNotNull()
+        rows = df.filter(sound).select(*keys, F.inline(F.array_compact(both)))
+        return rows.withColumn(f"_{other}", F.when(F.lit(False), shapes[other]))
+
+    rows = events("l").unionByName(events("r"))
+    by = keys
+    carried = {s: F.lit(None) for s in sides}
+    after = F.lit(None)
+    if chunk:
+        rows = rows.withColumn("_chunk", F.floor(F.col("_at") / chunk))
+        by = [*keys, "_chunk"]
+        latest = {
+            s: F.max_by(f"_{s}", F.when(F.col(f"_{s}").isNotNull(), F.struct("_at", "_opens"))) for s in sides
+        }
+        summary = rows.groupBy(*by).agg(
+            F.min("_at").alias("_first"), *[latest[s].alias(f"_last_{s}") for s in sides]
+        )
+        over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
+        before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)
+        summary = summary.select(
+            *by,
+            F.lead("_first").over(over_chunks).alias("_after"),
+            *[F.last(f"_last_{s}", ignorenulls=True).over(before).alias(f"_before_{s}") for s in sides],
+        )
+        rows = rows.join(summary, by)
+        carried = {s: F.col(f"_before_{s}") for s in sides}
+        after = F.col("_after")
+
+    in_order = Window.partitionBy(*by).orderBy("_at", "_opens")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    now = {s: F.coalesce(F.last(f"_{s}", ignorenulls=True).over(so_far), carried[s]) for s in sides}
+    swept = rows.select(
+        *keys,
+        F.col("_at").alias(START),
+        F.coalesce(F.lead("_at").over(in_order), after).alias("_next"),
+        *[now[s].alias(f"_{s}") for s in sides],
+    )
+    on = {s: F.coalesce(F.col(f"_{s}._on"), F.lit(False)) for s in sides}
+    stays = {"inner": on["l"] & on["r"], "left": on["l"], "full": on["l"] | on["r"]}[how]
+    # of several events at one period the last one tells what holds from there on
+    shown = swept.filter(stays & (F.col("_next").isNull() | (F.col("_next") > F.col(START))))
+    return shown.select(
+        *keys,
+        F.col(START).cast(kinds[START]).alias(START),
+        (F.col("_next") - 1).cast(kinds[START]).alias(END),
+        *[F.col(f"_{s}.{c}").alias(c) for s, (_, cols) in sides.items() for c in cols],
+    )
+
+
 def scd0(df: DataFrame, key: Key, period: str, cols: Sequence[str]) -> DataFrame:
     """First value ever seen; later ones are ignored."""
     return df.groupBy(*as_list(key)).agg(*[F.min_by(c, period).alias(c) for c in cols])

@@ -33,8 +33,7 @@ spine as (
   from facts group by player_name)
 """
 
-SNAPS = f"""
-{FACTS}, {SPINE},
+_SNAPS = f"""
 snaps as (
   select player_name, any_value(segment) as segment, any_value(nation) as nation,
          {_class('max_by(pts, season)')} as scoring_class,
@@ -54,11 +53,19 @@ snaps as (
   where season <= yr
   group by player_name, yr)
 """
+SNAPS = f"{FACTS}, {SPINE}, {_SNAPS}"
 
+# The same without orders that are still pending, of the years that are replayed.
+REPLAY = LAST_YEAR - 2
+SETTLED = FACTS.replace(
+    "group by all", f"where o_orderstatus <> 'P' or year(o_orderdate) < {REPLAY} group by all"
+)
+SETTLED_SNAPS = f"{SETTLED}, {SPINE}, {_SNAPS}"
 
-def _runs(upto: int) -> str:
+
+def _runs(upto: int, snaps: str = SNAPS) -> str:
     return f"""
-    {SNAPS},
+    {snaps},
     runs as (
       select player_name, scoring_class, is_active,
              min(current_season) as start_season, max(current_season) as end_season
@@ -70,6 +77,30 @@ def _runs(upto: int) -> str:
     """
 
 
+def _stretches() -> str:
+    """Year by year: the class record and the year's orders, then years of one record together.
+    An open record has one year more than the table, which stands for all that follow."""
+    return f"""
+    {_runs(LAST_YEAR)},
+    years as (
+      select player_name, unnest(range(start_season, end_season + if(end_season = {LAST_YEAR}, 2, 1)))::int as yr,
+             start_season as record, scoring_class, is_active
+      from runs),
+    both_sides as (
+      select player_name, yr, y.record, y.scoring_class, y.is_active, f.gp, f.season as orders
+      from years y full join (select *, season as yr from facts) f using (player_name, yr)),
+    stretches as (
+      select player_name, min(yr)::int as start_season, max(yr)::int as end_season,
+             max(yr) > {LAST_YEAR} as is_open,
+             any_value(scoring_class) as scoring_class, any_value(is_active) as is_active,
+             any_value(gp) as gp
+      from (select *, yr - row_number() over (
+                     partition by player_name, record, orders order by yr) as island
+            from both_sides)
+      group by player_name, record, orders, island)
+    """
+
+
 PAIRED = """
 paired as (
   select n.player_name, n.current_season, n.scoring_class, n.is_active,
@@ -183,6 +214,29 @@ ORACLES: dict[str, str] = {
         with {_runs(LAST_YEAR)} select *, {LAST_YEAR} as current_season from runs""",
     "scd2_incremental": f"""
         with {_runs(LAST_YEAR)} select *, {LAST_YEAR} as current_season from runs""",
+    "cumulative_replay": f"with {SETTLED_SNAPS} select * from snaps where current_season >= {REPLAY}",
+    "scd2_correct": f"""
+        with {_runs(LAST_YEAR, SETTLED_SNAPS)} select *, {LAST_YEAR} as current_season from runs""",
+    "scd2_join": f"""
+        with {_stretches()}
+        select player_name, start_season, if(is_open, null, end_season) as end_season,
+               scoring_class, is_active, gp
+        from stretches""",
+    "scd2_join_chunked": f"""
+        with {_stretches()}
+        select player_name, start_season, if(is_open, null, end_season) as end_season,
+               scoring_class, is_active, gp
+        from stretches where gp is not null and scoring_class is not null""",
+    "distinct_rollup": """
+        select 'type' as level, event_type, null::varchar as day, count(distinct user_id) as entities
+        from events group by event_type
+        union all
+        select 'day', null, ts::date::varchar, count(distinct user_id) from events group by 3
+        union all
+        select 'all', null, null, count(distinct user_id) from events""",
+    "distinct_estimates": """
+        select event_type, count(distinct user_id) as entities, true as hll_is_near, true as theta_is_near
+        from events group by event_type""",
     "scd2_historical": f"""
         with {_runs(BEFORE)}
         select *, if(end_season = {BEFORE}, 'open', 'closed') as part from runs""",

@@ -24,6 +24,7 @@ SPEC = src.CUSTOMER_HISTORY
 KEY = "player_name"
 TRACKED = ["scoring_class", "is_active"]
 FIRST, LAST = src.FIRST_YEAR, src.LAST_YEAR
+REPLAY = LAST - 2
 
 
 def query(fn: Query) -> Query:
@@ -88,6 +89,26 @@ def cumulative_backfill(spark, sf_dir):
     return _flat(_players(spark, sf_dir))
 
 
+def _corrected_facts(spark, sf_dir):
+    """Facts of the last three years that change where orders still pending ('P') are left out:
+    the year's row as it should have been, or marked as removed where no order is left."""
+    orders = src.table(spark, sf_dir, "orders")
+    whole = src.player_seasons(spark, sf_dir, REPLAY, LAST)
+    pending = src.yearly(orders.filter("o_orderstatus = 'P'"), REPLAY, LAST).select("o_custkey", "season")
+    settled = src.yearly(orders.filter("o_orderstatus <> 'P'"), REPLAY, LAST)
+    names = src.customers(spark, sf_dir)
+    fixed = pending.join(settled, ["o_custkey", "season"], "left").join(names, "o_custkey")
+    return fixed.withColumn("removed", F.col("gp").isNull()).select(*whole.columns, "removed")
+
+
+@query
+def cumulative_replay(spark, sf_dir):
+    """The last three snapshots, after corrections of their years' facts reached them late."""
+    fixed = _corrected_facts(spark, sf_dir)
+    players = _players(spark, sf_dir)
+    return _flat(cumulative.cumulative_replay(players, fixed, REPLAY, FIRST, LAST, SPEC, removed="removed"))
+
+
 @query
 def period_spine(spark, sf_dir):
     return cumulative.period_spine(_facts(spark, sf_dir), KEY, "season", FIRST, LAST)
@@ -220,6 +241,39 @@ def _classed_facts(spark, sf_dir):
     return _facts(spark, sf_dir).select(KEY, "season", "gp", label.alias("scoring_class"))
 
 
+@query
+def scd2_correct(spark, sf_dir):
+    """The type 2 history, with the rows spliced in that the replay builds again or removes."""
+    fixed = _corrected_facts(spark, sf_dir)
+    _, rewritten, gone = cumulative.replay_parts(
+        _players(spark, sf_dir), fixed, REPLAY, FIRST, LAST, SPEC, removed="removed"
+    )
+    late = rewritten.select(KEY, "current_season", *TRACKED).unionByName(
+        gone.select(KEY, "current_season"), allowMissingColumns=True
+    )
+    late = late.withColumn("removed", F.col("is_active").isNull())
+    return scd.scd2_correct(_scd(spark, sf_dir, LAST), late, KEY, TRACKED, LAST, removed="removed")
+
+
+def _order_years(spark, sf_dir):
+    """A record for each customer and year with orders, so with gaps between."""
+    years = src.player_seasons(spark, sf_dir)
+    return years.select(KEY, F.col("season").alias("start_season"), F.col("season").alias("end_season"), "gp")
+
+
+@query
+def scd2_join(spark, sf_dir):
+    """Classes over time, with open ends, beside the orders of each year that has some."""
+    classes = scd.scd2_open_end(_scd(spark, sf_dir, LAST))
+    return scd.scd2_join(classes, _order_years(spark, sf_dir), KEY, TRACKED, ["gp"], how="full")
+
+
+@query
+def scd2_join_chunked(spark, sf_dir):
+    classes = scd.scd2_open_end(_scd(spark, sf_dir, LAST))
+    return scd.scd2_join(classes, _order_years(spark, sf_dir), KEY, TRACKED, ["gp"], how="inner", chunk=2)
+
+
 @query
 def scd0(spark, sf_dir):
     return scd.scd0(_classed_facts(spark, sf_dir), KEY, "season", ["scoring_class", "gp"])
@@ -314,6 +368,45 @@ def snapshot_asof(spark, sf_dir):
 # Additive dimensions, enums, flexible schema
 
 
+def _event_members(spark, sf_dir):
+    events = src.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return dims.distinct_structures(events, ["event_type", "day"], "user_id")
+
+
+@query
+def distinct_rollup(spark, sf_dir):
+    """Users per type, per day and in all, from one set of bitmaps per type and day."""
+    members = _event_members(spark, sf_dir)
+    name = F.lit(None).cast("string").alias("event_type")
+    return (
+        dims.distinct_rollup(members, ["event_type"])
+        .select(F.lit("type").alias("level"), "event_type", F.lit(None).cast("string").alias("day"), "entities")
+        .unionByName(
+            dims.distinct_rollup(members, ["day"]).select(
+                F.lit("day").alias("level"), name, F.col("day").cast("string").alias("day"), "entities"
+            )
+        )
+        .unionByName(
+            dims.distinct_rollup(members, []).select(
+                F.lit("all").alias("level"), name, F.lit(None).cast("string").alias("day"), "entities"
+            )
+        )
+    )
+
+
+@query
+def distinct_estimates(spark, sf_dir):
+    """Users per type by sketches, and whether both lie within four standard errors."""
+    events = src.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    rows = dims.distinct_rollup(_event_members(spark, sf_dir), ["event_type"])
+    for kind in ("hll", "theta"):
+        sketches = dims.distinct_sketches(events, ["event_type", "day"], "user_id", kind)
+        rows = rows.join(dims.sketch_rollup(sketches, ["event_type"], kind, name=kind), "event_type")
+        off = F.abs(F.col(kind) - F.col("entities")) / F.col("entities")
+        rows = rows.withColumn(f"{kind}_is_near", off <= 4 * 1.04 / 64).drop(kind)
+    return rows
+
+
 def _user_events(spark, sf_dir):
     """Events reduced to one row per user, type and day, with the user's first day.
 

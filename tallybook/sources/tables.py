@@ -40,27 +40,34 @@ def player_seasons(
     costs the join no more than one row per year. The bounds are on the order date itself, as a
     bound on the year would not reach the scan.
     """
-    orders = table(spark, sf_dir, "orders")
+    facts = yearly(table(spark, sf_dir, "orders"), first, last)
+    return facts.join(customers(spark, sf_dir), "o_custkey").select(
+        "player_name", "segment", "nation", "season", "gp", "pts", "reb", "ast"
+    )
+
+
+def yearly(orders: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Orders reduced to one row per customer and year."""
     kind = orders.schema["o_orderdate"].dataType
     if first is not None:
         orders = orders.filter(F.col("o_orderdate") >= F.lit(f"{first}-01-01").cast(kind))
     if last is not None:
         orders = orders.filter(F.col("o_orderdate") < F.lit(f"{last + 1}-01-01").cast(kind))
-    yearly = orders.groupBy("o_custkey", F.year("o_orderdate").alias("season")).agg(
+    return orders.groupBy("o_custkey", F.year("o_orderdate").alias("season")).agg(
         F.count(F.lit(1)).cast("int").alias("gp"),
         exact_sum(F.col("o_totalprice")).alias("pts"),
         F.max("o_totalprice").alias("reb"),
         F.min("o_totalprice").alias("ast"),
     )
-    customers = table(spark, sf_dir, "customer").select(
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"),
         F.col("c_name").alias("player_name"),
         F.col("c_mktsegment").alias("segment"),
         F.col("c_nationkey").alias("nation"),
     )
-    return yearly.join(customers, "o_custkey").select(
-        "player_name", "segment", "nation", "season", "gp", "pts", "reb", "ast"
-    )
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
@@ -41,6 +42,55 @@ def test_a_period_in_scope_without_rows_is_cleared(spark, tmp_path):
     assert rows_of(spark.read.parquet(path).select(rows.columns)) == rows_of(rows.filter("season = 2000"))
 
 
+@pytest.mark.parametrize(
+    "kind,values",
+    [
+        ("int", [1, 2, None]),
+        ("boolean", [True, False, None]),
+        ("date", [date(2024, 1, 1), date(2024, 2, 29), None]),
+        ("timestamp", [datetime(2024, 1, 1, 10, 30, 0, 500), datetime(2024, 1, 2), None]),
+        ("timestamp_ntz", [datetime(2024, 1, 1, 10, 30, 0, 500), datetime(2024, 1, 2), None]),
+        ("decimal(10,2)", [Decimal("1.50"), Decimal("-2.00"), None]),
+        ("double", [1.0, 1e20, None]),
+        ("string", ["a/b=c", "ä:%41 x", None]),
+    ],
+)
+def test_reruns_keep_every_kind_of_period(spark, tmp_path, kind, values):
+    """Two runs equal one, over all periods or a list, and a cleared period goes."""
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"id int, p {kind}")
+    expected = rows_of(rows)
+
+    def held():
+        return rows_of(spark.read.schema("id int, p " + kind).parquet(path).select("id", "p"))
+
+    for scope in (idem.ALL, idem.ALL, values, values):
+        idem.overwrite_period(rows, path, "p", scope)
+        assert held() == expected
+    for gone in range(len(values)):
+        rest = rows.filter(F.col("id") != gone)
+        idem.overwrite_period(rest, path, "p", [values[gone]])
+        assert held() == rows_of(rest)
+        idem.overwrite_period(rows, path, "p", idem.ALL)
+    idem.overwrite_period(rows.filter("id = 0"), path, "p", idem.ALL)
+    assert held() == rows_of(rows.filter("id = 0"))
+
+
+def test_the_rows_are_computed_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = seasons(spark).select("player_name", "season", "pts")
+    idem.overwrite_period(rows, path, "season", idem.ALL)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    idem.overwrite_period(rows.mapInArrow(count, rows.schema), path, "season", idem.ALL, rebalance=False)
+    assert seen.value == rows.count()
+
+
 def test_a_period_that_is_read_is_not_overwritten(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = seasons(spark).select("player_name", "season", "pts")

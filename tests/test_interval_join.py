@@ -1,0 +1,114 @@
+"""The common refinement of two type 2 tables, against a count period by period."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallybook.operators import scd
+from tests.fixtures import rows_of
+from tests.test_plans import no_broadcast, plan  # noqa: F401
+
+LEFT = "k string, a string, start_season int, end_season int"
+RIGHT = "k string, b int, start_season int, end_season int"
+END = 40
+
+
+def records(draw, entities, value, longest=6):
+    """Records without overlap, with gaps, neighbours of equal values, and some open ends."""
+    rows = []
+    for k in entities:
+        at = draw.randrange(0, 8)
+        while at < END - 10:
+            last = at + draw.randrange(longest)
+            is_open = draw.random() < 0.1
+            rows.append((k, value(), at, None if is_open else last))
+            if is_open:
+                break
+            at = last + 1 + draw.choice([0, 0, 1, 3])
+    return rows
+
+
+def brute(left, right, how):
+    """Which records hold in each period; periods of the same records in a row are one stretch."""
+    out = []
+    for k in {r[0] for r in left + right}:
+        def at(rows, period):
+            own = [r for r in rows if r[0] == k and r[2] <= period and (r[3] is None or period <= r[3])]
+            return own[0] if own else None
+
+        before, start = (None, None), None
+        for period in range(0, END + 2):
+            now = (at(left, period), at(right, period)) if period <= END else "end"
+            if now != before:
+                if before != (None, None):
+                    out.append((k, start, None if period > END else period - 1, *before))
+                before, start = now, period
+    keep = {
+        "inner": lambda a, b: a and b,
+        "left": lambda a, b: a,
+        "full": lambda a, b: a or b,
+    }[how]
+    return sorted(((k, s, e, a and a[1], b and b[1]) for k, s, e, a, b in out if keep(a, b)), key=repr)
+
+
+def joined(spark, left, right, **options):
+    df = scd.scd2_join(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), "k", ["a"], ["b"], **options)
+    return rows_of(df, "k", "start_season", "end_season", "a", "b")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "full"])
+@pytest.mark.parametrize("chunk", [None, 1, 4, 100])
+def test_against_brute_force(spark, how, chunk):
+    draw = random.Random(f"{how}{chunk}")
+    names = [f"e{i}" for i in range(25)]
+    left = records(draw, names[:20], lambda: draw.choice(["x", "y", None]))
+    right = records(draw, names[5:], lambda: draw.choice([1, 2, None]), 9)
+    assert joined(spark, left, right, how=how, chunk=chunk) == brute(left, right, how)
+
+
+def test_open_ends_gaps_and_rows_without_part(spark):
+    left = [("e", "x", 0, 4), ("e", "y", 8, None), (None, "n", 0, 1), ("f", "z", None, 3), ("g", "z", 5, 4)]
+    right = [("e", 1, 2, 9), ("e", 2, 10, None), (None, 3, 0, 1), ("g", 4, 5, 5)]
+    assert joined(spark, left, right, how="full") == [
+        ("e", 0, 1, "x", None),
+        ("e", 10, None, "y", 2),
+        ("e", 2, 4, "x", 1),
+        ("e", 5, 7, None, 1),
+        ("e", 8, 9, "y", 1),
+        ("g", 5, 5, None, 4),
+    ]
+    assert joined(spark, left, [], how="inner") == []
+    assert joined(spark, left[:1], [], how="left") == [("e", 0, 4, "x", None)]
+    with pytest.raises(ValueError):
+        joined(spark, left, right, how="outer")
+
+
+def test_far_future_ends(spark):
+    left, right = [("e", "x", 0, scd.FAR_FUTURE)], [("e", 1, 3, scd.FAR_FUTURE)]
+    assert joined(spark, left, right) == [("e", 3, scd.FAR_FUTURE, "x", 1)]
+
+
+def test_several_key_columns_and_columns_of_one_name(spark):
+    left = spark.createDataFrame([(1, 2, "x", 0, 5), (1, 3, "y", 0, 5)], "p int, q int, a string, start_season int, end_season int")
+    right = spark.createDataFrame([(1, 2, "z", 3, 9)], "p int, q int, b string, start_season int, end_season int")
+    got = scd.scd2_join(left, right, ["p", "q"], ["a"], ["b"])
+    assert rows_of(got, "p", "q", "start_season", "end_season", "a", "b") == [(1, 2, 3, 5, "x", "z")]
+
+
+def test_a_busy_entity_is_swept_in_stretches(spark):
+    """One entity holds nearly all records: tasks get a stretch each, and the result is the same."""
+    n = 4000
+    left = spark.range(n).select(F.lit("hot").alias("k"), F.col("id").cast("string").alias("a"), (F.col("id") * 2).cast("int").alias("start_season"), (F.col("id") * 2 + 1).cast("int").alias("end_season"))
+    right = spark.range(n).select(F.lit("hot").alias("k"), F.col("id").cast("int").alias("b"), (F.col("id") * 2 + 1).cast("int").alias("start_season"), (F.col("id") * 2 + 2).cast("int").alias("end_season"))
+    whole = scd.scd2_join(left, right, "k", ["a"], ["b"], how="full")
+    parts = scd.scd2_join(left, right, "k", ["a"], ["b"], how="full", chunk=100)
+    assert rows_of(parts) == rows_of(whole)
+    assert whole.count() == 2 * n + 1
+
+
+def test_one_exchange_and_no_join(spark, no_broadcast):  # noqa: F811
+    left = spark.createDataFrame([("e", "x", 0, 4)], LEFT)
+    right = spark.createDataFrame([("e", 1, 2, 9)], RIGHT)
+    text = plan(scd.scd2_join(left, right, "k", ["a"], ["b"]))
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
