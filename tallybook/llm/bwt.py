@@ -287,8 +287,10 @@ def drop_shared(
     text_col: str = "text",
     length: int = LENGTH,
     carry: tuple[str, ...] = (),
+    as_text: bool = False,
 ) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept) of every document; ``kept`` is binary.
+    """(id, n_bytes, n_removed, n_spans, kept) of every document; ``kept`` is binary, or, with
+    ``as_text``, text without the characters that a removal cut through.
 
     Columns to ``carry`` follow under their own names.
 
@@ -297,7 +299,8 @@ def drop_shared(
     on the input, overlaps count, no string crosses documents. ``n_spans`` counts the maximal
     removed runs. Texts shorter than ``length`` stay whole. Rows with equal identifiers are no
     smaller than each other; a null identifier is greater than all others. Identifiers are
-    integers.
+    integers. An empty table gives no rows. A group of documents (1 / (3 x shuffle partitions) of
+    the table) is a task's work; the longest text counts whole, with some 30 bytes per byte.
 
     Documents cross the network once; the passes over them share that exchange. Anchors go to
     their blocks packed, strings of repeated anchors as pieces, and what comes back are spans.
@@ -307,6 +310,8 @@ def drop_shared(
     spark = docs.sparkSession
     groups, blocks = 3 * partitions(spark), partitions(spark)
     share = COMMON_PARTITIONS / partitions(spark)
+    kept_kind = pa.string() if as_text else pa.binary()
+    size_kind = np.uint8 if 2 * length < 256 else np.int32  # a piece has less than two lengths
     also = {f"c{i}": c for i, c in enumerate(carry)}
     columns = [F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")]
     dealt = grouped(docs.select(*columns, *[F.col(c).alias(k) for k, c in also.items()]), "doc", groups)
@@ -403,7 +408,7 @@ def drop_shared(
                 occurrence = by_content[_ranges(begun[at], many[at])]
                 packed = (
                     _low(key[piece]),
-                    size[piece].astype(np.uint8),
+                    size[piece].astype(size_kind),
                     pieces_text,
                     many[at].astype(np.int32),
                     ids[row[occurrence]],
@@ -437,7 +442,7 @@ def drop_shared(
         row = unpacked(cell["rows"], np.int32)
         piece, start, end = _piece_spans(
             unpacked(cell["keys"], np.uint32),
-            unpacked(cell["sizes"], np.uint8).astype(np.int64),
+            unpacked(cell["sizes"], size_kind).astype(np.int64),
             unpacked(cell["text"], np.uint8),
             unpacked(cell["many"], np.int32),
             unpacked(cell["ids"], np.int64),
@@ -492,10 +497,11 @@ def drop_shared(
                 n_bytes.append(b - a)
                 n_removed.append(removed)
                 n_spans.append(spans_)
-                kept.append(data.tobytes())
+                data = data.tobytes()
+                kept.append(data.decode("utf-8", "ignore") if as_text else data)
         columns = [pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)]
         return pa.table(
-            [group["doc"], *columns, pa.array(kept, pa.binary()), *[group[k] for k in also]],
+            [group["doc"], *columns, pa.array(kept, kept_kind), *[group[k] for k in also]],
             names=["doc", "n_bytes", "n_removed", "n_spans", "kept", *also],
         )
 
@@ -504,7 +510,7 @@ def drop_shared(
     near = cells.groupBy("block").applyInArrow(seen, _REPLY)
     cut = by_group.cogroup(near.groupBy("grp")).applyInArrow(pieces, _CELL)
     verdicts = cut.groupBy("block").applyInArrow(judged, _REPLY)
-    schema = "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
+    schema = f"doc long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}"
     schema += "".join(f", {k} {docs.schema[c].dataType.simpleString()}" for k, c in also.items())
     out = by_group.cogroup(verdicts.groupBy("grp")).applyInArrow(assembled, schema)
     return out.select(

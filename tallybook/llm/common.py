@@ -7,6 +7,7 @@ bounded share of a key space. Groups and blocks exchange keys as packed arrays,
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -121,6 +122,34 @@ def text_runs(texts: pa.ChunkedArray | pa.Array, limit: int = RUN_BYTES) -> Iter
         first = last
 
 
+# Words of more bytes are digested one by one; a slice of texts has few of them.
+LONG_WORD = 512
+
+
+def word_keys(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit keys of words by their bytes and length.
+
+    Eight bytes at a time go through ``mix``, which is not linear: unlike sums of powers, no words
+    of special form share a key whatever the constants.
+    """
+    sizes = ends - starts
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(text) + 1,), np.uint64, padded.data, strides=(1,))
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    keys = mix(sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(_BASE))
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        told = hashlib.blake2b(text[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        keys[i] ^= np.uint64(int.from_bytes(told, "little"))
+    which = np.flatnonzero((sizes > 0) & (sizes <= LONG_WORD))
+    at, left = starts[which], sizes[which]
+    while len(which):
+        chunk = eight[at] & masks[np.minimum(left, 8)]
+        keys[which] = mix((keys[which] ^ chunk) + np.uint64(_BASE))
+        more = left > 8
+        which, at, left = which[more], at[more] + 8, left[more] - 8
+    return keys
+
+
 def byte_values(text: np.ndarray) -> np.ndarray:
     return _BYTE[text]
 

@@ -162,6 +162,18 @@ def train(x: np.ndarray, langs: list[str]) -> Model:
     return Model(families, np.array(weights), languages, pairs)
 
 
+# A score of no more than this is no better than guessing among a few languages.
+LEAST_SCORE = 0.25
+
+
+def rejected(lang_pred: Column, score: Column, text: Column, model: Model | None) -> Column:
+    """Whether a prediction says that a text is in no known language: ``und``, or a score that is no
+    better than a guess. Where nothing was learned only texts without a letter are rejected."""
+    if model is None:
+        return ~has_letter(text)
+    return (lang_pred == UNKNOWN) | (score <= LEAST_SCORE)
+
+
 def held_out(id_: Column) -> Column:
     """Whether crc32 of the identifier as text leaves no remainder by 5; null: not held out."""
     return F.coalesce(F.crc32(id_.cast("string")) % 5 == 0, F.lit(False))
@@ -226,12 +238,18 @@ def predict(
     """(id, lang_pred, score) of every document, from its whole text alone, and columns to carry.
 
     A null text, or one without any letter, is ``und`` with score 0; so is every text where
-    nothing was learned. Repeated rows stay. Carried columns keep their names, after the others.
+    nothing was learned. Repeated rows stay, an empty table gives none. Carried columns keep their
+    names, after the others, and may not be called lang_pred or score; any other column plays no
+    part. The text itself may be carried and crosses to Python once. A text of any length is one
+    vector; a task holds some 30 bytes per byte of the longest.
     """
-    names = [id_col, *carry]
+    if {"lang_pred", "score"} & {id_col, *carry}:
+        raise ValueError("carried columns may not be called lang_pred or score")
+    names = [id_col, *[c for c in carry if c != text_col]]
     kinds = [docs.schema[c].dataType.simpleString() for c in names]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = ["lang_pred", "score", *[f"c{i}" for i in range(len(names))]]
+    text_kind = {"text": docs.schema[text_col].dataType.simpleString()} if text_col in carry else {}
+    out = ["lang_pred", "score", *[f"c{i}" for i in range(len(names))], *text_kind]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shared.value
@@ -246,6 +264,7 @@ def predict(
                         pa.array([a if g else UNKNOWN for a, g in zip(lang, ok, strict=True)], pa.string()),
                         pa.array([float(s) if g else 0.0 for s, g in zip(score, ok, strict=True)], pa.float64()),
                         *[batch.column(2 + i).slice(first, n) for i in range(len(names))],
+                        *([batch.column(0).slice(first, n)] if text_col in carry else []),
                     ],
                     out,
                 )
@@ -256,8 +275,10 @@ def predict(
         has_letter(text).alias("lettered"),
         *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
     )
-    schema = ", ".join(["lang_pred string", "score double", *[f"c{i} {k}" for i, k in enumerate(kinds)]])
+    numbered = {f"c{i}": k for i, k in enumerate(kinds)} | text_kind
+    schema = ", ".join(["lang_pred string", "score double", *[f"{c} {k}" for c, k in numbered.items()]])
+    held = {c: f"c{i}" for i, c in enumerate(names)} | {text_col: "text"}
     done = rows.mapInArrow(label, schema)
     return done.select(
-        F.col("c0").alias(id_col), "lang_pred", "score", *[F.col(f"c{i + 1}").alias(c) for i, c in enumerate(carry)]
+        F.col("c0").alias(id_col), "lang_pred", "score", *[F.col(held[c]).alias(c) for c in carry]
     )

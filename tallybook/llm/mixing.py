@@ -10,7 +10,7 @@ cells, then the cells' last documents within groups of cells, until one is left
 from __future__ import annotations
 
 import math
-
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +107,7 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     most: int = MOST_COPIES,
+    drawn_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """(id, size, source_size, target, taken, copies) of every document.
 
@@ -114,7 +115,9 @@ def mix(
     null text has no words and takes none, in one copy or more; a source without words has
     target 0. Each source's words differ from its target by less than one copy of one document.
     Rows with the same identifier are documents of their own. The draw follows from source and
-    identifiers alone: reruns agree, however the rows are spread.
+    identifiers alone, or the columns ``drawn_by`` where identifiers are only numbers of rows:
+    reruns agree, however the rows are spread. An empty table gives no rows; columns other than
+    those named play no part, whatever they are called; texts of any length are counted whole.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     sizes = written(
@@ -122,6 +125,7 @@ def mix(
             F.col(id_col).alias("doc"),
             word_count(F.col(text_col)).alias("size"),
             F.col(source_col).cast("string").alias("source"),
+            F.xxhash64(*(drawn_by or [id_col]), word_count(F.col(text_col))).alias("tie"),
         ),
         "sizes",
     )
@@ -131,7 +135,7 @@ def mix(
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(1.0)
     sure = F.least(F.floor(expected + 1e-12), F.lit(most))
     part = F.greatest(expected - sure, F.lit(0.0))
-    tie = F.xxhash64("doc", "size")
+    tie = F.col("tie")
     cells = F.greatest(F.ceil(F.col("n_docs") / CELL_ROWS), F.lit(1))
     rows = sizes.join(by_source, F.col("source").eqNullSafe(F.col("of_source"))).select(
         "doc",
@@ -140,7 +144,7 @@ def mix(
         "target",
         sure.cast("int").alias("sure"),
         F.when((F.col("size") > 0) & (part > 1e-9), part).otherwise(0.0).alias("part"),
-        tie.alias("tie"),
+        "tie",
         "source",
         F.pmod(tie, cells).cast("int").alias("cell"),
     )
@@ -168,7 +172,8 @@ def mix(
 
 
 def repeat(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents, each as often as the mix takes it. Identifiers are taken as distinct."""
+    """The documents, each as often as the mix takes it. Identifiers must be distinct: number the
+    rows where they may not be."""
     copies = mixed.filter("copies > 0").select(F.col(id_col).alias("_of"), F.col("copies").alias("_n"))
     joined = docs.join(copies, F.col(id_col).eqNullSafe(F.col("_of")))
     repeated = joined.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n"))))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import partitions, written
-from tallybook.llm.tokens import encoded_runs, vocabulary_path
+from tallybook.llm.tokens import encoded_runs, encoder, vocabulary_path
 
 LIMIT = 2048
 END_ID = 0
@@ -70,6 +70,7 @@ def pieces(
                     columns.append(pa.array([x.astype(np.int32) for x in own], pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.record_batch(columns, names)
+        encoder(path).forget()  # a worker outlives its tasks
 
     return docs.select(id_col, text_col).mapInArrow(cut, schema)
 

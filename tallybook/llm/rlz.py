@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.common import (
     CELL,
-    byte_values,
     cells_table,
     first_least,
     grouped,
@@ -32,12 +31,12 @@ from tallybook.llm.common import (
     partitions,
     prefix,
     repeated,
-    spans,
     text_runs,
     unpacked,
     up_to_twice,
     windows,
     word_bounds,
+    word_keys,
 )
 
 WIDTH = 35
@@ -55,7 +54,7 @@ def _low(keys: np.ndarray) -> np.ndarray:
 def _hashed(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums over the words' hashes, and the first word of each text."""
     starts, ends, bounds = word_bounds(text, offsets)
-    return prefix(spans(prefix(byte_values(text)), starts, ends)), bounds
+    return prefix(word_keys(text, starts, ends)), bounds
 
 
 def _whole(bounds: np.ndarray, width: int, n: int) -> np.ndarray:

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.common import (
     CELL,
-    byte_values,
     cells_table,
     grouped,
     mix,
@@ -41,6 +40,7 @@ from tallybook.llm.common import (
     up_to_twice,
     windows,
     word_bounds,
+    word_keys,
     written,
 )
 from tallybook.llm.graph import components, labelled
@@ -75,7 +75,7 @@ def token_sets(text: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) ->
     """
     low = text + 32 * ((text >= 65) & (text <= 90)).astype(np.uint8)
     starts, ends, bounds = word_bounds(low, offsets)
-    sums = prefix(spans(prefix(byte_values(low)), starts, ends))
+    sums = prefix(word_keys(low, starts, ends))
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     full = windows(sums, shingle)
     own = owner[: len(full)] == owner[shingle - 1 :] if len(full) else np.zeros(0, bool)

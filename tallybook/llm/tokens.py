@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import RUN_BYTES, byte_values, prefix, spans, text_runs, word_bounds
+from tallybook.llm.common import text_runs, word_bounds, word_keys
 
 # Bytes of words that numpy can lower and split: graphic ASCII without the apostrophe, and the
 # letters U+00C0 to U+00FF, whose class and lower case are the same in every Unicode version.
@@ -26,8 +26,10 @@ _PLAIN[[0x27, 0x7C]] = False
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), 0xC3]] = True
 END = "</w>"
-# Words a worker keeps encoded between batches.
-KEPT_WORDS = 600_000
+# Words that a task keeps encoded between slices (some 50 bytes each), and bytes of their ids. The
+# work on a slice of a megabyte takes some 100 MB more.
+KEPT_WORDS = 400_000
+KEPT_BYTES = 32 << 20
 _NONE = np.int64(1 << 40)
 
 
@@ -71,9 +73,9 @@ class WordBpe:
                 at += 1
             if self.key[at] < 0:
                 self.key[at], self.rank[at], self.made[at] = keys[i], i, made[i]
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         """Known words: their hashes in order, and where the ids of each lie."""
         self.known = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
@@ -198,13 +200,13 @@ class WordBpe:
     def encode(self, text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where each text's begin."""
         starts, ends, words_before = word_bounds(text, offsets)
-        keys = spans(prefix(byte_values(text)), starts, ends)
+        keys = word_keys(text, starts, ends)
         distinct, sample, code = np.unique(keys, return_index=True, return_inverse=True)
         at, found = self._place(distinct)
         if not found.all():
             new = sample[~found]
-            if len(self.known) > KEPT_WORDS:
-                self._forget()
+            if len(self.known) > KEPT_WORDS or self.ids.nbytes > KEPT_BYTES:
+                self.forget()
                 new = sample
             self._learn(text, starts[new], ends[new], keys[new])
             at, _ = self._place(distinct)
@@ -223,7 +225,7 @@ def encoder(path: str) -> WordBpe:
 
 def encoded_runs(batch: pa.RecordBatch, text_col: int, path: str) -> Iterator[tuple]:
     """(first row, ids, bounds) for slices of a batch's texts. A null text counts as empty."""
-    for first, text, offsets in text_runs(batch.column(text_col), 4 * RUN_BYTES):
+    for first, text, offsets in text_runs(batch.column(text_col)):
         yield first, *encoder(path).encode(text, offsets)
 
 
@@ -242,6 +244,7 @@ def encoded_lengths(
                     [batch.column(0).slice(first, n), pa.array(np.diff(bounds), pa.int64())],
                     [id_col, "n_tokens"],
                 )
+        encoder(path).forget()  # a worker outlives its tasks
 
     rows = docs.select(id_col, text_col)
     return rows.mapInArrow(lengths, f"`{id_col}` {kind.simpleString()}, n_tokens long")

@@ -90,3 +90,15 @@ def test_empty(spark):
     assert bwt.drop_shared(frame(spark, [])).count() == 0
     with pytest.raises(ValueError):
         bwt.drop_shared(frame(spark, []), length=10)
+
+
+@pytest.mark.parametrize("length", [136, 200])
+def test_long_strings(spark, length):
+    """Pieces of more than 255 bytes."""
+    draw = random.Random(length)
+    passage = sentence(draw, 90, 5000)
+    rows = [(i, f"{sentence(draw, 30, 5000)} {passage} {sentence(draw, 30, 5000)}") for i in range(6)]
+    rows += [(10, passage[:length]), (11, passage[: length - 1])]
+    got = {r["doc_id"]: (r["n_removed"], bytes(r["kept"])) for r in bwt.drop_shared(frame(spark, rows), length=length).collect()}
+    expected = {d: (gone, kept) for d, _, gone, _, kept in brute(rows, length)}
+    assert got == expected and any(gone for gone, _ in got.values())

@@ -2,10 +2,13 @@
 
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
-from tallybook.llm import tokens
+from tallybook.llm import lang, tokens
 
-from .fixtures import SCHEMA, frame, sentence
+from .fixtures import SCHEMA, awkward, frame, sentence
 from .test_bwt import brute as shared_brute
 from .test_mixing import shares
 from .test_tgm import brute as near_brute
@@ -104,3 +107,74 @@ def test_empty_table(spark):
     for _, stage in pipeline.STAGES:
         docs = pipeline.written(stage(spark, docs, ""), "test-empty")
     assert docs.count() == 0
+
+
+def stage(spark, name, rows):
+    out = dict(pipeline.STAGES)[name](spark, spark.createDataFrame(rows, SCHEMA), "")
+    return out.collect()
+
+
+def test_rows_without_or_with_shared_identifiers_stay_rows(spark):
+    """Nothing is multiplied or kept for the sake of another row with its identifier."""
+    draw = random.Random(3)
+    own = [sentence(draw, 60, 10_000) for _ in range(50)]
+    shared = [(None if i % 2 else 7, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate(own)]
+    got = stage(spark, "mix", shared)
+    copies = {}
+    for r in got:
+        copies[r["text"]] = copies.get(r["text"], 0) + 1
+    assert set(copies) <= set(own) and max(copies.values()) <= 3
+    for name, goal in shares({f"s{k}": 60 * len(range(k, 50, 3)) for k in range(3)}).items():
+        assert abs(60 * sum(r["source"] == name for r in got) - goal) <= 60
+
+    copy = (None, own[0].replace(own[0].split()[3], "edited"), "en", "s", 9)
+    rows = [(1, own[0], "en", "s", 9), copy, (None, own[1], "en", "s", 9), (1, own[2], "en", "s", 9)]
+    got = stage(spark, "near copies", rows + rows[:1] * 3)
+    assert sorted(r["text"] for r in got) == sorted(own[:3])
+    assert {r["doc_id"] for r in got if r["text"] == own[0]} == {1}
+
+
+def test_stages_on_awkward_rows(spark):
+    """Nulls, equal identifiers, repeated rows and very long texts, through every stage."""
+    draw = random.Random(9)
+    long = sentence(draw, 60_000, 30_000)
+    rows = [(i, t, None, None if i and i % 4 == 0 else "s", 1) for i, t in awkward()]
+    rows += [(500, long, "en", "s", 1), (501, long + " end", "en", "s", 1)]
+    lettered = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    got = stage(spark, "language", rows)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(i), t) for i, t, *_ in lettered)
+    docs = got
+    for name in ("near copies", "shared passages", "mix"):
+        before, docs = docs, stage(spark, name, [tuple(r) for r in docs])
+        if name == "near copies":
+            numbered = [(i, r["text"]) for i, r in enumerate(before)]
+            groups = {c for _, _, c in near_brute(numbered, percent=80, shingle=5)}
+            assert len(docs) == len(groups)
+            assert len({r["text"] for r in docs}) == len(docs)
+        assert docs
+    placed = stage(spark, "pack", [tuple(r) for r in docs])
+    library = tokens.encoder(tokens.vocabulary_path()).library
+    assert sum(r["length"] for r in placed) == sum(
+        len(library.encode(r["text"], add_special_tokens=False).ids) + 1 for r in docs
+    )
+
+
+def test_language_rejects_by_the_stated_rule(spark):
+    """No letter, or a score no better than a guess; without labels only the former."""
+    texts = {"en": "the thing that they have", "fr": "le chat est dans la maison"}
+    rows = [(i, f"{texts[k]} {i}", k, "s", 9) for k in texts for i in range(40)]
+    odd = [(100, "12 34", "en", "s", 9), (101, "the have 9", None, "s", 9)]
+    got = stage(spark, "language", rows + odd)
+    assert {r["doc_id"] for r in got} == set(range(40)) | {101}
+    assert [r["lang"] for r in got if r["doc_id"] == 101] == ["en"]
+    unlabelled = [(i, t, None, s, n) for i, t, _, s, n in rows + odd]
+    assert len(stage(spark, "language", unlabelled)) == len(rows) + 1
+    model = lang.train(lang.vectors(*_packed(texts.values())), list(texts))
+    df = spark.createDataFrame([("en", 0.25, "a"), ("en", 0.26, "a"), ("und", 0.0, "1")], "p string, s double, t string")
+    judged = df.select(lang.rejected(F.col("p"), F.col("s"), F.col("t"), model).alias("r")).collect()
+    assert [r["r"] for r in judged] == [True, False, True]
+
+
+def _packed(texts):
+    data = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
