@@ -1,7 +1,9 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted target against the raw corpus.
 
-Both are multinomials over ``BUCKETS`` buckets of hashed words and word pairs, with one added to
-every count. A document's score is the mean over its n-grams of the log of target probability
+Both are multinomials over ``BUCKETS`` buckets of hashed words and word pairs. One is added to every
+raw count, and ``PRIOR`` n-grams spread like the raw corpus to the target's, so that a target like
+the raw corpus gives ratios of 0 however short its list is, and a short list moves them little. A
+document's score is the mean over its n-grams of the log of target probability
 over raw probability, and a document is kept if its score reaches a threshold. All of it is
 DataFrame functions: no Python runs on the executors.
 """
@@ -17,8 +19,10 @@ from pyspark.sql import functions as F
 from tallybook.llm.common import words
 
 BUCKETS = 1 << 14
+# N-grams of the raw corpus's distribution that are added to the target.
+PRIOR = 1 << 16
 # Mean log ratio per n-gram from which a document is kept.
-THRESHOLD = -0.12
+THRESHOLD = -0.17
 # Labelled documents that make up the trusted target, chosen by a hash of their identifier.
 TRUSTED_ROWS = 16_384
 MIN_WORDS = 50
@@ -77,7 +81,9 @@ def fit(
     The raw corpus is counted over all documents. Of the trusted identifiers the ``rows`` first
     in the order of their hash count as target: a bounded list, which is broadcast, so that no
     text is shuffled. Counts are added up before the exchange, one row per bucket and task;
-    the driver gets one row per bucket. Without any trusted document all ratios are 0.
+    the driver gets one row per bucket. Without any trusted document all ratios are 0. The fewer
+    n-grams the trusted documents have, the nearer to 0 the ratios: n of them can lower a
+    document's score to log(PRIOR / (n + PRIOR)) at most.
     """
     ids = trusted.select(F.col(trusted_id).alias("_trusted")).filter("_trusted is not null").distinct()
     ids = ids.orderBy(F.xxhash64("_trusted"), "_trusted").limit(rows)
@@ -93,13 +99,12 @@ def fit(
     targets, raws = sum(t for t, _ in found.values()), sum(r for _, r in found.values())
     if not targets:
         return Ratio((0.0,) * BUCKETS)
-    shift = math.log(raws + BUCKETS) - math.log(targets + BUCKETS)
-    return Ratio(
-        tuple(
-            round(math.log(t + 1) - math.log(r + 1) + shift, 6)
-            for t, r in (found.get(i, (0, 0)) for i in range(BUCKETS))
-        )
-    )
+    logs = []
+    for i in range(BUCKETS):
+        t, r = found.get(i, (0, 0))
+        usual = (r + 1) / (raws + BUCKETS)
+        logs.append(round(math.log((t + PRIOR * usual) / (targets + PRIOR) / usual), 6))
+    return Ratio(tuple(logs))
 
 
 def triples(hashes: Column) -> Column:
@@ -197,7 +202,9 @@ def judge(
     A null or empty text has no words, fails the base rules and has no score. A document that
     fails them is not kept; any other is kept if its score is ``threshold`` or more. The score
     rests on the whole text and on nothing else, so equal texts get equal verdicts and repeated
-    rows stay. Nothing is shuffled.
+    rows stay. Nothing is shuffled. An empty table gives no rows; other columns play no part,
+    whatever their names. Texts of any length are judged whole; a task holds some 50 bytes per word
+    of the longest.
     """
     rows = docs.select(F.col(id_col), F.col(text_col).alias("text_"))
     rows = rows.withColumn("words_", words(F.col("text_")))

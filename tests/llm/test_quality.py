@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybook.llm import quality
+from tallybook.llm.common import table
 
 from .fixtures import awkward, frame, sentence, words_of
 
@@ -59,7 +60,8 @@ def test_ratio_and_score(spark):
             target.update(r["b"])
     n, m, size = sum(target.values()), sum(raw.values()), quality.BUCKETS
     for i in (*list(raw)[:50], 0, size - 1):
-        p, q = (target[i] + 1) / (n + size), (raw[i] + 1) / (m + size)
+        q = (raw[i] + 1) / (m + size)
+        p = (target[i] + quality.PRIOR * q) / (n + quality.PRIOR)
         assert ratio.logs[i] == pytest.approx(math.log(p / q), abs=1e-5)
     scores = {(r["doc_id"], r["n_words"]): r["score"] for r in quality.judge(docs, ratio).collect()}
     for r in own:
@@ -69,18 +71,40 @@ def test_ratio_and_score(spark):
 
 
 def test_tells_junk_from_trusted(spark):
+    """At the threshold as shipped, good documents that are not listed among them."""
     draw = random.Random(1)
     good = [(i, " ".join(f"fine{draw.randrange(12)}" for _ in range(90)) + f" own{i}") for i in range(60)]
     junk = [(100 + i, " ".join(f"junk{draw.randrange(12)}" for _ in range(90)) + f" own{i}") for i in range(60)]
     docs = frame(spark, good + junk)
     ratio = quality.fit(docs, spark.range(0, 30).withColumnRenamed("id", "doc_id"))
-    score = {r["doc_id"]: r["score"] for r in quality.judge(docs, ratio).collect()}
-    low, high = max(score[100 + i] for i in range(60)), min(score[i] for i in range(60))
-    assert low < high
-    kept = quality.judge(docs, ratio, threshold=(low + high) / 2).filter("kept").collect()
+    kept = quality.judge(docs, ratio).filter("kept").collect()
     assert {r["doc_id"] for r in kept} == set(range(60))
 
 
+@pytest.mark.parametrize("listed", [1, 5, 20, 50, 100, None])
+def test_no_clean_document_is_lost_to_a_short_list(spark, listed):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    trusted = table(spark, "/root/testdata/sf0.01", "labels").filter("quality = 1")
+    good = {r["doc_id"] for r in trusted.collect()}
+    few = trusted.orderBy("doc_id").limit(listed) if listed else trusted
+    judged = {r["doc_id"]: r for r in quality.judge(docs, quality.fit(docs, few)).collect()}
+    assert {d for d in good if not judged[d]["base_failed"]} == {d for d in good if judged[d]["kept"]}
+
+
+def test_a_target_like_the_corpus_scores_nothing(spark):
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 50}" for k in range(60))) for i in range(50)] * 2
+    docs = frame(spark, [(i, t) for i, (_, t) in enumerate(rows)])
+    ratio = quality.fit(docs, spark.range(0, 50).withColumnRenamed("id", "doc_id"))
+    assert max(abs(r["score"]) for r in quality.judge(docs, ratio).collect()) < 0.02
+
+
+def test_very_long_text(spark):
+    text = " ".join(f"w{i % 70_001}" for i in range(200_000))
+    got = quality.judge(frame(spark, [(1, text)]), quality.Ratio((0.5,) * quality.BUCKETS)).first()
+    assert (got["doc_id"], *[got[n] for n in NAMES]) == (1, *base(text))
+    assert got["score"] == pytest.approx(0.5)
+
+
 def test_native_and_unshuffled(spark):
     docs = frame(spark, rows())
     judged = quality.judge(docs, quality.Ratio((0.5,) * quality.BUCKETS))
