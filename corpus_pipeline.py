@@ -6,10 +6,9 @@ folder and read again as the next one's documents.
 
 from __future__ import annotations
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from tallybook.llm import bwt, lang, mixing, packing, tgm
 from tallybook.llm.common import table, written
@@ -22,39 +21,57 @@ SHINGLE, PERCENT = 5, 80
 ORACLE_SQL = None
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: those without a letter go. A missing label is filled in."""
-    rest = tuple(c for c in COLUMNS if c != "doc_id")
-    found = lang.predict(docs, lang.fit(docs), carry=rest)
-    kept = found.filter(F.col("lang_pred") != lang.UNKNOWN)
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """Rows with a number of their own, as identifiers may be null or shared.
 
+    Stages read files, whose rows get the same numbers in every scan of one folder listing. Rows of
+    any other plan are written first.
+    """
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = written(docs, name)
+    return docs.withColumn("row", F.monotonically_increasing_id())
 
-def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest identifier."""
-    groups = tgm.jaccard_components(docs, shingle=SHINGLE, percent=PERCENT)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stay"))
-    kept = docs.join(stay.distinct(), F.col("doc_id").eqNullSafe(F.col("stay")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language. One goes if it has no letter or if the machines are no surer
+    of their answer than a guess; where no label taught them anything, only the former. A missing
+    label is filled in. Nulls, repeated rows and equal identifiers are judged row by row."""
+    model = lang.fit(docs)
+    found = lang.predict(docs, model, carry=tuple(c for c in COLUMNS if c != "doc_id"))
+    kept = found.filter(~lang.rejected(F.col("lang_pred"), F.col("score"), F.col("text"), model))
+    told = F.when(F.col("lang_pred") != lang.UNKNOWN, F.col("lang_pred"))
+    return kept.withColumn("lang", F.coalesce("lang", told)).select(*COLUMNS)
 
-@F.pandas_udf(StringType())
-def _whole_characters(kept: pd.Series) -> pd.Series:
-    """The text of what is left; characters that a removal cut through go as a whole."""
-    return kept.map(lambda x: bytes(x).decode("utf-8", "ignore"))
+
+def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest identifier, null last,
+    and of several such the first row. Rows are told apart by their own numbers, so identifiers may
+    be null or shared; repeated rows are copies of each other. A document without words stays."""
+    rows = _numbered(docs, "rows")
+    groups = tgm.jaccard_components(rows.select("row", "text"), "row", shingle=SHINGLE, percent=PERCENT)
+    members = groups.select("row", "component_id").join(rows.select("row", "doc_id"), "row")
+    first = F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    stay = members.groupBy("component_id").agg(first.alias("row")).select("row")
+    return rows.join(stay, "row", "left_semi").select(*COLUMNS)
 
 
 def drop_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that a smaller document has; a text of nothing else goes."""
-    found = bwt.drop_shared(docs, carry=("lang", "source"))
+    """Texts without the passages that a smaller document has; a text of nothing else goes.
+    Characters that a removal cuts through go as a whole."""
+    found = bwt.drop_shared(docs, carry=("lang", "source"), as_text=True)
     left = found.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes")))
-    texts = left.withColumn("text", _whole_characters("kept"))
-    return texts.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    texts = left.withColumnRenamed("kept", "text").withColumn("n_chars", F.length("text").cast("long"))
+    return texts.select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them, up to three times."""
-    return mixing.repeat(docs, mixing.mix(docs)).select(*COLUMNS)
+    """Documents as often as the mix of sources takes them, up to three times. Each row is a
+    document of its own, whatever its identifier; the draw follows from identifier and text."""
+    rows = _numbered(docs, "rows")
+    mixed = mixing.mix(rows, "row", drawn_by=("doc_id", "text"))
+    return mixing.repeat(rows, mixed, "row").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
