@@ -74,10 +74,18 @@ def additive_rollup(
     """Roll rows of ``entity_counts`` up to ``keep``: measures and entities are summed.
 
     That is right only if the dimensions that go are additive. ``checked`` says so: rows of
-    ``additivity_check`` for them; the query fails if one is not additive. Over a dimension
-    that is not, count again from the entities, by ``entity_counts``.
+    ``additivity_checks``, by the dimensions' names. The query fails if one that goes is not
+    additive there, or not checked at all. Over a dimension that is not, use ``distinct_rollup``
+    or count again from the entities, by ``entity_counts``.
     """
-    fine = checked.select((F.count(F.lit(1)) > 0) & F.bool_and("is_additive")).scalar()
+    if "dimension" not in checked.columns:
+        raise ValueError("the outcome of a check must name its dimension, as additivity_checks does")
+    gone = [c for c in counts.columns if c not in (*keep, *measures, "entities")]
+    own = F.col("dimension").isin(gone)
+    fine = checked.select(
+        (F.count_distinct(F.when(own & F.col("is_additive"), F.col("dimension"))) == len(gone))
+        & (F.count_if(own & ~F.col("is_additive")) == 0)
+    ).scalar()
     sums = [F.sum(m).alias(m) for m in (*measures, "entities")]
     safe = counts.filter(check(F.coalesce(fine, F.lit(False)), "a dimension to roll up is not additive"))
     return safe.groupBy(*keep).agg(*sums)

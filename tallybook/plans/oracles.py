@@ -155,6 +155,41 @@ def _additivity(dim: str) -> str:
     """
 
 
+_DAYS = """
+days as (select distinct user_id, (ts::date - date '2024-01-01')::int as day from events)
+"""
+
+_ACTIVITY = f"""
+with {_DAYS},
+runs as (
+  select user_id, count(*) as n from (
+    select user_id, day - row_number() over (partition by user_id order by day) as island from days)
+  group by user_id, island)
+select user_id, 29 as as_of, count(*)::int as days_active, count(*) filter (day > 22)::int as days_of_7,
+       count(*) filter (day > 1)::int as days_of_28, max(day) = 29 as is_active,
+       (29 - max(day))::int as days_since,
+       (select max(n) from runs r where r.user_id = d.user_id)::int as longest_run,
+       max(day) = 29 and count(*) filter (day between 26 and 28) = 0 and min(day) < 26 as returned_after_3
+from days d group by user_id
+"""
+
+# Keys in the order of names: first those of customers known before the last year.
+KEYS = f"""
+keys as (
+  select player_name, row_number() over (order by min(season) = {LAST_YEAR}, player_name) as surrogate_key
+  from facts group by player_name)
+"""
+
+PROFILES = f"""
+profiles as (
+  select player_name, season, {_class('pts')} as scoring_class,
+         if(gp > 3, 'many', if(gp > 1, 'some', 'one')) as orders
+  from facts),
+mini as (
+  select scoring_class, orders, row_number() over (order by scoring_class, orders) as profile_key
+  from (select distinct scoring_class, orders from profiles))
+"""
+
 _LAST_FLAT = f"select * from snaps where current_season = {LAST_YEAR}"
 _BEFORE_FLAT = f"select * from snaps where current_season = {BEFORE}"
 
@@ -237,6 +272,29 @@ ORACLES: dict[str, str] = {
     "distinct_estimates": """
         select event_type, count(distinct user_id) as entities, true as hll_is_near, true as theta_is_near
         from events group by event_type""",
+    "surrogate_keys": f"with {FACTS}, {KEYS} select * from keys",
+    "scd4_profiles": f"with {FACTS}, {PROFILES} select * from mini",
+    "scd4_history": f"""
+        with {FACTS}, {PROFILES}
+        select player_name, profile_key, min(season)::int as start_season, max(season)::int as end_season
+        from (select *, row_number() over (partition by player_name order by season)
+                        - row_number() over (partition by player_name, profile_key order by season) as island
+              from profiles join mini using (scoring_class, orders))
+        group by player_name, profile_key, island""",
+    "scd6": f"""
+        with {_runs(LAST_YEAR)}
+        select r.*, {LAST_YEAR} as current_season, n.scoring_class as current_scoring_class,
+               n.is_active as current_is_active, r.end_season = {LAST_YEAR} as is_current
+        from runs r join snaps n on n.player_name = r.player_name and n.current_season = {LAST_YEAR}""",
+    "scd7": f"""
+        with {_runs(LAST_YEAR)},
+        keyed as (
+          select *, row_number() over (order by player_name, start_season) as record_key,
+                 dense_rank() over (order by player_name) as durable_key
+          from runs)
+        select o_orderkey as order_id, year(o_orderdate)::int as season, record_key, durable_key
+        from orders join customer on c_custkey = o_custkey
+        join keyed on player_name = c_name and year(o_orderdate) between start_season and end_season""",
     "scd2_historical": f"""
         with {_runs(BEFORE)}
         select *, if(end_season = {BEFORE}, 'open', 'closed') as part from runs""",
@@ -352,6 +410,14 @@ ORACLES: dict[str, str] = {
         union all
         select 'cohort', cohort::varchar, sum(value)::double, count(distinct user_id)::bigint
         from user_events group by cohort""",
+    "activity_bits": _ACTIVITY,
+    "activity_bits_step": _ACTIVITY,
+    "activity_retention": f"""
+        with {_DAYS}, firsts as (select user_id, min(day) as cohort from days group by user_id)
+        select cohort, n, count(*) as entities, count(d.user_id)::bigint as returned
+        from (select *, unnest(range(0, 30 - cohort))::int as n from firsts) f
+        left join days d on d.user_id = f.user_id and d.day = f.cohort + f.n
+        group by cohort, n""",
     "enum_validate": """
         select 'o_orderstatus' as column_name, o_orderstatus as value, count(*) as n_rows
         from orders group by all having value = 'P'
@@ -493,14 +559,10 @@ ORACLES: dict[str, str] = {
     "raw_logs_to_facts": """
         select event_id, user_id, event_type as action, (props->>'k')::int as place,
                value::decimal(18,2)::double as amount, strftime(ts, '%Y-%m-%d') as happened_on
-        from events where event_type <> 'error' and event_id % 50 <> 7""",
+        from events where event_type <> 'error'""",
     "raw_logs_rejects": """
-        with judged as (
-          select event_id, event_type, case when event_id % 50 = 7 then 'props: not JSON'
-                 when event_type = 'error' then 'action: not in domain' end as reason from events)
-        select * from judged where reason is not null
-        union all
-        select event_id, event_type, coalesce(reason, 'event_id: copy') from judged where event_id % 97 = 0""",
+        select event_id, event_type, 'action: not in domain' as reason from events
+        where event_type = 'error'""",
     "fact_five_w": """
         select user_id as who, event_type as what, quality as where,
                strftime(ts, '%Y-%m-%d') as when, 'log' as how

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import classify, first_entry, last_entry, prop, props, recency_step
-from tallybook.operators import cumulative, dims, facts, graph, idempotent, scd
+from tallybook.operators import bithistory, cumulative, dims, facts, graph, hybrid, idempotent, scd
 from tallybook.operators.checks import check
 from tallybook.sources import tables as src
 from tallybook.sources.shared import shared_folder
@@ -25,6 +25,8 @@ KEY = "player_name"
 TRACKED = ["scoring_class", "is_active"]
 FIRST, LAST = src.FIRST_YEAR, src.LAST_YEAR
 REPLAY = LAST - 2
+EPOCH = date(2024, 1, 1)
+LAST_DAY = 29  # 30 January, counted from the epoch
 
 
 def query(fn: Query) -> Query:
@@ -310,6 +312,53 @@ def scd2_current(spark, sf_dir):
     return far.unionByName(null)
 
 
+# Hybrid types: surrogate keys, mini-dimensions, current values on old records
+
+
+def _customer_keys(spark, sf_dir):
+    """Keys given to the customers known before the last year, then to those that it brings."""
+    older = src.player_seasons(spark, sf_dir, last=LAST - 1).select(KEY)
+    known = hybrid.surrogate_keys(older, [KEY])
+    return hybrid.surrogate_keys(src.player_seasons(spark, sf_dir).select(KEY), [KEY], known)
+
+
+@query
+def surrogate_keys(spark, sf_dir):
+    return _customer_keys(spark, sf_dir)
+
+
+def _profiles(spark, sf_dir):
+    """Yearly facts in bands: the class of the year's value and the number of its orders."""
+    orders = classify(F.col("gp"), (("many", 3), ("some", 1)), "one")
+    return _classed_facts(spark, sf_dir).withColumn("orders", orders).drop("gp")
+
+
+@query
+def scd4_profiles(spark, sf_dir):
+    """The mini-dimension of all profiles that occur."""
+    return hybrid.scd4(_profiles(spark, sf_dir), KEY, "season", ["scoring_class", "orders"])[0]
+
+
+@query
+def scd4_history(spark, sf_dir):
+    """The profiles that each customer moved through, by their keys."""
+    return hybrid.scd4(_profiles(spark, sf_dir), KEY, "season", ["scoring_class", "orders"])[1]
+
+
+@query
+def scd6(spark, sf_dir):
+    """The type 2 history with each customer's current values beside the old ones."""
+    return hybrid.scd6(_scd(spark, sf_dir, LAST), KEY, TRACKED)
+
+
+@query
+def scd7(spark, sf_dir):
+    """Orders with the key of the record that held and the durable key of the customer."""
+    records, _ = hybrid.scd7(_scd(spark, sf_dir, LAST), KEY)
+    held = scd.scd2_asof(src.order_facts(spark, sf_dir), records, KEY, "season", ["record_key", "durable_key"])
+    return held.select("order_id", "season", "record_key", "durable_key")
+
+
 # Idempotent pipelines
 
 
@@ -435,7 +484,7 @@ def additivity_by_window(spark, sf_dir):
 def additive_rollup(spark, sf_dir):
     events = _user_events(spark, sf_dir)
     finer = dims.entity_counts(events, ["event_type", "cohort"], "user_id", ["value"])
-    checked = dims.additivity_check(events, "user_id", "cohort")
+    checked = dims.additivity_checks(events, "user_id", ["cohort"])
     summed = dims.additive_rollup(finer, ["event_type"], ["value"], checked)
     recounted = dims.entity_counts(events, ["cohort"], "user_id", ["value"])
     columns = [F.col("value").cast("double").alias("value"), "entities"]
@@ -448,6 +497,48 @@ def additive_rollup(spark, sf_dir):
     return by_type.unionByName(by_cohort)
 
 
+def _user_days(spark, sf_dir):
+    return src.table(spark, sf_dir, "events").select("user_id", F.datediff("ts", F.lit(EPOCH)).alias("day"))
+
+
+def _activity(bits):
+    week, month = (bithistory.active_periods(F.col("activity"), n) for n in (7, 28))
+    return bits.select(
+        "user_id",
+        "as_of",
+        bithistory.active_periods(F.col("activity")).alias("days_active"),
+        week.alias("days_of_7"),
+        month.alias("days_of_28"),
+        bithistory.active_in(F.col("activity"), 0).alias("is_active"),
+        bithistory.periods_since(F.col("activity")).alias("days_since"),
+        bithistory.longest_run(F.col("activity")).alias("longest_run"),
+        bithistory.is_returning(F.col("activity"), 3).alias("returned_after_3"),
+    )
+
+
+@query
+def activity_bits(spark, sf_dir):
+    """Each user's days as one integer on the last day, and what masks read from it."""
+    return _activity(bithistory.activity_bits(_user_days(spark, sf_dir), "user_id", "day", LAST_DAY))
+
+
+@query
+def activity_bits_step(spark, sf_dir):
+    """The same, from the integers of three days before and one step per day."""
+    days = _user_days(spark, sf_dir)
+    bits = bithistory.activity_bits(days, "user_id", "day", LAST_DAY - 3)
+    for day in range(LAST_DAY - 2, LAST_DAY + 1):
+        bits = bithistory.activity_step(bits, days, "user_id", "day", day)
+    return _activity(bits)
+
+
+@query
+def activity_retention(spark, sf_dir):
+    """Of the users first seen on a day, how many came back n days later, for every n."""
+    bits = bithistory.activity_bits(_user_days(spark, sf_dir), "user_id", "day", LAST_DAY)
+    return bithistory.retention(bits)
+
+
 @query
 def enum_validate(spark, sf_dir):
     domains = {
@@ -727,13 +818,9 @@ def fact_normalize_narrow(spark, sf_dir):
 
 
 def _event_facts(spark, sf_dir):
-    """Some logs are broken and some come twice."""
     c = F.col
-    events = src.table(spark, sf_dir, "events")
-    broken = F.when(c("event_id") % 50 == 7, F.concat(F.lit("cut "), "props")).otherwise(c("props"))
-    events = events.withColumn("props", broken)
     return facts.raw_logs_to_facts(
-        events.unionByName(events.filter("event_id % 97 = 0")),
+        src.table(spark, sf_dir, "events"),
         {
             "event_id": (c("event_id"), "bigint"),
             "user_id": (c("user_id"), "bigint"),

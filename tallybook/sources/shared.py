@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -22,3 +22,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError(f"set {SETTING} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tallybook-")
     return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written below the shared folder and read again: computed once, and there for all who read them."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -33,16 +33,19 @@ def test_additivity_of_nothing(rides):
 
 def test_rollup(rides):
     by_town = dims.entity_counts(rides, ["kind", "town"], "driver", ["km"])
-    summed = dims.additive_rollup(by_town, ["kind"], ["km"], dims.additivity_check(rides, "driver", "town"))
+    summed = dims.additive_rollup(by_town, ["kind"], ["km"], dims.additivity_checks(rides, "driver", ["town"]))
     assert rows_of(summed, "kind", "km", "entities") == [("car", 19, 2), ("van", 7, 1)]
     by_kind = dims.entity_counts(rides, ["day", "kind"], "driver", ["km"])
     for checked in (
-        dims.additivity_check(rides, "driver", "kind"),
-        dims.additivity_check(rides, "driver", "kind", "day"),
-        dims.additivity_check(rides, "driver", "kind").limit(0),
+        dims.additivity_checks(rides, "driver", ["kind"]),
+        dims.additivity_checks(rides, "driver", ["kind", "town"]),
+        dims.additivity_checks(rides, "driver", ["town"]),  # additive, but another dimension goes
+        dims.additivity_checks(rides, "driver", ["kind"]).limit(0),
     ):
         with pytest.raises(Exception, match="not additive"):
             dims.additive_rollup(by_kind, ["day"], ["km"], checked).collect()
+    with pytest.raises(ValueError, match="name its dimension"):
+        dims.additive_rollup(by_kind, ["day"], ["km"], dims.additivity_check(rides, "driver", "town"))
     right = dims.entity_counts(rides, ["day"], "driver", ["km"])
     assert rows_of(right, "day", "km", "entities") == [(1, 13, 2), (2, 13, 2)]
 
