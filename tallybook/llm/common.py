@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +39,37 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_SCRATCH: list[list[tuple[str, str]]] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written below the cluster's shared folder and read again: cuts the lineage."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
+    if _SCRATCH:
+        _SCRATCH[-1].append((name, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession, keep: tuple[str, ...]) -> Iterator[None]:
+    """Tables ``written`` within are removed at the end, but for those whose names start with one
+    of ``keep``: what comes out may read no others, except through tables written from them."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        made = _SCRATCH.pop()
+        kept = [x for x in made if x[0].startswith(keep)]
+        if _SCRATCH:
+            _SCRATCH[-1].extend(kept)
+        jvm = spark.sparkContext._jvm
+        for _, path in made:
+            if not any(path == other for _, other in kept):
+                folder = jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def words(text: Column) -> Column:
     """The words of a text: runs of anything but space and 0x09 to 0x0D. Null: none."""
     found = F.filter(F.split(text, BREAK_CLASS), lambda x: x != F.lit(""))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import words, written
+from tallybook.llm.common import scratch, words, written
 
 MOST_COPIES = 3
 # Documents that one task reduces at a time, and cells that one step of the tree joins.
@@ -101,24 +101,10 @@ def _reduce(rows: DataFrame, schema: str, level: int, last: bool) -> DataFrame:
     return rows.groupBy("source", "cell").applyInArrow(reduce, schema)
 
 
-def mix(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    most: int = MOST_COPIES,
-    drawn_by: Sequence[str] | None = None,
-) -> DataFrame:
-    """(id, size, source_size, target, taken, copies) of every document.
-
-    A document's size is its number of words; it is taken in whole copies, ``most`` at most. A
-    null text has no words and takes none, in one copy or more; a source without words has
-    target 0. Each source's words differ from its target by less than one copy of one document.
-    Rows with the same identifier are documents of their own. The draw follows from source and
-    identifiers alone, or the columns ``drawn_by`` where identifiers are only numbers of rows:
-    reruns agree, however the rows are spread. An empty table gives no rows; columns other than
-    those named play no part, whatever they are called; texts of any length are counted whole.
-    """
+def _decided(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, most: int, drawn_by: Sequence[str] | None
+) -> list[DataFrame]:
+    """The documents whose copies each level of the tree settles, in written tables."""
     kind = docs.schema[id_col].dataType.simpleString()
     sizes = written(
         docs.select(
@@ -162,6 +148,29 @@ def mix(
         rows = reduced.filter(~whole).withColumn("cell", F.floor(F.col("cell") / FAN_IN).cast("int"))
         rows_now = math.ceil(rows_now / FAN_IN)
         level += 1
+    return decided
+
+
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    most: int = MOST_COPIES,
+    drawn_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """(id, size, source_size, target, taken, copies) of every document.
+
+    A document's size is its number of words; it is taken in whole copies, ``most`` at most. A
+    null text has no words and takes none, in one copy or more; a source without words has
+    target 0. Each source's words differ from its target by less than one copy of one document.
+    Rows with the same identifier are documents of their own. The draw follows from source and
+    identifiers alone, or the columns ``drawn_by`` where identifiers are only numbers of rows:
+    reruns agree, however the rows are spread. An empty table gives no rows; columns other than
+    those named play no part, whatever they are called; texts of any length are counted whole.
+    """
+    with scratch(docs.sparkSession, keep=("mixed",)):
+        decided = _decided(docs, id_col, text_col, source_col, most, drawn_by)
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)

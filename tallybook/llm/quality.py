@@ -1,6 +1,6 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted target against the raw corpus.
 
-Both are multinomials over ``BUCKETS`` buckets of hashed words and word pairs. One is added to every
+Both are multinomials over ``BUCKETS`` buckets of hashed words and word pairs. A little is added to every
 raw count, and ``PRIOR`` n-grams spread like the raw corpus to the target's, so that a target like
 the raw corpus gives ratios of 0 however short its list is, and a short list moves them little. A
 document's score is the mean over its n-grams of the log of target probability
@@ -11,6 +11,7 @@ DataFrame functions: no Python runs on the executors.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,12 +20,19 @@ from pyspark.sql import functions as F
 from tallybook.llm.common import words
 
 BUCKETS = 1 << 14
+# What is added to each raw count (every judged document is part of the raw corpus, so this only
+# matters for buckets that occur nowhere).
+ADDED = 1 / 16
 # N-grams of the raw corpus's distribution that are added to the target.
-PRIOR = 1 << 16
-# Mean log ratio per n-gram from which a document is kept.
-THRESHOLD = -0.17
+PRIOR = 1 << 14
+# Mean log ratio per n-gram from which a document is kept, or the ratio's own level if lower.
+THRESHOLD = -0.12
 # Labelled documents that make up the trusted target, chosen by a hash of their identifier.
 TRUSTED_ROWS = 16_384
+# Share of the trusted documents that may score less than the ratio's level, and how far below a
+# negative level documents are still kept, as they may be of kinds that no trusted one shows.
+LEVEL_SHARE = 0.01
+LEVEL_MARGIN = 1.25
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "[#*$%&|<>]"
@@ -59,13 +67,18 @@ def word_hashes(found: Column) -> Column:
 
 @dataclass(frozen=True)
 class Ratio:
-    """Log ratio of each bucket, in order."""
+    """Log ratio of each bucket, in order, and the score that the trusted documents reach when
+    each is judged by the others."""
 
     logs: tuple[float, ...]
+    level: float = 0.0
 
     def column(self) -> Column:
-        packed = ",".join(repr(x) for x in self.logs)
-        return F.split(F.lit(packed), ",").cast("array<double>")
+        return _literal(self.logs)
+
+
+def _literal(values: Sequence[float]) -> Column:
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
 def fit(
@@ -99,12 +112,21 @@ def fit(
     targets, raws = sum(t for t, _ in found.values()), sum(r for _, r in found.values())
     if not targets:
         return Ratio((0.0,) * BUCKETS)
-    logs = []
-    for i in range(BUCKETS):
-        t, r = found.get(i, (0, 0))
-        usual = (r + 1) / (raws + BUCKETS)
-        logs.append(round(math.log((t + PRIOR * usual) / (targets + PRIOR) / usual), 6))
-    return Ratio(tuple(logs))
+    in_target = [float(found.get(i, (0, 0))[0]) for i in range(BUCKETS)]
+    usual = [(found.get(i, (0, 0))[1] + ADDED) / (raws + ADDED * BUCKETS) for i in range(BUCKETS)]
+    logs = [math.log((t + PRIOR * q) / (targets + PRIOR) / q) for t, q in zip(in_target, usual, strict=True)]
+
+    # each trusted document by the others: its own n-grams are taken out of the target first
+    own = marked.filter("_trusted is not null").select(
+        F.monotonically_increasing_id().alias("row"), buckets(word_hashes(words(F.col("_text")))).alias("b")
+    )
+    spread = own.select("row", F.size("b").alias("d"), F.explode("b").alias("bucket"))
+    spread = spread.groupBy("row", "d", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    t, q = F.get(_literal(in_target), F.col("bucket")), F.get(_literal(usual), F.col("bucket"))
+    without = F.log((t - F.col("n") + PRIOR * q) / (F.lit(targets) - F.col("d") + PRIOR) / q)
+    scores = spread.groupBy("row").agg((F.sum(F.col("n") * without) / F.first("d")).alias("s"))
+    level = scores.agg(F.percentile_approx("s", LEVEL_SHARE, 100_000)).first()[0]
+    return Ratio(tuple(round(x, 6) for x in logs), round(level, 6))
 
 
 def triples(hashes: Column) -> Column:
@@ -195,12 +217,13 @@ def judge(
     ratio: Ratio,
     id_col: str = "doc_id",
     text_col: str = "text",
-    threshold: float = THRESHOLD,
+    threshold: float | None = None,
 ) -> DataFrame:
     """Counts, ``base_failed``, ``score`` and ``kept`` of every document.
 
     A null or empty text has no words, fails the base rules and has no score. A document that
-    fails them is not kept; any other is kept if its score is ``threshold`` or more. The score
+    fails them is not kept; any other is kept if its score is ``threshold`` or more: by default ``THRESHOLD``, or ``LEVEL_MARGIN``
+    times the ratio's level where that is lower, as it is with a list too short to show all kinds of trusted documents. The score
     rests on the whole text and on nothing else, so equal texts get equal verdicts and repeated
     rows stay. Nothing is shuffled. An empty table gives no rows; other columns play no part,
     whatever their names. Texts of any length are judged whole; a task holds some 50 bytes per word
@@ -220,6 +243,8 @@ def judge(
     parts = F.zip_with(hashes, _next(hashes), of_word_and_pair)
     total = F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
     score = F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1))
+    if threshold is None:
+        threshold = min(THRESHOLD, LEVEL_MARGIN * ratio.level)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     kept = ~F.col("base_failed") & (F.coalesce(F.col("score"), F.lit(0.0)) >= threshold)
     judged = rows.select(id_col, *names, F.round(score, 9).alias("score")).withColumn("kept", kept)

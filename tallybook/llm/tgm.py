@@ -34,6 +34,7 @@ from tallybook.llm.common import (
     partitions,
     prefix,
     repeated,
+    scratch,
     spans,
     text_runs,
     unpacked,
@@ -276,22 +277,8 @@ def _sizes_fit(n: str, least: str, most: str, percent: int) -> Column:
     return (100 * F.col(most) >= percent * F.col(n)) & (percent * F.col(least) <= 100 * F.col(n))
 
 
-def jaccard_components(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = SHINGLE,
-    percent: int = PERCENT,
-) -> DataFrame:
-    """(id, n_shingles, component_id) of every document.
-
-    Documents are linked if their sets share at least ``percent`` of their union;
-    ``component_id`` is the smallest identifier that links reach, the document's own included.
-    Null and empty texts, and those without words, have no shingles and no links: they are
-    their own components. Rows with equal texts are linked, repeated rows included. Null
-    identifiers are passed over as component ids where the component has another.
-    """
-    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+def _classes(rows: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, n_shingles, print, comp) of every document, and the least document of each comp."""
     known = written(_candidates(rows, shingle, percent), "shingles")
     sets = known.filter("tokens is not null").groupBy("print").agg(F.first("tokens").alias("tokens"))
     sets = written(sets, "sets")
@@ -350,6 +337,27 @@ def jaccard_components(
     named = known.select("doc", "n_shingles", "print").join(comps, "print", "left")
     named = written(named.withColumn("comp", F.coalesce("comp", "print")), "named")
     least = written(named.filter("comp is not null").groupBy("comp").agg(F.min("doc").alias("least")), "least")
+    return named, least
+
+
+def jaccard_components(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """(id, n_shingles, component_id) of every document.
+
+    Documents are linked if their sets share at least ``percent`` of their union;
+    ``component_id`` is the smallest identifier that links reach, the document's own included.
+    Null and empty texts, and those without words, have no shingles and no links: they are
+    their own components. Rows with equal texts are linked, repeated rows included. Null
+    identifiers are passed over as component ids where the component has another.
+    """
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    with scratch(docs.sparkSession, keep=("named", "least")):
+        named, least = _classes(rows, shingle, percent)
     return named.join(least, "comp", "left").select(
         F.col("doc").alias(id_col), "n_shingles", F.coalesce("least", "doc").alias("component_id")
     )

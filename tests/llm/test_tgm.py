@@ -1,10 +1,13 @@
 import random
 import re
+from pathlib import Path
 
 import pytest
 
 from tallybook.llm import graph, tgm
 
+from tests.fixtures import rows_of
+
 from .fixtures import awkward, frame, sentence
 
 
@@ -101,3 +104,14 @@ def test_components(spark, seed):
     for a in got:
         for b in got:
             assert (got[a] == got[b]) == (find(parent, a) == find(parent, b))
+
+
+def test_intermediate_tables_are_removed(spark):
+    """What is left of the work is what the result reads; it can be read again and again."""
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.iterdir())
+    rows = awkward()
+    found = tgm.jaccard_components(frame(spark, rows))
+    left = {p.name.rsplit("-", 1)[0] for p in set(root.iterdir()) - before}
+    assert left == {"named", "least"}
+    assert rows_of(found) == rows_of(found) and found.count() == len(rows)
