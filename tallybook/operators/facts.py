@@ -8,6 +8,8 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybook.sources.shared import staged
+
 
 def first_per(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the first by ``order_by``, then by all other columns, so that the
@@ -33,6 +35,54 @@ def duplicate_report(df: DataFrame, grain: Sequence[str]) -> DataFrame:
     return df.groupBy(*grain).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
+def dedup_batch(df: DataFrame, grain: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """One row per grain, the one that ``fact_dedup`` keeps, and ``copies``, its number of rows.
+
+    Rows that already have ``copies`` count as so many, so results of several batches go through
+    this again, in any order and any grouping. It is an aggregate with a map-side half.
+    """
+    rest = [c for c in df.columns if c not in grain and c not in order_by and c != "copies"]
+    order = [*order_by, *rest]
+    copies = F.sum("copies") if "copies" in df.columns else F.count(F.lit(1))
+    if not order:
+        return df.groupBy(*grain).agg(copies.alias("copies"))
+    kept = df.groupBy(*grain).agg(F.min(F.struct(*order)).alias("_first"), copies.alias("copies"))
+    columns = [c if c in grain else f"_first.{c}" for c in df.columns if c != "copies"]
+    return kept.select(*columns, "copies")
+
+
+def dedup_feed(
+    nodes: Sequence[tuple[int, DataFrame]],
+    batch: DataFrame,
+    grain: Sequence[str],
+    order_by: Sequence[str] = (),
+) -> list[tuple[int, DataFrame]]:
+    """``nodes`` and one more batch of a feed: a list of (number of batches, their rows by
+    ``dedup_batch``), each with more batches than the next.
+
+    The new batch is reduced alone; then the last two nodes merge while they hold as many batches.
+    After n batches there are log2(n) nodes at most, and a row was merged as often at most, so a
+    batch costs its path and not all that came before. Nodes are written, and stay for those who
+    hold earlier lists.
+    """
+    size, rows = 1, dedup_batch(batch, grain, order_by)
+    kept = list(nodes)
+    while kept and kept[-1][0] == size:
+        rows = dedup_batch(kept.pop()[1].unionByName(rows), grain, order_by)
+        size *= 2
+    return [*kept, (size, staged(rows, "feed"))]
+
+
+def dedup_rows(
+    nodes: Sequence[tuple[int, DataFrame]], grain: Sequence[str], order_by: Sequence[str] = ()
+) -> DataFrame:
+    """The whole feed: ``fact_dedup`` of all its batches, with ``copies``."""
+    rows = nodes[0][1]
+    for _, node in nodes[1:]:
+        rows = rows.unionByName(node)
+    return rows if len(nodes) == 1 else dedup_batch(rows, grain, order_by)
+
+
 def unique_dimension(dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """``dim`` as it is, except that a key held twice fails the query that reads it.
 

@@ -193,6 +193,16 @@ mini as (
 _LAST_FLAT = f"select * from snaps where current_season = {LAST_YEAR}"
 _BEFORE_FLAT = f"select * from snaps where current_season = {BEFORE}"
 
+BAG = """
+bag as (
+  select doc_id, key, kind from (
+    select d.doc_id, unnest(['lang', 'n_chars', 'quality', 'toxic']) as key,
+           unnest(['STRING', 'BIGINT', 'BIGINT', 'BIGINT']) as kind,
+           unnest([lang is not null, n_chars is not null, quality is not null, toxic is not null]) as filled
+    from documents d left join labels l on l.doc_id = d.doc_id)
+  where filled)
+"""
+
 ORACLES: dict[str, str] = {
     "cumulative_step": f"with {SNAPS} {_LAST_FLAT}",
     "cumulative_step_without_activity": f"""
@@ -540,6 +550,72 @@ ORACLES: dict[str, str] = {
             order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate
             rows unbounded preceding) as nth from lineitem)
         where nth = 1""",
+    "variant_fill_rates": f"""
+        with {BAG}
+        select key, count(*) as n_filled, any_value(kind) as value_type,
+               2 * count(*) >= (select count(*) from documents) as is_promoted
+        from bag group by key""",
+    "variant_promotion": f"""
+        with {BAG},
+        often as (
+          select key from bag group by key having 2 * count(*) >= (select count(*) from documents)),
+        seldom as (
+          select doc_id, string_agg(key, ',' order by key) as keys
+          from bag where key not in (from often) group by doc_id)
+        select d.doc_id, lang, n_chars, quality, toxic, coalesce(keys, '') as left_in_bag
+        from documents d left join labels l on l.doc_id = d.doc_id
+        left join seldom s on s.doc_id = d.doc_id""",
+    "variant_demotion": f"""
+        with {BAG},
+        held as (select doc_id, string_agg(key, ',' order by key) as keys from bag group by doc_id)
+        select d.doc_id, lang, n_chars, quality, toxic, coalesce(keys, '') as in_bag
+        from documents d left join labels l on l.doc_id = d.doc_id
+        left join held h on h.doc_id = d.doc_id""",
+    "team_reach": f"""
+        with recursive {DETAILS},
+        ends as (
+          select 'player' as kind, player_id::varchar as a, 'game' as bt, game_id::varchar as b
+          from one_each
+          union select 'player', player_id::varchar, 'team', r.team from one_each),
+        ways as (from ends union all select bt, b, kind, a from ends),
+        walk as (
+          select distinct r.team as seed, 'team' as t, r.team as v, 0 as hops from one_each
+          union
+          select seed, bt, b, hops + 1 from walk join ways on kind = t and a = v where hops < 3)
+        select 'team' as seed_type, seed as seed_identifier, t as type, v as identifier,
+               min(hops) as hops
+        from walk group by all""",
+    "game_reach": f"""
+        with {DETAILS}
+        select 'player' as seed_type, player_id::varchar as seed_identifier, 'game' as type,
+               game_id::varchar as identifier, 1 as hops from one_each
+        union
+        select 'player', player_id::varchar, 'team', r.team, 1 from one_each
+        union
+        select 'player', player_id::varchar, 'player', player_id::varchar, 0 from details""",
+    "rival_components": f"""
+        with recursive {DETAILS}, {PAIRS},
+        rivals as (
+          select subject::varchar as a, object::varchar as b from pairs
+          where 2 * num_games * (select count(*) from pairs)
+                > 3 * (select sum(num_games) from pairs)),
+        ways as (from rivals union select b, a from rivals),
+        walk as (
+          select distinct player_id::varchar as v, player_id::varchar as root from details
+          union
+          select b, root from walk join ways on a = v)
+        select 'player' as type, v as identifier, 'player' as component_type,
+               min(root) as component_identifier
+        from walk group by v""",
+    "feed_dedup": """
+        select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+               strftime(l_shipdate, '%Y-%m-%d') as l_shipdate, copies from (
+          select *, count(*) over (partition by l_orderkey, l_linenumber) as copies,
+                 row_number() over (
+                   partition by l_orderkey, l_linenumber
+                   order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) as nth
+          from lineitem)
+        where nth = 1""",
     "duplicate_report": """
         select l_orderkey, l_linenumber, count(*) as copies
         from lineitem group by all having count(*) > 1""",

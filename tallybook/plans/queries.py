@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import classify, first_entry, last_entry, prop, props, recency_step
-from tallybook.operators import bithistory, cumulative, dims, facts, graph, hybrid, idempotent, scd
+from tallybook.operators import bithistory, cumulative, dims, facts, graph, hybrid, idempotent, reach, scd, variants
 from tallybook.operators.checks import check
 from tallybook.sources import tables as src
-from tallybook.sources.shared import shared_folder
+from tallybook.sources.shared import shared_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -618,6 +618,51 @@ def flexible_schema(spark, sf_dir):
     )
 
 
+def _variants(spark, sf_dir):
+    documents = src.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    labelled = documents.join(src.table(spark, sf_dir, "labels"), "doc_id", "left")
+    return staged(variants.fold_properties(labelled, ["doc_id"], LABELS), "variants")
+
+
+LABELS = {"lang": "string", "n_chars": "bigint", "quality": "int", "toxic": "int"}
+
+
+@query
+def variant_fill_rates(spark, sf_dir):
+    """How often each property is filled, and whether that earns it a column."""
+    rates = variants.fill_rates(_variants(spark, sf_dir))
+    return rates.select(
+        "key", "n_filled", "value_type", (F.col("fill_rate") >= variants.MIN_FILL).alias("is_promoted")
+    )
+
+
+@query
+def variant_promotion(spark, sf_dir):
+    """Properties by key, once the often filled ones have columns, and the keys left in the bag."""
+    folded = _variants(spark, sf_dir)
+    rows = variants.promote(folded, variants.promoted_keys(folded))
+    left = F.array_sort(F.map_keys(F.col("properties").cast("map<string,variant>")))
+    return rows.select(
+        "doc_id",
+        *[variants.value_of(rows, key, kind).alias(key) for key, kind in LABELS.items()],
+        F.array_join(left, ",").alias("left_in_bag"),
+    )
+
+
+@query
+def variant_demotion(spark, sf_dir):
+    """All columns back in the bag: what each row holds is what it held before."""
+    folded = _variants(spark, sf_dir)
+    keys = variants.promoted_keys(folded)
+    rows = variants.demote(variants.promote(folded, keys), list(keys))
+    held = F.array_sort(F.map_keys(F.col("properties").cast("map<string,variant>")))
+    return rows.select(
+        "doc_id",
+        *[variants.property_of("properties", key, kind).alias(key) for key, kind in LABELS.items()],
+        F.array_join(held, ",").alias("in_bag"),
+    )
+
+
 # Property graph
 
 
@@ -746,6 +791,44 @@ def graph_integrity(spark, sf_dir):
     return graph.graph_integrity(vertices, edges)
 
 
+def _played(spark, sf_dir):
+    details = src.game_details(spark, sf_dir)
+    return graph.plays_in_edges(details, order_by=src.DETAIL_ORDER).unionByName(
+        graph.plays_on_edges(details, src.DETAIL_ORDER)
+    )
+
+
+@query
+def team_reach(spark, sf_dir):
+    """From every team to players, their games and other teams, whichever way the edges point."""
+    teams = graph.plays_on_edges(src.game_details(spark, sf_dir), src.DETAIL_ORDER).select(
+        F.col("object_type").alias("type"), F.col("object_identifier").alias("identifier")
+    )
+    return reach.neighbourhoods(_played(spark, sf_dir), teams, hops=3)
+
+
+@query
+def game_reach(spark, sf_dir):
+    """From every player along the edges' direction: the player's games and teams."""
+    players = _players_of(spark, sf_dir).select("type", "identifier")
+    return reach.neighbourhoods(_played(spark, sf_dir), players, hops=2, directed=True)
+
+
+def _rivals(spark, sf_dir):
+    """Pairs that met in more than one and a half times as many games as the average pair."""
+    pairs = staged(_fields(_pair_edges(spark, sf_dir), {"num_games": "bigint"}), "pairs")
+    total = pairs.agg(F.sum("num_games").alias("n")).scalar()
+    count = pairs.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return pairs.filter(2 * F.col("num_games") * count > 3 * total)
+
+
+@query
+def rival_components(spark, sf_dir):
+    """Groups of players bound by frequent meetings; a player without such is alone."""
+    players = _players_of(spark, sf_dir).select("type", "identifier")
+    return reach.components(_rivals(spark, sf_dir), players)
+
+
 # Facts
 
 
@@ -768,6 +851,19 @@ def duplicate_report(spark, sf_dir):
     return facts.duplicate_report(_lines(spark, sf_dir), GRAIN)
 
 
+@query
+def feed_dedup(spark, sf_dir):
+    """Lines as a feed with a batch per ship year, each merged up the tree as it comes."""
+    lines = _lines(spark, sf_dir).withColumn("_year", F.year("l_shipdate"))
+    years = sorted((r[0] for r in lines.select("_year").distinct().collect()), key=lambda y: (y is None, y))
+    nodes = []
+    for year in years:
+        batch = lines.filter(F.col("_year").eqNullSafe(year)).drop("_year")
+        nodes = facts.dedup_feed(nodes, batch, GRAIN, LINE[2:])
+    rows = facts.dedup_rows(nodes, GRAIN, LINE[2:])
+    return rows.withColumn("l_shipdate", F.to_date("l_shipdate").cast("string"))
+
+
 def _denormalized(spark, sf_dir):
     """Nation and region are joined to the suppliers, so that lines are joined twice only."""
     c = F.col
