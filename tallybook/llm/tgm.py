@@ -154,64 +154,85 @@ def _candidates(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     return dealt.groupBy("grp").cogroup(near.groupBy("grp")).applyInArrow(judged, _SETS.format(kind=kind))
 
 
-_COUNTED = pa.schema([("grp", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_COUNTED = pa.schema(
+    [("grp", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+)
+
+
+def _counter(token: np.ndarray, blocks: int) -> np.ndarray:
+    """The counter of a token: its block, and 32 bits within it. Tokens that share one are counted
+    together, everywhere alike, so that the order by frequency stays one order for all sets."""
+    return _block_of(token, blocks).astype(np.uint64) << np.uint64(32) | _low(token)
 
 
-def _deciding(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, print, n): for each set that may still have a link, those of its deciding tokens
-    that another set has. Deciding are the first in the order of frequency and hash."""
-    spark = sets.sparkSession
+def _deciding(known: DataFrame, percent: int) -> DataFrame:
+    """For each set that may still have a link a row (print, n, tokens) with its tokens, and a row
+    (token, print, n) for those of its deciding tokens that another set has. Deciding are the first
+    in the order of frequency and hash. Sets cross the network once."""
+    spark = known.sparkSession
     groups, blocks = 3 * partitions(spark), partitions(spark)
-    dealt = grouped(sets, "print", groups)
+    sent = grouped(known.filter("tokens is not null").select("print", "tokens"), "print", groups)
+    # dealt first, so that equal sets are one without an exchange of their own
+    dealt = sent.repartition("grp").groupBy("grp", "print").agg(F.first("tokens").alias("tokens"))
 
     def counted(group: pa.Table) -> pa.Table:
-        keys, count = np.unique(unpacked(group["tokens"], np.uint64), return_counts=True)
-        where = _block_of(keys, blocks)
-        rows = pack(keys, where, group["grp"][0].as_py(), blocks)
+        token = unpacked(group["tokens"], np.uint64)
+        keys, count = np.unique(_counter(token, blocks), return_counts=True)
+        where = (keys >> np.uint64(32)).astype(np.int32)
+        rows = pack(_low(keys), where, group["grp"][0].as_py(), blocks)
         counts = pack(count.astype(np.int32), where, 0, blocks)
         table = cells_table(rows)
         return table.append_column("counts", pa.array([x[2] for x in counts], pa.binary()))
 
     def summed(cell: pa.Table) -> pa.Table:
-        packed = [np.frombuffer(x, np.uint64) for x in cell["keys"].to_pylist()]
+        packed = [np.frombuffer(x, np.uint32) for x in cell["keys"].to_pylist()]
         count = unpacked(cell["counts"], np.int32)
         _, place = np.unique(np.concatenate(packed), return_inverse=True)
-        total = np.bincount(place, count).astype(np.int64)[place]
+        total = np.minimum(np.bincount(place, count), 2**31 - 1).astype(np.int32)[place]
         bounds = np.cumsum([0, *map(len, packed)])
-        rows = []
+        block, rows = cell["block"][0].as_py(), []
         for grp, keys, a, b in zip(cell["grp"].to_pylist(), packed, bounds[:-1], bounds[1:], strict=True):
             several = total[a:b] > 1
             if several.any():
-                rows.append((grp, keys[several].tobytes(), total[a:b][several].tobytes()))
-        columns = list(zip(*rows, strict=True)) if rows else [(), (), ()]
+                rows.append((grp, block, keys[several].tobytes(), total[a:b][several].tobytes()))
+        columns = list(zip(*rows, strict=True)) if rows else [()] * 4
         return pa.table([pa.array(c, t) for c, t in zip(columns, _COUNTED.types, strict=True)], _COUNTED)
 
     def chosen(group: pa.Table, reply: pa.Table) -> pa.Table:
-        keys, count = unpacked(reply["keys"], np.uint64), unpacked(reply["counts"], np.int64)
+        packed = [np.frombuffer(x, np.uint32) for x in reply["keys"].to_pylist()]
+        block = np.repeat(np.array(reply["block"].to_pylist(), np.uint64), [len(x) for x in packed])
+        low = np.concatenate([np.zeros(0, np.uint32), *packed])
+        keys, count = block << np.uint64(32) | low, unpacked(reply["counts"], np.int32)
         order = np.argsort(keys)
         keys, count = keys[order], count[order]
-        tokens, prints, sizes = [], [], []
-        for print_, packed in zip(group["print"].to_pylist(), group["tokens"].to_pylist(), strict=True):
-            own = np.frombuffer(packed, np.uint64)
-            at, found = _place(own, keys)
+        token, print_, size, tokens = [], [], [], []
+        for name, raw in zip(group["print"].to_pylist(), group["tokens"].to_pylist(), strict=True):
+            own = np.frombuffer(raw, np.uint64)
+            at, found = _place(_counter(own, blocks), keys)
             often = np.where(found, count[at] if len(count) else 0, 1)
             n = len(own)
             first = np.lexsort((own, often))[: int(_spare(np.int64(n), percent)) + 1]
             first = first[often[first] > 1]
-            tokens.append(own[first].astype(np.int64))
-            prints += [print_] * len(first)
-            sizes += [n] * len(first)
-        token = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
+            if len(first):
+                token += [None, *own[first].astype(np.int64).tolist()]
+                print_ += [name] * (1 + len(first))
+                size += [n] * (1 + len(first))
+                tokens += [raw] + [None] * len(first)
         return pa.table(
-            [pa.array(token, pa.int64()), pa.array(prints, pa.binary()), pa.array(sizes, pa.int64())],
-            names=["token", "print", "n"],
+            [
+                pa.array(token, pa.int64()),
+                pa.array(print_, pa.binary()),
+                pa.array(size, pa.int64()),
+                pa.array(tokens, pa.binary()),
+            ],
+            names=["token", "print", "n", "tokens"],
         )
 
     schema = CELL + ", counts binary"
     often = dealt.groupBy("grp").applyInArrow(counted, schema).groupBy("block")
-    replies = often.applyInArrow(summed, "grp int, keys binary, counts binary")
+    replies = often.applyInArrow(summed, "grp int, block int, keys binary, counts binary")
     return dealt.groupBy("grp").cogroup(replies.groupBy("grp")).applyInArrow(
-        chosen, "token long, print binary, n long"
+        chosen, "token long, print binary, n long, tokens binary"
     )
 
 
@@ -236,7 +257,8 @@ def _opened(visits: DataFrame, members: DataFrame, sets: DataFrame, percent: int
     chunks = visits.select("lead", "part", "chunk").distinct()
     hosts = members.select("lead", "part", F.col("print").alias("host"), F.col("comp").alias("host_comp"))
     own = sets.select(F.col("print").alias("host"), F.col("tokens").alias("host_tokens"))
-    hosts = hosts.join(chunks, ["lead", "part"]).join(own, "host")
+    # written, so that Spark knows how few they are before it would shuffle all sets
+    hosts = written(hosts.join(chunks, ["lead", "part"]), "hosts").join(own, "host")
     keys = ["lead", "part", "chunk"]
     hosts = hosts.select("host", "host_comp", "host_tokens", *[F.col(k).alias(f"host_{k}") for k in keys])
     guests = visits.join(sets, "print")
@@ -280,9 +302,9 @@ def _sizes_fit(n: str, least: str, most: str, percent: int) -> Column:
 def _classes(rows: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(doc, n_shingles, print, comp) of every document, and the least document of each comp."""
     known = written(_candidates(rows, shingle, percent), "shingles")
-    sets = known.filter("tokens is not null").groupBy("print").agg(F.first("tokens").alias("tokens"))
-    sets = written(sets, "sets")
-    index = written(_deciding(sets, percent), "deciding")
+    deciding = written(_deciding(known, percent), "deciding")
+    sets = deciding.filter("tokens is not null").select("print", "tokens")
+    index = deciding.filter("tokens is null").select("token", "print", "n")
 
     # leaders: of each token the first set that has it; a set visits its tokens' leaders
     leaders = index.groupBy("token").agg(F.min(F.struct("print", "n")).alias("first"))
