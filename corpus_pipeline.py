@@ -53,8 +53,10 @@ def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     groups = tgm.jaccard_components(rows.select("row", "text"), "row", shingle=SHINGLE, percent=PERCENT)
     members = groups.select("row", "component_id").join(rows.select("row", "doc_id"), "row")
     first = F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
-    stay = members.groupBy("component_id").agg(first.alias("row")).select("row")
-    return rows.join(stay, "row", "left_semi").select(*COLUMNS)
+    families = members.groupBy("component_id").agg(first.alias("stays"), F.count(F.lit(1)).alias("n"))
+    copies = members.join(families.filter("n > 1"), "component_id").filter("row != stays")
+    # written, so that Spark knows their size: texts are shuffled only if they are too many to broadcast
+    return rows.join(written(copies.select("row"), "copies"), "row", "left_anti").select(*COLUMNS)
 
 
 def drop_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
