@@ -1,10 +1,13 @@
 from datetime import date, datetime
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tallybook.operators import facts
+from tallybook.plans import ORACLES, QUERIES
 from tests.fixtures import rows_of
+from tests.oracle import differences
 
 
 @pytest.fixture
@@ -81,6 +84,28 @@ def test_raw_logs(spark):
     )
 
 
+def test_every_event_is_judged(spark, tmp_path):
+    """The query and its SQL on events of which each has another fault, or none."""
+    day, sound = datetime(2024, 1, 9, 23), '{"k": 5}'
+    events = [
+        (1, 7, "click", 2.5, sound, day), (1, 6, "view", 9.0, sound, day), (1, 6, "error", 0.0, sound, day),
+        (2, 7, "view", 1.0, "cut", day), (3, 7, "view", 1.0, "[5]", day), (4, 7, "view", 1.0, '{"k": "many"}', day),
+        (5, 7, "view", 1.0, '{"k": 1.5}', day), (6, 7, "view", 1e30, sound, day), (7, 7, "view", float("nan"), sound, day),
+        (None, 7, "view", 1.0, sound, day), (None, 7, "view", 1.0, sound, day), (8, 7, "error", 1.0, sound, day),
+        (9, 7, None, 1.0, sound, day), (10, None, "signup", None, None, None), (11, 7, "purchase", 3.0, "{}", day),
+        (11, 7, "purchase", 3.0, "{}", day), (12, 7, "view", 1.0, "", day), (13, 7, "view", 1.0, "cut", day),
+        (13, 7, "view", 1.0, sound, day),
+    ]
+    schema = "event_id long, user_id long, event_type string, value double, props string, ts timestamp_ntz"
+    spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    found = {name: QUERIES[name](spark, str(tmp_path)) for name in ("raw_logs_to_facts",)}
+    for name, df in found.items():
+        assert differences(con, ORACLES[name], df) == []
+    assert found["raw_logs_to_facts"].count() == 6
+
+
 def test_five_w(spark):
     df = spark.createDataFrame([(1, "buy", None), (2, None, None)], "u int, a string, p string")
     shaped, rates = facts.fact_five_w(df, F.col("u"), F.col("a"), F.col("p"), F.lit("2024"), F.lit("log"))
