@@ -85,7 +85,7 @@ def test_raw_logs(spark):
 
 
 def test_every_event_is_judged(spark, tmp_path):
-    """The query and its SQL on events of which each has another fault, or none."""
+    """The queries and their SQL on events of which each has another fault, or none."""
     day, sound = datetime(2024, 1, 9, 23), '{"k": 5}'
     events = [
         (1, 7, "click", 2.5, sound, day), (1, 6, "view", 9.0, sound, day), (1, 6, "error", 0.0, sound, day),
@@ -100,10 +100,19 @@ def test_every_event_is_judged(spark, tmp_path):
     spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
     con = duckdb.connect()
     con.execute(f"create view events as select * from read_parquet('{tmp_path}/events.parquet/*.parquet')")
-    found = {name: QUERIES[name](spark, str(tmp_path)) for name in ("raw_logs_to_facts",)}
+    found = {name: QUERIES[name](spark, str(tmp_path)) for name in ("raw_logs_to_facts", "raw_logs_rejects")}
     for name, df in found.items():
         assert differences(con, ORACLES[name], df) == []
     assert found["raw_logs_to_facts"].count() == 6
+    assert rows_of(found["raw_logs_rejects"], "event_id", "reason") == sorted(
+        [
+            (1, "event_id: copy"), (1, "action: not in domain"), (2, "props: not JSON"), (3, "props: not JSON"),
+            (4, "place: not a int"), (5, "place: not a int"), (6, "amount: not a decimal(18,2)"),
+            (7, "amount: not a decimal(18,2)"), (None, "event_id: missing"), (None, "event_id: missing"),
+            (8, "action: not in domain"), (11, "event_id: copy"), (13, "props: not JSON"),
+        ],
+        key=repr,
+    )
 
 
 def test_five_w(spark):
