@@ -73,7 +73,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     document of its own, whatever its identifier; the draw follows from identifier and text."""
     rows = _numbered(docs, "rows")
     mixed = mixing.mix(rows, "row", drawn_by=("doc_id", "text"))
-    return mixing.repeat(rows, mixed, "row").select(*COLUMNS)
+    return mixing.repeat_numbered(rows, mixed, "row").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

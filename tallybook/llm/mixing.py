@@ -189,3 +189,24 @@ def repeat(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFra
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+
+
+def repeat_numbered(docs: DataFrame, mixed: DataFrame, id_col: str = "row") -> DataFrame:
+    """``repeat`` for rows numbered by ``monotonically_increasing_id``, all of which are in the mix.
+
+    The copies of a partition's rows are one array, in their order, written as a few bits for each
+    row. So texts are shuffled only if these arrays are too large to broadcast.
+    """
+    number = F.col(id_col)
+    part, place = F.shiftright(number, 33), number.bitwiseAND((1 << 33) - 1)
+    listed = mixed.select(
+        part.alias("_part"), F.struct(place.alias("at"), F.col("copies").cast("tinyint").alias("n")).alias("_row")
+    )
+    gap = F.raise_error(F.lit("rows of a partition are missing in the mix or come twice"))
+    whole = (F.max("_row.at") == F.count(F.lit(1)) - 1) & (F.min("_row.at") == 0)
+    in_order = F.transform(F.array_sort(F.collect_list("_row")), lambda x: x["n"])
+    taken = listed.groupBy("_part").agg(F.when(whole, in_order).otherwise(gap).alias("_taken"))
+    joined = docs.join(written(taken, "taken"), part == F.col("_part"))
+    found = joined.withColumn("_n", F.get("_taken", place.cast("int"))).filter("_n > 0")
+    repeated = found.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -255,18 +255,18 @@ def _opened(visits: DataFrame, members: DataFrame, sets: DataFrame, percent: int
     """
     visits = written(_split(visits, ["lead", "part"], "print", "chunk"), "visits")
     chunks = visits.select("lead", "part", "chunk").distinct()
-    hosts = members.select("lead", "part", F.col("print").alias("host"), F.col("comp").alias("host_comp"))
-    own = sets.select(F.col("print").alias("host"), F.col("tokens").alias("host_tokens"))
-    # written, so that Spark knows how few they are before it would shuffle all sets
-    hosts = written(hosts.join(chunks, ["lead", "part"]), "hosts").join(own, "host")
+    hosts = members.select("lead", "part", "print", "comp")
+    # written, so that Spark knows how few they are before it would shuffle all sets; where it has to,
+    # hosts and visitors ask for the sets in the same words and share that exchange
+    hosts = written(hosts.join(chunks, ["lead", "part"]), "hosts").join(sets, "print")
     keys = ["lead", "part", "chunk"]
-    hosts = hosts.select("host", "host_comp", "host_tokens", *[F.col(k).alias(f"host_{k}") for k in keys])
+    hosts = hosts.select(*[F.col(c).alias(f"host_{c}") for c in ("print", "comp", "tokens", *keys)])
     guests = visits.join(sets, "print")
 
     def compared(guest: pa.Table, host: pa.Table) -> pa.Table:
         links: list[tuple[bytes, bytes]] = []
         if len(guest) and len(host):
-            names, comps = host["host"].to_pylist(), host["host_comp"].to_pylist()
+            names, comps = host["host_print"].to_pylist(), host["host_comp"].to_pylist()
             packed = [np.frombuffer(x, np.uint64) for x in host["host_tokens"].to_pylist()]
             size = np.array([len(x) for x in packed])
             token = np.concatenate(packed)

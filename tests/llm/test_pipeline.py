@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from tallybook.llm import lang, tokens
+from tallybook.llm import lang, mixing, tokens
 
 from .fixtures import SCHEMA, awkward, frame, sentence
 from .test_bwt import brute as shared_brute
@@ -95,6 +96,21 @@ def test_near_copies_of_five_words_and_80_percent(spark):
     assert got & set(range(12, 24)) == {13, 15, 17, 19, 21, 23}
 
 
+@pytest.fixture
+def settings(spark):
+    """Sets Spark's settings for one test."""
+    before = {}
+
+    def put(values):
+        before.update({k: spark.conf.get(k) for k in values})
+        for k, v in values.items():
+            spark.conf.set(k, v)
+
+    yield put
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 def test_run_and_rerun(spark, tmp_path):
     frame(spark, [(i, t) for i, t, *_ in corpus()]).write.parquet(f"{tmp_path}/documents.parquet")
     one, two = (pipeline.run(spark, str(tmp_path)).collect() for _ in range(2))
@@ -159,6 +175,22 @@ def test_stages_on_awkward_rows(spark):
     )
 
 
+def test_mix_shuffles_no_texts_for_its_copies(spark, settings):
+    """The copies of 20,000 documents are broadcast as a few kilobytes, and each text comes as often."""
+    settings({"spark.sql.autoBroadcastJoinThreshold": "16k"})
+    rows = [(i % 700 or None, f"{'w ' * (i % 5)}x{i}", "en", f"s{i % 3}", 9) for i in range(20_000)]
+    docs = pipeline.written(spark.createDataFrame(rows, SCHEMA), "test-mix")
+    out = dict(pipeline.STAGES)["mix"](spark, docs, "")
+    told = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in told and "SortMergeJoin" not in told
+    got = out.collect()
+    numbered = pipeline._numbered(docs, "rows")
+    mixed = mixing.mix(numbered, "row", drawn_by=("doc_id", "text"))
+    assert sorted(got, key=repr) == sorted(mixing.repeat(numbered, mixed, "row").select(*pipeline.COLUMNS).collect(), key=repr)
+    with pytest.raises(Exception, match="missing in the mix"):
+        mixing.repeat_numbered(numbered, mixed.filter("row != 0"), "row").collect()
+
+
 def test_language_rejects_by_the_stated_rule(spark):
     """No letter, or a score no better than a guess; without labels only the former."""
     texts = {"en": "the thing that they have", "fr": "le chat est dans la maison"}

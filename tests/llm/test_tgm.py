@@ -2,9 +2,11 @@ import random
 import re
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from tallybook.llm import graph, tgm
+from tallybook.llm.common import written
 
 from tests.fixtures import rows_of
 
@@ -115,3 +117,23 @@ def test_intermediate_tables_are_removed(spark):
     left = {p.name.rsplit("-", 1)[0] for p in set(root.iterdir()) - before}
     assert left == {"named", "least"}
     assert rows_of(found) == rows_of(found) and found.count() == len(rows)
+
+
+def test_hosts_and_visitors_share_the_exchange_of_sets(spark):
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        for k, v in zip(keys, ("false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        tokens = [np.arange(a, a + 20, dtype=np.uint64).tobytes() for a in (0, 1, 40)]
+        names = [bytes([i]) for i in range(3)]
+        sets = written(spark.createDataFrame(list(zip(names, tokens, strict=True)), "print binary, tokens binary"), "sets")
+        members = [(names[0], names[0], names[0], 0), (names[2], names[2], names[2], 0)]
+        visits = [(names[1], names[1], names[0], 0), (names[1], names[1], names[2], 0)]
+        columns = "print binary, comp binary, lead binary, part int"
+        links = tgm._opened(spark.createDataFrame(visits, columns), spark.createDataFrame(members, columns), sets, 90)
+        assert "ReusedExchange" in links._jdf.queryExecution().executedPlan().toString()
+        assert [(bytes(a), bytes(b)) for a, b in links.collect()] == [(names[1], names[0])]
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
