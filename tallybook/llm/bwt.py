@@ -9,7 +9,11 @@ among them keeps its copy.
 
 An anchor is the least of the runs of ``ANCHOR`` bytes within a string of the minimum length, so
 equal strings have equal anchors and meet in a block. A piece holds the strings that share one
-anchor at one place, some 84 bytes at most, whatever the document's length.
+anchor at one place, some 76 bytes at most, whatever the document's length.
+
+The larger a corpus, the more pieces have an anchor in common and nothing beyond it. So a block
+gives its transform only what may repeat: of each piece the part between the first and the last
+string whose wider anchor, found in the same way, another piece has too; equal parts once.
 
 An anchor that very many documents have, as one of a passage in a third of them, would make its
 block hot. Its strings are compared one by one instead, each in the block
@@ -18,6 +22,8 @@ of its own hash, and a group sends each once for all of its documents.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +33,7 @@ from tallybook.llm.common import (
     byte_values,
     first_least,
     grouped,
+    mix,
     partitions,
     prefix,
     spans,
@@ -37,7 +44,8 @@ from tallybook.llm.common import (
 from tallybook.llm.rlz import covered
 
 LENGTH = 50
-ANCHOR = 16
+# Bytes of an anchor: half a string, but no fewer than the first and no more than the second number.
+LEAST_ANCHOR, ANCHOR = 16, 24
 # Bytes of distinct pieces that one transform holds.
 BLOCK_BYTES = 1 << 19
 # An anchor is common if as many documents have it as this many partitions hold, and no fewer
@@ -73,8 +81,18 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
+def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The pieces in slices of some BLOCK_BYTES."""
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK_BYTES)))
+        yield at, upto
+        at = upto
+
+
 def _gather(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    return text[_ranges(starts, sizes)]
+    return np.concatenate([text[:0], *[text[_ranges(starts[a:b], sizes[a:b])] for a, b in _slices(sizes)]])
 
 
 def suffix_order(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
@@ -147,20 +165,71 @@ def least_ids(text: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int)
     return out[inner]
 
 
+def _squeezed(text: np.ndarray) -> bytes:
+    """Bytes compressed, after their number."""
+    return len(text).to_bytes(8, "little") + pa.compress(text.tobytes(), "zstd", asbytes=True)
+
+
+def _spread(texts: pa.ChunkedArray) -> np.ndarray:
+    """All that a column holds so, one after the other."""
+    out = [
+        pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd", asbytes=True) for x in texts.to_pylist() if x
+    ]
+    return np.frombuffer(b"".join(out), np.uint8)
+
+
 def _contents(text: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Hashes of pieces that lie one after the other, some BLOCK_BYTES at a time."""
+    """Hashes of pieces that lie one after the other."""
     ends = np.cumsum(sizes)
     out = [np.zeros(0, np.uint64)]
-    at = 0
-    while at < len(sizes):
-        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK_BYTES)))
-        first = ends[at] - sizes[at]
-        own = ends[at:upto] - first
-        out.append(spans(prefix(byte_values(text[first : ends[upto - 1]])), own - sizes[at:upto], own))
-        at = upto
+    for a, b in _slices(sizes):
+        first = ends[a] - sizes[a]
+        own = ends[a:b] - first
+        out.append(spans(prefix(byte_values(text[first : ends[b - 1]])), own - sizes[a:b], own))
     return np.concatenate(out)
 
 
+def _runs(text: np.ndarray, offsets: np.ndarray, length: int, width: int) -> tuple:
+    """Sums, and of each run of strings that share an anchor at one place its key, text, start and end.
+
+    An anchor has ``width`` bytes; no string crosses texts.
+    """
+    sums, keys, pick, whole = _anchored(text, offsets, length, width)
+    string = np.flatnonzero(whole)
+    head = _heads(pick[string])
+    last = np.r_[head[1:], len(string)][: len(head)] - 1
+    start = string[head]
+    row = np.searchsorted(offsets, start, "right") - 1
+    return sums, keys[pick[start]], row, start, string[last] + length
+
+
+def _shared_parts(
+    anchors: np.ndarray, begun: np.ndarray, sizes: np.ndarray, text: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, start, end) of the parts that hold all strings that different pieces may share.
+
+    Equal strings have equal wider anchors too, so a string whose wider anchor is alone among the
+    pieces of its anchor is in one piece only. Pieces without any other string are left out.
+    """
+    found = [(np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)]
+    for a, b in _slices(sizes):
+        offsets = np.r_[0, np.cumsum(sizes[a:b])]
+        _, key, row, start, end = _runs(
+            _gather(text, begun[a:b], sizes[a:b]), offsets, length, length - length // 5
+        )
+        # adjacent pieces of a text overlap, so wider anchors are told apart by the pieces' own
+        key = key + mix(anchors[a:b].astype(np.uint64))[row]
+        found.append((key, a + row, start - offsets[row], end - offsets[row]))
+    key, piece, start, end = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(key)
+    again = key[order[1:]] == key[order[:-1]]
+    repeated = np.zeros(len(key), bool)
+    repeated[order[1:][again]] = repeated[order[:-1][again]] = True
+    piece, start, end = piece[repeated], start[repeated], end[repeated]
+    head = _heads(piece)
+    return piece[head], start[head], end[np.r_[head[1:], len(piece)][: len(head)] - 1]
+
+
 def _piece_spans(
     anchors: np.ndarray,
     sizes: np.ndarray,
@@ -189,27 +258,47 @@ def _piece_spans(
     # in its smallest document a piece stays, but for strings that other pieces of a smaller one have
     keeper = np.flatnonzero(ids == lowest[same])
     keeper = keeper[np.argsort(same[keeper], kind="stable")]
+    part, lower, upper = _shared_parts(
+        anchor[several], begun[sample[several]], sizes[sample[several]], text, length
+    )
+    several = several[part]
+    own, begin = upper - lower, begun[sample[several]] + lower
+    # pieces that differ outside of their parts alone meet in one
+    _, first, alike = np.unique(
+        _contents(_gather(text, begin, own), own), return_index=True, return_inverse=True
+    )
+    by_anchor = np.argsort(first)
+    first = first[by_anchor]
+    alike = np.argsort(by_anchor)[alike]
+    least = np.full(len(first), _LAST)
+    np.minimum.at(least, alike, lowest[several])
+    members = np.argsort(alike, kind="stable")
+    bounds = np.searchsorted(alike[members], np.arange(len(first) + 1))
+    part_anchor = anchor[several[first]]
+    total = np.cumsum(own[first])
     at = 0
-    total = np.cumsum(sizes[sample[several]])
-    while at < len(several):
+    while at < len(first):
         # whole anchors, some BLOCK_BYTES at a time
         upto = int(np.searchsorted(total, (total[at - 1] if at else 0) + BLOCK_BYTES, "right"))
         upto = max(upto, at + 1)
-        while upto < len(several) and anchor[several[upto]] == anchor[several[upto - 1]]:
+        while upto < len(first) and part_anchor[upto] == part_anchor[upto - 1]:
             upto += 1
-        part = several[at:upto]
-        own = sizes[sample[part]]
-        value = least_ids(_gather(text, begun[sample[part]], own), own, lowest[part], length)
-        # strings begin at all but the last bytes of a piece
-        place = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
-        piece = np.repeat(np.arange(len(part)), own)
-        hit = np.flatnonzero((place <= own[piece] - length) & (value < lowest[part][piece]))
+        chosen = first[at:upto]
+        value = least_ids(_gather(text, begin[chosen], own[chosen]), own[chosen], least[at:upto], length)
+        # strings begin at all but the last bytes of a part
+        among = members[bounds[at] : bounds[upto]]
+        n = own[among] - length + 1
+        base = (np.cumsum(own[chosen]) - own[chosen])[alike[among] - at]
+        string = _ranges(base, n)
+        piece = np.repeat(np.arange(len(among)), n)
+        place = string - (base - lower[among])[piece]
+        hit = np.flatnonzero(value[string] < lowest[several[among]][piece])
         if len(hit):
-            first = np.ones(len(hit), bool)
-            first[1:] = (hit[1:] != hit[:-1] + 1) | (piece[hit[1:]] != piece[hit[:-1]])
-            begin = np.flatnonzero(first)
-            last = np.r_[begin[1:], len(hit)] - 1
-            who = part[piece[hit[begin]]]
+            new = np.ones(len(hit), bool)
+            new[1:] = (hit[1:] != hit[:-1] + 1) | (piece[hit[1:]] != piece[hit[:-1]])
+            head = np.flatnonzero(new)
+            last = np.r_[head[1:], len(hit)] - 1
+            who = several[among[piece[hit[head]]]]
             # every occurrence of the content in its smallest document
             a, b = (np.searchsorted(same[keeper], who, side) for side in ("left", "right"))
             row = np.repeat(np.arange(len(who)), b - a)
@@ -217,7 +306,7 @@ def _piece_spans(
             out.append(
                 (
                     occurrence,
-                    starts[occurrence] + place[hit[begin]][row],
+                    starts[occurrence] + place[hit[head]][row],
                     starts[occurrence] + place[hit[last]][row] + length,
                 )
             )
@@ -263,11 +352,11 @@ def _ids(group: pa.Table) -> np.ndarray:
     return group["doc"].combine_chunks().fill_null(int(_LAST)).to_numpy().astype(np.int64)
 
 
-def _anchored(text: np.ndarray, offsets: np.ndarray, length: int) -> tuple:
+def _anchored(text: np.ndarray, offsets: np.ndarray, length: int, width: int) -> tuple:
     """Sums, anchor keys, the anchor of each string and which strings lie within one text."""
     sums = prefix(byte_values(text))
-    keys = windows(sums, ANCHOR)
-    pick = first_least(keys, length - ANCHOR + 1)
+    keys = windows(sums, width)
+    pick = first_least(keys, length - width + 1)
     ends = np.repeat(offsets[1:], np.diff(offsets))[: len(pick)]
     return sums, keys, pick, np.arange(len(pick)) + length <= ends
 
@@ -305,8 +394,9 @@ def drop_shared(
     Documents cross the network once; the passes over them share that exchange. Anchors go to
     their blocks packed, strings of repeated anchors as pieces, and what comes back are spans.
     """
-    if length < ANCHOR + 8:
-        raise ValueError(f"strings need {ANCHOR + 8} bytes at least")
+    if length < LEAST_ANCHOR + 8:
+        raise ValueError(f"strings need {LEAST_ANCHOR + 8} bytes at least")
+    width = min(max(length // 2, LEAST_ANCHOR), ANCHOR)
     spark = docs.sparkSession
     groups, blocks = 3 * partitions(spark), partitions(spark)
     share = COMMON_PARTITIONS / partitions(spark)
@@ -320,7 +410,7 @@ def drop_shared(
         ids, grp = _ids(group), group["grp"][0].as_py()
         found, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for first, text, offsets in text_runs(group["text"]):
-            _, keys, pick, whole = _anchored(text, offsets, length)
+            _, keys, pick, whole = _anchored(text, offsets, length, width)
             at = pick[whole]
             at = at[_heads(at)] if len(at) else at
             found.append(keys[at])
@@ -367,15 +457,9 @@ def drop_shared(
         runs: list[tuple] = []
         strings, string_ids = [], []
         for first, text, offsets in text_runs(group["text"]):
-            sums, keys, pick, whole = _anchored(text, offsets, length)
-            string = np.flatnonzero(whole)
-            if not len(string):
+            sums, key, row, start, end = _runs(text, offsets, length, width)
+            if not len(start):
                 continue
-            head = _heads(pick[string])
-            last = np.r_[head[1:], len(string)] - 1
-            key = keys[pick[string[head]]]
-            start, end = string[head], string[last] + length
-            row = np.searchsorted(offsets, start, "right") - 1
             common = _in(_low(key), common_keys)
             use = _in(_low(key), known) & ~common
             at, size = start[use], end[use] - start[use]
@@ -415,7 +499,7 @@ def drop_shared(
                     row[occurrence].astype(np.int32),
                     start[occurrence].astype(np.int32),
                 )
-                cells[block] = [x.tobytes() for x in packed]
+                cells[block] = [_squeezed(x) if x is pieces_text else x.tobytes() for x in packed]
         if strings:
             key, who = np.concatenate(strings), np.concatenate(string_ids)
             order = np.lexsort((who, key))
@@ -443,7 +527,7 @@ def drop_shared(
         piece, start, end = _piece_spans(
             unpacked(cell["keys"], np.uint32),
             unpacked(cell["sizes"], size_kind).astype(np.int64),
-            unpacked(cell["text"], np.uint8),
+            _spread(cell["text"]),
             unpacked(cell["many"], np.int32),
             unpacked(cell["ids"], np.int64),
             unpacked(cell["starts"], np.int32).astype(np.int64),

@@ -102,3 +102,34 @@ def test_long_strings(spark, length):
     got = {r["doc_id"]: (r["n_removed"], bytes(r["kept"])) for r in bwt.drop_shared(frame(spark, rows), length=length).collect()}
     expected = {d: (gone, kept) for d, _, gone, _, kept in brute(rows, length)}
     assert got == expected and any(gone for gone, _ in got.values())
+
+
+def test_transforms_take_what_may_repeat(monkeypatch):
+    """Pieces that share their anchor, of which few share whole strings."""
+    draw = random.Random(21)
+
+    def letters(n):
+        return "".join(draw.choice("abcdefgh") for _ in range(n))
+
+    anchor, shared = letters(24), letters(50)
+    pieces = [letters(26) + anchor + letters(26) for _ in range(300)]
+    pieces += [pieces[7][:55] + letters(15), letters(9) + pieces[8][9:], pieces[9][:49] + letters(20)]
+    pieces += [letters(10) + shared + letters(10) for _ in range(20)]
+    ids, n = np.array(draw.sample(range(10_000), len(pieces))), len(pieces)
+    taken, least_ids = [], bwt.least_ids
+    monkeypatch.setattr(bwt, "least_ids", lambda text, *rest: taken.append(len(text)) or least_ids(text, *rest))
+    piece, start, end = bwt._piece_spans(
+        np.zeros(n, np.uint32),
+        np.array([len(p) for p in pieces]),
+        np.frombuffer("".join(pieces).encode(), np.uint8),
+        np.ones(n, np.int32),
+        ids,
+        np.zeros(n, np.int64),
+        50,
+    )
+    removed = dict.fromkeys(ids.tolist(), 0)
+    for i, a, b in zip(piece.tolist(), start.tolist(), end.tolist(), strict=True):
+        removed[int(ids[i])] += b - a
+    assert removed == {d: gone for d, _, gone, _, _ in brute(list(zip(ids.tolist(), pieces, strict=True)), 50)}
+    assert sum(gone > 0 for gone in removed.values()) == 21
+    assert sum(taken) < 2000 < sum(map(len, pieces)) // 10
